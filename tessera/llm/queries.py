@@ -6,20 +6,81 @@ production parameters.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import decontaminate, mixing, quality_rules, simhash, token_counts, token_files
 from tessera.llm.common import read
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measured(read(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.item_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
+    "op3_token_counts": op3_token_counts,
+    "op5_token_files": op5_token_files,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_decontamination": op9_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op8_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM d),
+        g AS (SELECT rid, unnest(range(1, len(words) - 1)) AS k, words FROM w WHERE len(words) >= 3),
+        gs AS (SELECT rid, k, words[k] || ' ' || words[k + 1] || ' ' || words[k + 2] AS gram FROM g),
+        rep AS (SELECT rid, k FROM gs QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+        covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([k, k + 1, k + 2]) AS p FROM rep) GROUP BY rid),
+        m AS (SELECT w.rid, doc_id, len(words)::BIGINT AS n_words,
+                     coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+                     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                     list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+                     coalesce(c.n, 0)::BIGINT AS n_repeat_words
+              FROM w LEFT JOIN covered c ON c.rid = w.rid),
+        l AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                     n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR 10 * n_symbols > n_words OR 20 * n_dup_lines > n_words) AS kept
+        FROM l""",
+    "op9_decontamination": r"""
+        WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM benchmark),
+        wins AS (SELECT item_id, least(10, len(words)) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s, words FROM iw WHERE len(words) > 0),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(words[s : s + n - 1], ' ') AS win FROM wins),
+        dw AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM documents),
+        sizes AS (SELECT DISTINCT n FROM win),
+        runs AS (SELECT rid, sizes.n AS n, unnest(range(1, len(words) - sizes.n + 2)) AS s, words FROM dw, sizes WHERE len(words) >= sizes.n),
+        held AS (SELECT r.rid, r.s, r.n, win.item_id FROM runs r JOIN win ON win.n = r.n AND win.win = array_to_string(r.words[r.s : r.s + r.n - 1], ' ')),
+        hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM held) GROUP BY rid),
+        ids AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id FROM held) GROUP BY rid)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)""",
+}
