@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing, quality_rules, simhash, token_counts, token_files
+from tessera.llm import decontaminate, html_text, kneser_ney, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
 from tessera.llm.common import read
 
 
@@ -19,10 +19,18 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(read(spark, sf_dir, "pages"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,6 +40,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.drop_repeated_lines(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measured(read(spark, sf_dir, "documents"))
 
@@ -41,16 +53,35 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_token_counts": op3_token_counts,
+    "op4_html_text": op4_html_text,
     "op5_token_files": op5_token_files,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_site_lines": op7_site_lines,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
+    "op10_perplexity": op10_perplexity,
 }
 
 ORACLE_SQL = {
+    "op7_site_lines": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS site, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT rid, doc_id, site, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+        w AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS word FROM l),
+        total AS (SELECT site, count(*) AS n_pages FROM d GROUP BY site),
+        often AS (SELECT w.site, line FROM w JOIN total t ON w.site IS NOT DISTINCT FROM t.site WHERE word
+                  GROUP BY w.site, line, n_pages HAVING count(DISTINCT rid) >= 10 AND count(DISTINCT rid) > 0.02 * n_pages),
+        m AS (SELECT w.*, o.line IS NOT NULL AS gone FROM w LEFT JOIN often o ON w.site IS NOT DISTINCT FROM o.site AND w.line = o.line AND w.word)
+        SELECT doc_id, site, count(*) FILTER (word)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+        FROM m GROUP BY rid, doc_id, site""",
     "op8_quality_rules": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
         w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM d),
