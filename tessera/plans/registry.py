@@ -1,4 +1,4 @@
 """All queries of the library by name, with their DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tessera.plans import distributions, tables  # noqa: F401
+from tessera.plans.base import ORACLE_SQL, QUERIES  # noqa: F401
