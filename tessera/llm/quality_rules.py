@@ -58,7 +58,7 @@ def n_repeat_words(words: Column, text: Column) -> Column:
 
         return let(grams, covered)
 
-    return of(words).cast("long")
+    return let(words, of).cast("long")  # else each window would split the text again
 
 
 @dataclass(frozen=True)
