@@ -84,15 +84,15 @@ ORACLE_SQL = {
         FROM m GROUP BY rid, doc_id, site""",
     "op8_quality_rules": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-        w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM d),
+        w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
         g AS (SELECT rid, unnest(range(1, len(words) - 1)) AS k, words FROM w WHERE len(words) >= 3),
         gs AS (SELECT rid, k, words[k] || ' ' || words[k + 1] || ' ' || words[k + 2] AS gram FROM g),
         rep AS (SELECT rid, k FROM gs QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
         covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([k, k + 1, k + 2]) AS p FROM rep) GROUP BY rid),
         m AS (SELECT w.rid, doc_id, len(words)::BIGINT AS n_words,
-                     coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+                     coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
                      len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-                     list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+                     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
                      coalesce(c.n, 0)::BIGINT AS n_repeat_words
               FROM w LEFT JOIN covered c ON c.rid = w.rid),
         l AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
@@ -102,10 +102,10 @@ ORACLE_SQL = {
                     OR 10 * n_symbols > n_words OR 20 * n_dup_lines > n_words) AS kept
         FROM l""",
     "op9_decontamination": r"""
-        WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM benchmark),
+        WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark),
         wins AS (SELECT item_id, least(10, len(words)) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s, words FROM iw WHERE len(words) > 0),
         win AS (SELECT DISTINCT item_id, n, array_to_string(words[s : s + n - 1], ' ') AS win FROM wins),
-        dw AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM documents),
+        dw AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
         sizes AS (SELECT DISTINCT n FROM win),
         runs AS (SELECT rid, sizes.n AS n, unnest(range(1, len(words) - sizes.n + 2)) AS s, words FROM dw, sizes WHERE len(words) >= sizes.n),
         held AS (SELECT r.rid, r.s, r.n, win.item_id FROM runs r JOIN win ON win.n = r.n AND win.win = array_to_string(r.words[r.s : r.s + r.n - 1], ' ')),
