@@ -122,3 +122,101 @@ def negation(c: Column) -> Column:
     pos, neg = meets(t, NEGATION_POSITIVE), meets(t, NEGATION_NEGATIVE)
     kind = F.when(pos & ~neg, "neg_pos").when(neg & ~pos, "neg_neg").otherwise("neg_seule")
     return out.when(~meets(t, NEGATION), _flag(0, None)).otherwise(_flag(1, kind))
+
+
+# Patterns of the social flag.
+SOCIAL = (
+    r"بارك\s*الله", r"الله\s*يبارك", r"الله\s*يعاون", r"ربي\s*يعاون", r"ربي\s*يجازي", r"جزاك\s*الله\s*خير", r"جزاكم\s*الله\s*خير", r"الله\s*يوفق", r"ربي\s*يحفظ", r"ربي\s*يوفق", r"بالتوفيق", r"رمضان\s*كريم", r"رمضان\s*مبارك", r"عيد\s*مبارك", r"عيد\s*سعيد",
+    r"كل\s*عام\s*و[أا]نتم", r"كل\s*عام\s*وأنتم", r"مبروك", r"تبارك\s*الله", r"ماشاء\s*الله", r"ما\s*شاء\s*الله", r"الله\s*معاكم", r"الله\s*معاك\b", r"ربي\s*يوفقكم", r"ربي\s*يوفقك\b", r"الله\s*يوفقكم", r"شكرا\s*على\s*جهودكم", r"شكرا\s*على\s*المجهودات",
+    r"ربي\s*يجازيكم", r"ربي\s*يعاونكم", r"إن\s*شاء\s*الله\s*ينجح", r"نشالله\s*ينجح", r"يسلموا?\b", r"الله\s*يسلمك", r"صح\s*فطورك", r"صح\s*فطوركم", r"صح\s*عيدك", r"صح\s*عيدكم", r"حفظكم\s*الله", r"وفقكم\s*الله", r"الله\s*يعطيكم\s*الصحة", r"ربي\s*يبارك\s*فيكم", r"ربي\s*يبارك\s*فيك\b",
+    r"rbi\s*y[3e]awkom", r"rabi\s*y[3e]awkom", r"barak\s*allah", r"baraka\s*llah", r"allah\s*ybarek", r"allah\s*yewfek", r"allah\s*yewfeqkom", r"tbarakallah", r"tbarkallah", r"nchallah\s*ynajh", r"inch[a]?allah\s*ynajh", r"saha\s*ftourkoum", r"saha\s*[ae]idkom", r"sa7a\s*[ae]idkom",
+    r"kol\s*[3e]am\s*w", r"[ae]id\s*mobarak", r"[ae]id\s*sa[3i]id", r"mabrouk", r"mbr[ou]+k", r"bon\s*courage", r"bonne?\s*continuation", r"merci\s*pour\s*vos\s*efforts", r"merci\s*pour\s*le\s*travail", r"courage\s*[àa]\s*tou[st]", r"bonne?\s*ann[eé]e", r"assegwas\s*amegas",
+    r"vive\s*alg[eé]rie", r"allah\s*ma[3e]akom", r"rabi\s*ma[3e]akom", r"barra\s*barra\s*likom", r"[ae]ychine\b", r"3aychine\b", r"rbi\s*yjazik", r"yeslamo\b", r"ya3tikom\s*essa7a", r"joyeux\s*ramadan", r"bon\s*travail", r"bravo\s*(à\s*)?l[a-z]*\s*[eé]quipe", r"bonne?\s*f[eê]te",
+    r"f[eé]licitations?", r"bonne?\s*chance", r"bravo\s*pour", r"chapeau\s*pour", r"joyeuses?\s*f[eê]tes?", r"meilleurs?\s*v[oœ]eux", r"bonne?\s*journ[eé]e", r"bon\s*succ[eè]s", r"bonne?\s*r[eé]ussite", r"tous\s*mes\s*v[oœ]eux",
+)
+SOCIAL_NEGATIVE = (
+    r"مشكل", r"مشكلة", r"شكاية", r"شكوى", r"شكاوي", r"ما\s*خدم", r"مكانش", r"ما\s*عندي", r"ما\s*ركبوا", r"ما\s*تواصل", r"ما\s*جاو", r"ما\s*حلوا", r"ما\s*صلحوا", r"ما\s*ردوا", r"مشكل.*جزاك", r"انتظار", r"أنتظر", r"نستنى", r"وعود\s*كاذبة", r"سوء\s*الاستقبال",
+    r"بدون\s*حل", r"دون\s*[أا]ي\s*حل", r"هل\s*يعقل", r"هل\s*منطق", r"نقطة\s*الصفر", r"معاناة", r"اضطهاد", r"ظلم", r"إرهاب", r"مافيا", r"فساد", r"سجن", r"ديكتاتور", r"تبون", r"بوتفليقة", r"فاضح", r"راكم\s*غير\s*تزيدوا\s*تبعدوا", r"خدمة.*شهر", r"شهر.*ما.*ركب", r"شهرين.*ولحد",
+    r"ست\s*اشهر", r"شهر\s*ونص", r"يحرم\s*من\s*خدمة", r"لم\s*يتواصلوا", r"لم\s*نستطع", r"لم\s*يرد", r"خط\s*أخضر.*لا\s*يرد", r"تعبتونا", r"هبلونا", r"حيكم", r"اذلال",
+)
+# Patterns of the complaint flag.
+CONTACT = (
+    r"ردو?\s*(في\s*|على\s*|فال|فل|ف)?\s*[ال]?خاص\b", r"ر[دج]وا?\s*(في\s*)?الخاص", r"الرد\s*(في|على)\s*الخاص", r"نرجو\s*الرد\s*(في|على)?\s*الخاص", r"ارجو\s*(منكم\s*)?الرد\s*(في|على)\s*الخاص", r"الرجاء\s*الرد\s*(في|على|على)?\s*الخاص", r"يرجى\s*الرد\s*(على|في)\s*الخاص", r"رجاء\s*الرد\s*(على|في)\s*الخاص",
+    r"ردو\s*عليا\b", r"ردو\s*علينا\b", r"ردو\s*على\s*(الرسائل|الرسا[يئ]ل|الميساجات|ميساجات|لميساج|انشغالي|الخاص|خاص|رسائل)", r"رد\s*(في|على)\s*الخاص", r"ردو\s*(الخاص|في\s*الخاص)\b", r"بعثتلكم?\s*(في|على|فال|فل)?\s*الخاص", r"بعثلكم\s*الخاص", r"بعثتلك\s*(في|على)\s*الخاص",
+    r"ارسلتك?\s*(على|في|لكم)\s*(رساله|رسالة|في)?\s*الخاص", r"ارسلت\s*لكم\s*رساله\b", r"راسلنا\s*(عبر|في|على|مرارا)", r"راسلتكم\b", r"لا\s*(يوجد|يتم)\s*رد\b", r"لايوجد\s*رد\b", r"لا\s*تردون\b", r"لا\s*تردو\b", r"لا\s*يردون\b", r"لا\s*يردو\b", r"لاتحيبون\b", r"لا\s*تحيبون\b", r"لا\s*تقومون\s*بالرد",
+    r"لم\s*يتم\s*(الرد|رد)\b", r"لا\s*يتم\s*(الرد|رد)\b", r"لماذا\s*لا\s*تردو", r"لماذا\s*لاتردون", r"لماذا\s*لا\s*يتم\s*الرد", r"اصبحتم\s*لا\s*تردون", r"لا\s*يردون\s*على\s*الزبائن", r"مكمش\s*تردو", r"ماكمش\s*تردو", r"مراكمش\s*تردو", r"مكانش?\s*رد\b", r"متردوش\b", r"لم\s*يرد\s*(احد|عليا|علي)\b", r"ولا\s*رد\b", r"مايريبونديوش\b",
+    r"خاصيه\s*الرد.*غير\s*موجوده", r"ياو\s*ردو", r"ياو\s*الرد", r"اخي\s*ردو", r"معليش\s*تردو", r"تواصلو?\s*(معنا|معي|مع[يا]|معاك)\b", r"تواصل\s*معي\b", r"اتصلو\s*بي\b", r"خطي\s*غير\s*موهل\b", r"\bprv\b", r"\binbox\b", r"repondi[w]?\s*prv", r"jawbouna\b", r"r[eé]pondez?\s*(nous|moi)",
+    r"contactez[\s\-]?(nous|moi)", r"contactez\s*moi\b", r"envoyez?\s*(nous|moi)\s*(un\s*)?message", r"send\s*(us|me)\s*(a\s*)?dm", r"\bdm\s*(us|me|nous)?\b",
+)
+FRUSTRATION = (
+    r"\d+\s*(jours?|أيام|يوم|ايام|mois|أشهر|اشهر|شهر|semaines?|سمانه|ساعات|ساعه)", r"منذ\s*\d+", r"depuis\s*\d+", r"اكثر\s*من\s*\d+\s*(اشهر|اسابيع|ايام|شهر|يوم)", r"مرارا\s*وتكرارا", r"sans\s*r[eé]ponse", r"بدون\s*(رد|حل)", r"دون\s*(رد|حل|جدوى)", r"دون\s*جدوى\b", r"لا\s*جديد\s*يذكر", r"حتى\s*الان\s*(لا|ما|لم)", r"لحد\s*الان\s*(لا|ما|لم)",
+    r"انشغال\w*", r"شكو[ىا]\b", r"شكايه\b", r"شكوه\b", r"probl[eè]me?\b", r"مشكل[ةه]?\b", r"مشاكل\b", r"عطل\b", r"مستعجل\b", r"مهم\s*ومستعجل", r"انتظار\b", r"attente\b", r"ننتظر\b", r"نستنى\b", r"انتظر\s*(الرد|ردكم)", r"لا\s*يعمل\b", r"لا\s*يشتغل\b", r"لا\s*يتصل\s*بالانترنت", r"ne\s*fonctionne\s*pas", r"marche\s*pas", r"ما\s*خدم\b", r"مايخدم\b", r"مايصلح\b",
+    r"coupure\b", r"انقطاع\b", r"مقطوع[هة]?\b", r"موقف\b", r"suspendu\b", r"لم\s*يتم\s*تفعيل", r"لا\s*يتم\s*تفعيل", r"لم\s*يتواصل\b", r"لم\s*يات\b", r"تدفق\s*(كارثي|ضعيف)", r"بلا\s*انترنت", r"مكانش\s*انترنت", r"الانترنت\s*مكانش", r"الانترنت\s*مقطوع", r"مقطوعه\s*عندها", r"مازال\s*الانترنت\s*ما\s*جاتش", r"نهار\s*كامل\s*مكانش", r"بدون\s*الانترنت", r"لا\s*توجد\s*انترنت", r"نحتاج\s*انترنت",
+    r"\bnul\b", r"catastrophe?\b", r"كارثه?\b", r"كارثة\b", r"كارثيه\b", r"honte\b", r"عيب\b", r"inacceptable\b", r"danger\s*national", r"خدمات?\s*(تحت\s*الصفر|صفر)", r"تحت\s*الصفر\b", r"صفر\s*كبير?\b", r"الاسوى\b", r"الأسوأ\b", r"دائما\s*الاسوى", r"مستوى\s*ناقص", r"سوء\s*استغلال", r"عدم\s*الالتفات", r"عدم\s*حل", r"تعبتونا\b", r"هرمنا\b", r"هبلتونا\b", r"تهبلونا\b", r"قهرونا\b", r"مرضتونا\b",
+    r"عييتونا\b", r"كرهنا\b", r"كرهتونا\b", r"شبعتونا\b", r"مقروط\b", r"مستفز[هة]\b", r"يكدبو\b", r"كذابيين\b", r"وعود\s*كاذبة", r"مافيا\b", r"فساد\b", r"متحشموش\b", r"مهابل\b", r"هايله\b", r"فاشلين\b", r"شركه\s*(ضخمه|في\s*انحطاط)", r"ماكمش\s*تصدقو", r"ماتهزوش\b", r"خلصت?\b.{0,50}(مازال|ما\s*جا|لا\s*يوجد|لم\s*يتم|بلا)", r"خلصت?\b.{0,10}(mo|ميغا).{0,20}(تلحق|غير)", r"مزدتوليش\b", r"شارجيت.{0,30}علاش",
+    r"فواتير.{0,30}مدفوع.{0,30}(لا|ما|مازال|موقف)", r"تم\s*توقيف\s*خط", r"خط\s*مقفل\b", r"رانا\s*في\s*(ساعه|يومين|اسبوع)", r"رانا\s*نخلصو\b", r"الانترنت\s*(نهار\s*كامل|كامل)", r"قدمت\s*شكوى", r"اريد\s*تقديم\s*شكوا", r"ضد\s*الزبون", r"يعاني\b", r"معاناه\b", r"لم\s*يتم\s*الربط", r"بعيده\s*عن\s*البيوت", r"روتينق\s*(راه\s*)?كارث", r"بينق.{0,20}(كارث|مرتفع)", r"في\s*\d+\s*اشهر.{0,30}(كارث|مشكل|ضعيف)",
+    r"نيك\b", r"نيكما", r"قحبة\b", r"حمار\b", r"كلب\b",
+)
+OFFICIAL_REPLY = (
+    r"ندعوكم\s*(للتواصل|للتواصل\s*معنا)", r"يمكنكم\s*(التواصل|مراسلتنا)", r"بإمكانكم\s*التواصل", r"ابقوا\s*على\s*تواصل\s*معنا", r"سيتم\s*(اعلامكم|إعلامكم|التواصل)", r"نعمل\s*باستمرار\s*على\s*(تطوير|تحسين)", r"لتمكننا\s*من\s*تقديم\s*المساعده", r"قصد\s*تزويدنا\s*بمعلومات", r"لنتمكن\s*من\s*تقديم\s*المساعده",
+    r"لقد\s*تم\s*التواصل\s*معك\s*في\s*الخاص", r"اذا\s*كنتم\s*تواجهون\s*اي\s*خلل", r"فبامكانكم\s*التواصل\s*معنا\s*عبر\s*الخاص",
+)
+ANGER = (
+    r"هرمنا\b", r"هرمتونا\b", r"هبلتونا\b", r"هبلتو\b", r"تهبلونا\b", r"مرضتونا\b", r"تعبتونا\b", r"ta3batna\b", r"قهرونا\b", r"قسونا\b", r"عييتونا\b", r"نقسوناوفسوم", r"شبعتونا\b", r"مقروط\b", r"كرهتونا\b", r"كرهنا\b", r"كارثيه\b", r"مافيا\b", r"فساد\b", r"متحشموش\b", r"الأسوأ\b", r"الاسوى\b", r"مايصلحش\b",
+    r"ما\s*يصلحش\b", r"ميمشيش\b", r"ما\s*يمشيش\b", r"مكانش\s*(خدمة|رد|حل)", r"يكدبو\b", r"كذابيين\b", r"كدابين\b", r"وعود\s*كاذبة", r"مهابل\b", r"مساسيط\b", r"هايله\b", r"نيكماتكم\b", r"نيكماتك\b", r"واش\s*نيك", r"danger\s*national", r"شركه?\s*مستفز[هة]\b",
+)
+POLITE = (r"بالتوفيق\b", r"ربي\s*يوفقكم", r"بارك\s*الله", r"bravo\b", r"félicitations?\b", r"bon\s*courage\b", r"مبروك\b", r"ماشاء\s*الله", r"نتمنى\s*(لكم|لك)\s*(النجاح|التوفيق)", r"إلى\s*الأمام\b")
+# Patterns of the suggestion flag.
+SUGGESTION_POSITIVE = (
+    r"\bmliha?\b", r"\bmzian[ae]?\b", r"\bzwin[ae]?\b", r"\bhil[ae]\b", r"\btamam\b", r"\bmazyan[ae]?\b", r"\bsari3\b", r"\bb[ae]rak\s*allah\b", r"\bbien\b", r"\bbon(ne)?\b", r"\bsuper\b", r"\bpas\s*mal\b", r"\bcorrect(e)?\b", r"\bsatisfais?ant(e)?\b", r"\brapide\b", r"\befficace\b", r"\bc'est\s*bien\b", r"\bça\s*march[e]?\b",
+    r"\bça\s*fonctionn\w+\b", r"\bbon\s*d[ée]but\b", r"\bencourageant(e)?\b", r"\bglobalement\s*(positif|bien|correct)\b", r"\bbon\s*travail\b", r"\bp[ae]s\s*mal\b", r"\bbonne\s*(qualité|vitesse|connexion)\b", r"\bla\s*connexion\s*(est\s*)?(bonne|correcte|rapide|stable)\b", r"مليح[ةه]?", r"زوين[ةه]?", r"\bتمام\b", r"ممتاز[ةه]?",
+    r"سريع[ةه]?", r"جيد[ةه]?", r"حسن[ةه]?", r"مقبول[ةه]?", r"هايل[ةه]?", r"رائع[ةه]?", r"مزيان[ةه]?", r"معقول[ةه]?", r"كويس[ةه]?", r"نظيف[ةه]?", r"مرتاح[ةه]?", r"راضي[ةه]?", r"خدمة\s*(مليحة|جيدة|حسنة|معقولة)", r"الخدمة\s*(مليحة|جيدة|ممتازة)", r"اتصال\s*(مليح|جيد|سريع)", r"الانترنت\s*(مليح|مليحة|سريع|تمام)", r"سرعة\s*(كويسة|مليحة|جيدة)",
+)
+CONTRAST = (
+    r"\bms\b", r"\bbss\b", r"\blukan\b", r"\blou?kan\b", r"\bwalakin\b", r"\bmais\b", r"\bcependant\b", r"\btoutefois\b", r"\bseulement\b", r"\bpar\s*contre\b", r"\bn[eé]anmoins\b", r"\bsi\s*possible\b", r"\bsi\s*seulement\b", r"\bsauf\s*que\b", r"\bexcept[eé]\s*que\b", r"\bà\s*condition\s*que\b", r"\bبصح\b", r"\bلكن\b",
+    r"\bوالكن\b", r"\bغير\s*أن\b", r"\bإلا\s*أن\b", r"\bبس\b", r"\bلو\s*كان\b", r"لو\s*كانو", r"\bفقط\s*لو\b", r"\bولكن\b", r"\bمع\s*ذلك\b", r"\bرغم\s*ذلك\b", r"\bبالرغم\s*من\b",
+)
+IMPROVE = (
+    r"\btehsen[ou]*\b", r"\btzid[ou]*\b", r"\bbeddl[ou]*\b", r"\bcorrigi\b", r"\bdebugi\b", r"\brajou[ou]*\b", r"\bml[ou]+\b", r"\bkamml[ou]*\b", r"\bhasn[ou]*\b", r"amélior\w+", r"optim[iu]s\w+", r"augment\w+\s*(la\s*|le\s*)?(vitesse|débit|qualité)", r"r[eé]duir\w+\s*(le\s*|les\s*)?prix", r"baiss\w+\s*(le\s*|les\s*)?prix", r"peaufin\w+", r"ajust\w+",
+    r"travaill\w+\s*sur", r"des?\s*am[eé]liorations?\b", r"des?\s*efforts?\b", r"un\s*peu\s*plus\b", r"encore\s*mieux\b", r"plus\s*de\s*(rapidité|vitesse|qualité|stabilité)", r"il\s*(faut|faudrait)\s*(encore|plus)", r"il\s*(reste|y\s*a)\s*(des\s*)?am[eé]liorations?\s*[àa]\s*faire", r"ce\s*serait\s*(bien|mieux|parfait)\s*(de|si)", r"j'aimerais?\s*(plus|voir|que)",
+    r"on\s*attend\s*(mieux|plus)", r"si\s*possible\s*(am[eé]lior|r[eé]duir|augment|opt)", r"تحسين", r"يتحسن", r"تحسنو", r"تزيدو", r"نتمنى\s*(يتحسن|تحسين|أكثر|أفضل)", r"يلزم\s*تحسن", r"خاصكم\s*تحسنو", r"لو\s*(زادو|تحسنو|رفعو)", r"نشاء\s*الله\s*يتحسن", r"إن\s*شاء\s*الله\s*يتحسن", r"المزيد\s*من\s*(الجهود|التحسين|التطوير)", r"نأمل\s*(في\s*)?(تحسين|تطوير)",
+    r"نتمنى\s*(تطوير|تحسين)", r"يجب\s*(تحسين|تطوير|رفع)", r"أتمنى\s*(أن\s*)?(يتحسن|تحسين)", r"نقص\s*في\s*(السعر|الخدمة|التغطية)", r"لو\s*كان\s*السعر\s*(أقل|منخفض)", r"لو\s*تخفضو\s*السعر", r"ينقصه?\s*(فقط|بس)", r"ينقص\s*(شوية|قليل|قليلاً)",
+)
+SUGGESTION_NEGATIVE = (
+    r"\bnul\b", r"\bkhaybe?\b", r"\bkhayba?\b", r"\bmachi\s*barka\b", r"\bkarica\b", r"\bkhartha?\b", r"كارثة", r"كارثه", r"كارثي[هة]?", r"فضيحة", r"مهزلة", r"\bzero\b", r"تحت\s*الصفر", r"لا\s*يعمل", r"ما\s*يخدم", r"مايخدمش", r"مقطوع[هة]?", r"قطوع\b", r"coupure\b", r"انقطاع\b", r"شكوى", r"شكاية", r"شكاوي", r"مشكل[ةه]?", r"مشاكل\b",
+    r"r[eé]clamation\b", r"plainte\b", r"\d+\s*(أشهر|mois|شهر|jours?|أيام|ايام)\s*(بدون|sans|دون|ولم)", r"شهرين.*ما\s*ركب", r"ست\s*اشهر", r"مازال\s*(ما|لم)\s*(جا[ءو]?|ركب)", r"تعبتونا", r"هرمنا", r"هبلتونا", r"وعود\s*كاذبة", r"مافيا\b", r"فساد\b", r"هل\s*يعقل", r"والله.*يا\s*(ذيك|راحه)", r"في\s*الأحلام\b", r"في\s*المنام\b",
+)
+
+
+def social(c: Column) -> Column:
+    """1 for wishes and thanks that no complaint cancels, else 0."""
+    return F.when(meets(c, SOCIAL) & ~meets(c, SOCIAL_NEGATIVE), 1).otherwise(0)
+
+
+def complaint(c: Column, implicit: int = -1) -> Column:
+    """Anger; official replies; requests for contact with or without frustration, which alone give ``implicit``."""
+    contact, trouble = meets(c, CONTACT), meets(c, FRUSTRATION, dotall=True)
+    rows = (
+        (meets(c, ANGER), _flag(1, "neglex")),
+        (meets(c, OFFICIAL_REPLY) & ~trouble, _flag(-1, "at_response")),
+        (contact & trouble, _flag(1, "prv")),
+        (contact & meets(c, POLITE), _flag(0, None)),
+        (contact, _flag(implicit, "prv_implicit")),
+    )
+    return _table(rows, _flag(0, None))
+
+
+def suggestion(c: Column) -> Column:
+    """Praise with a reservation: with a wish for better, masked by strong blame, or alone."""
+    reserved = meets(c, SUGGESTION_POSITIVE) & meets(c, CONTRAST)
+    better, blame = meets(c, IMPROVE), meets(c, SUGGESTION_NEGATIVE, dotall=True)
+    rows = ((reserved & better & blame, _flag(-1, "masked_neg")), (reserved & better, _flag(1, "pur")), (reserved & ~blame, _flag(1, "pos_adv")))
+    return _table(rows, _flag(0, None))
+
+
+def _table(rows: tuple[tuple[Column, Column], ...], default: Column) -> Column:
+    """The result of the first condition that holds."""
+    out = default
+    for condition, result in reversed(rows):
+        out = F.when(condition, result).otherwise(out)
+    return out

@@ -114,6 +114,21 @@ def flag_negation(spark, sf_dir):
     return _flags(spark, sf_dir, flags.negation)
 
 
+@query()
+def flag_social(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", flags.social(_t()).alias("flag"))
+
+
+@query()
+def flag_plainte(spark, sf_dir):
+    return _flags(spark, sf_dir, flags.complaint)
+
+
+@query()
+def flag_suggestion(spark, sf_dir):
+    return _flags(spark, sf_dir, flags.suggestion)
+
+
 @query()
 def flag_topk(spark, sf_dir):
     """The most common expressions that make a text positive under the mixed flag."""

@@ -90,6 +90,22 @@ def test_negation(spark):
     assert flag(spark, flags.negation, list(cases)) == list(cases.values())
 
 
+def test_social(spark):
+    cases = {"ربي يوفقكم": 1, "barak allah fik": 1, "bon courage": 1, "mabrouk": 1, "بالتوفيق والسداد": 1, "تعبتونا والله": 0, "المودم مكانش": 0, "قدمت عدت شكاوي جزاكم الله خيرا": 0, "ست اشهر يستنى انترنت هل يعقل": 0}
+    assert values(spark, list(cases), flags.social) == list(cases.values())
+
+
+def test_complaint(spark):
+    cases = {"ردو في الخاص le service est nul": (1, "prv"), "repondiw prv 3 jours sans réponse": (1, "prv"), "هرمنا من هاد الخدمه": (1, "neglex"), "مافيا هذا الاتصالات": (1, "neglex"), "لقد تم التواصل معك في الخاص": (-1, "at_response"), "ردو عليا": (-1, "prv_implicit"), "bravo مبروك ردو عليا في الخاص": (0, None), "connexion mliha bezzaf": (0, None)}
+    assert flag(spark, flags.complaint, list(cases)) == list(cases.values())
+    assert flag(spark, lambda c: flags.complaint(c, implicit=1), ["ردو عليا"]) == [(1, "prv_implicit")]
+
+
+def test_suggestion(spark):
+    cases = {"connexion mliha ms tehseno fiha": (1, "pur"), "مليح بصح يلزم تحسن": (1, "pur"), "bon début mais il reste des améliorations à faire": (1, "pur"), "mliha ms bezzaf": (1, "pos_adv"), "bon par contre un peu lent": (1, "pos_adv"), "connexion mliha ms coupure tzidou corrigi": (-1, "masked_neg"), "bon courage": (0, None), "مليح": (0, None)}
+    assert flag(spark, flags.suggestion, list(cases)) == list(cases.values())
+
+
 def test_scores(spark):
     df = spark.createDataFrame([("abc", "abd", "a b", "b c")], "a string, b string, x string, y string")
     r = df.select(sim.edit_similarity(F.col("a"), F.col("b")), sim.jaccard(sim.character_set(F.col("a")), sim.character_set(F.col("b"))), sim.pair_tfidf(text.tokens(F.col("x")), text.tokens(F.col("y")))).first()
@@ -113,6 +129,6 @@ def test_softmax(spark):
 
 def test_patterns_compile():
     for name in dir(flags):
-        if name.isupper():
+        if isinstance(getattr(flags, name), tuple):
             for p in getattr(flags, name):
                 re.compile(p)
