@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ SEQUENCE = 2048
 END_ID = 0
 #: Sequences in one batch of a file.
 BATCH_ROWS = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CACHE_CHARS = 64
 
 
@@ -45,7 +46,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes | None] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.cut = regex.compile(r"(?<=\S) (?=\S)").split
         spec = json.loads(self.tokenizer.to_str())
@@ -55,8 +57,9 @@ class WordEncoder:
             raise ValueError("not a plain byte-level tokenizer")
         # Fixed: the byte-level splitter's pattern.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.special = [x["content"] for x in spec["added_tokens"]]
-        self.plain = regex.compile(r"[\x21-\x7e\n\u00c0-\u024f]+").fullmatch
+        special = [regex.escape(x["content"]) for x in spec["added_tokens"]]
+        self.special = regex.compile("|".join(special)).search if special else None
+        self.plain = regex.compile(rf" ?[\x21-\x7e\n\u00c0-\u024f]{{0,{CACHE_CHARS}}}").fullmatch
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = dict(zip(shown, map(chr, shown), strict=True)) | {b: chr(256 + k) for k, b in enumerate(hidden)}
@@ -69,42 +72,41 @@ class WordEncoder:
             if len(self.parts) > CACHE_WORDS:
                 self.parts.clear()
             spelled = part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = np.array([x.id for x in self.model.tokenize(spelled)], self.dtype).tobytes()
+            ids = self.parts[part] = array(self.code, [x.id for x in self.model.tokenize(spelled)]).tobytes()
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        word = piece.removeprefix(" ")
-        if len(word) > CACHE_CHARS or not self.plain(word) or any(x in word for x in self.special):
+        if not self.plain(piece) or self.special is not None and self.special(piece):
             return self._whole(piece)
         return b"".join(map(self._part, self.split(piece)))
 
-    def _learn(self, words: set[str]) -> None:
-        """Caches ' ' + word of each new word; None marks one that a text can't be cut at."""
+    def _new(self, word: str) -> bytes | None:
+        """The ids of ' ' + word, kept for later; None where a text can't be cut: next to other white space, or between spaces."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        if len(word) > CACHE_CHARS:
+            return self._whole(f" {word}")
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        for w in words:
-            self.cache[w] = self._piece(f" {w}") if w and not w[0].isspace() and not w[-1].isspace() else None
+        ids = self.cache[word] = self._piece(f" {word}")
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        cache = self.cache
         first, *rest = text.split(" ")
-        try:
-            return self._first(first) + b"".join(map(cache.__getitem__, rest))
-        except KeyError:
-            words = set(rest)
-            if any(len(w) > CACHE_CHARS for w in words) or len(words) > CACHE_WORDS // 4:
-                return self._cut(text)
-            self._learn(words.difference(cache) if len(cache) <= CACHE_WORDS else words)
-            return self.encode(text)
-        except TypeError:  # a None: some piece is not cut off by a single space
+        if not first or first[-1].isspace():
             return self._cut(text)
-
-    def _first(self, piece: str) -> bytes:
-        if not piece or piece[-1].isspace():
-            raise TypeError
-        return self._piece(piece)
+        found = list(map(self.cache.get, rest))
+        at = -1
+        try:
+            while True:
+                at = found.index(None, at + 1)
+                found[at] = self._new(rest[at])
+                if found[at] is None:
+                    return self._cut(text)
+        except ValueError:  # none left
+            return self._piece(first) + b"".join(found)
 
     def _cut(self, text: str) -> bytes:
         return b"".join([self._piece(p if k == 0 else f" {p}") for k, p in enumerate(self.cut(text))])
