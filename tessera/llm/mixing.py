@@ -11,7 +11,7 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20
 #: Rows that are ranked together in one group.
-GROUP_ROWS = 4096
+GROUP_ROWS = 1024
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
