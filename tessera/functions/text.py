@@ -86,10 +86,19 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(strip(F.coalesce(c, F.lit(""))), r"(?U)\s+"), lambda x: x != "")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once a row. A column that a lambda reads would else be computed for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def ngrams(words: Column, n: int) -> Column:
     """Runs of ``n`` words joined by a space; fewer words have none."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    def runs(w: Column) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.expr("cast(array() as array<int>)"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
+
+    return let(words, runs)
 
 
 def language(c: Column) -> Column:
