@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -54,12 +53,6 @@ def clean_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished queries now: it does so when the driver collects their plans, which else may be long after."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once per row however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]

@@ -1,165 +1,211 @@
-"""Passages that repeat across documents, by MinHash banding of word windows (operator 2)."""
+"""Passages that repeat across documents, by MinHash banding of paragraphs (operator 2)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_words, let, release_shuffles, saved
+from tessera.llm.buckets import bucket_links
+from tessera.llm.common import broadcast_if_small, saved
 from tessera.llm.graph import components
-
-SHINGLE_WORDS = 5
-PARAGRAPH_WORDS = 26
-#: Of so many successive shingles one begins a paragraph.
-SPACING = 24
-BANDS, ROWS = 2, 2
-SIMILARITY = 0.8
-MIN_REPEAT_WORDS = 30
-CACHE_WORDS = 400_000
-
-_SHINGLES = PARAGRAPH_WORDS - SHINGLE_WORDS + 1
-_RNG = np.random.default_rng(11)
-_PLACE = _RNG.integers(1, 1 << 63, PARAGRAPH_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+from tessera.llm.shingles import EMPTY, SHINGLE_WORDS, lists, mix, numbers, runs
+
+#: The least paragraph; what is shorter is no passage.
+PARAGRAPH_WORDS = 20
+#: Of so many successive runs of ``PARAGRAPH_WORDS`` words one is a paragraph of its own.
+SPACING = 12
+#: At a similarity of 0.8 two lines meet with probability 1 - (1 - 0.8**2)**4 = 0.983, at 0.9 with 0.9987, at 0.3 with 0.31.
+BANDS, ROWS = 4, 2
+#: Least similarity of a link, as a fraction.
+SIMILARITY = (4, 5)
+#: So many ids of texts to read again are broadcast; more are shuffled.
+MAX_IDS = 500_000
+
+_RNG = np.random.default_rng(13)
 _TURN = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _BAND_COLS = [f"band_{k}" for k in range(BANDS)]
-_names: dict[bytes, int] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def _word_numbers(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    get = _names.get
-    ids = [get(w) for w in words]
-    if None in ids:
-        if len(_names) > CACHE_WORDS:
-            _names.clear()
-        for k, w in enumerate(words):
-            if ids[k] is None:
-                ids[k] = xxhash.xxh64_intdigest(w, 3)
-                if len(w) < 64:
-                    _names[w] = ids[k]
-    return np.array(ids, np.uint64)
-
-
-def _paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first words of a text's paragraphs, their contents' hashes, and their band keys (one row each)."""
-    words = _word_numbers(text)
-    n = len(words) - SHINGLE_WORDS + 1
-    if len(words) < PARAGRAPH_WORDS:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64)
-    shingles = _mix(sum((words[k : k + n] * _PLACE[k] for k in range(1, SHINGLE_WORDS)), words[:n] * _PLACE[0]))
-    view = np.lib.stride_tricks.sliding_window_view(shingles, min(SPACING, n))
-    first = np.unique(np.concatenate([view[at : at + 65536].argmin(axis=1) + np.arange(at, min(at + 65536, len(view))) for at in range(0, len(view), 65536)]))
-    first = first[first <= len(words) - PARAGRAPH_WORDS]
-    content, bands = np.zeros(len(first), np.uint64), np.zeros((len(first), BANDS), np.uint64)
-    for at in range(0, len(first), 4096):
-        rows = shingles[first[at : at + 4096, None] + np.arange(_SHINGLES)]
-        content[at : at + 4096] = _mix((rows * _PLACE[:_SHINGLES]).sum(axis=1, dtype=np.uint64))
-        least = [(rows * t).min(axis=1) for t in _TURN]
-        for b in range(BANDS):
-            key = np.full(len(rows), b, np.uint64)
-            for v in least[b * ROWS : (b + 1) * ROWS]:
-                key = _mix(key * _PLACE[0] + v)
-            bands[at : at + 4096, b] = key
-    return first, content, bands
+
+
+class Lines:
+    """The words of a text, its shingles, and the places of its lines of ``PARAGRAPH_WORDS`` words and more."""
+
+    def __init__(self, text: bytes | None):
+        cut = [line.split() for line in (text or b"").lower().split(b"\n")]
+        sizes = np.array([len(x) for x in cut], np.int64)
+        ends = np.cumsum(sizes)
+        long = sizes >= PARAGRAPH_WORDS
+        self.at, self.n = (ends - sizes)[long], sizes[long]
+        self.words = numbers(list(chain.from_iterable(cut)))
+        self.shingles = runs(self.words, SHINGLE_WORDS)
+        self.n_shingles = self.n - SHINGLE_WORDS + 1
+
+    def contents(self) -> np.ndarray:
+        """A number for each line's sequence of shingles."""
+        if not len(self.at):
+            return EMPTY
+        ends = np.cumsum(self.n_shingles)
+        within = np.arange(ends[-1]) - np.repeat(ends - self.n_shingles, self.n_shingles)
+        rows = self.shingles[np.repeat(self.at, self.n_shingles) + within]
+        return _content(rows, within, ends - self.n_shingles, self.n)
+
+    def bands(self) -> np.ndarray:
+        """A row of band keys for each line."""
+        out = np.zeros((len(self.at), BANDS), np.uint64)
+        if len(self.at):
+            cuts = np.stack([self.at, self.at + self.n_shingles], axis=1).ravel()
+            for b in range(BANDS):
+                key = np.full(len(self.at), b + 1, np.uint64)
+                for t in _TURN[b * ROWS : (b + 1) * ROWS]:
+                    turned = np.append(mix(self.shingles * t), np.uint64(0))
+                    key = mix(key * _STEP + np.minimum.reduceat(turned, cuts)[::2])
+                out[:, b] = key
+        return out
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places and contents of the runs of ``PARAGRAPH_WORDS`` words that are paragraphs wherever they stand."""
+        heads = runs(self.words, PARAGRAPH_WORDS)
+        if not len(heads):
+            return np.zeros(0, np.int64), EMPTY
+        view = np.lib.stride_tricks.sliding_window_view(heads, min(SPACING, len(heads)))
+        at = np.unique(np.concatenate([view[k : k + 65536].argmin(axis=1) + np.arange(k, min(k + 65536, len(view))) for k in range(0, len(view), 65536)]))
+        return at, heads[at]
+
+
+def _content(rows: np.ndarray, within: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    placed = mix(rows + within.astype(np.uint64) * _STEP)
+    return mix(np.add.reduceat(placed, starts) + n.astype(np.uint64))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, at, content, band_0, ...): the paragraphs of each text, all of them numbers.
-
-    A text's shingles are its runs of five words. The least of every
-    ``SPACING`` successive shingle hashes begins a paragraph of
-    ``PARAGRAPH_WORDS`` words. Where a paragraph begins depends on the words
-    alone, not on lines or what stands around, so any passage of
-    ``SPACING + PARAGRAPH_WORDS - 1`` = 49 words that two texts share holds a
-    paragraph which both have, wherever it was put in.
+    r"""Rows (doc_id, at, n, content, band_0, ...): the paragraphs of each text, all of them numbers.
+
+    Paragraphs are the lines (cut at \n) of ``PARAGRAPH_WORDS`` words or more,
+    with their MinHash bands; and, since a passage may stand anywhere in a line
+    or across lines, runs of ``PARAGRAPH_WORDS`` words at places that the words
+    alone decide: of ``SPACING`` successive runs the one with the least number.
+    The latter have no bands, they meet as equal. Any 31 words that two texts
+    share hold one which both have.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [_paragraphs(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()]
-            at, content, bands = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
-            ids = b.column(0).take(pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found])))
-            keys = [pa.array(np.ascontiguousarray(bands[:, k]).view(np.int64)) for k in range(BANDS)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(at, pa.int32()), pa.array(content.view(np.int64)), *keys], ["doc_id", "at", "content", *_BAND_COLS])
+            row, at, n, content, bands = [], [], [], [], []
+            for k, text in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
+                lines = Lines(text)
+                places, heads = lines.windows()
+                at += [lines.at, places]
+                n += [lines.n, np.full(len(places), PARAGRAPH_WORDS)]
+                content += [lines.contents(), heads]
+                bands += [lines.bands(), np.zeros((len(places), BANDS), np.uint64)]
+                row += [np.full(len(lines.at) + len(places), k)]
+            if not row:
+                continue
+            bands = np.concatenate(bands)
+            none = bands[:, 0] == 0
+            keys = [pa.array(np.ascontiguousarray(bands[:, k]).view(np.int64), mask=none) for k in range(BANDS)]
+            numbers_ = [pa.array(np.concatenate(x).astype(np.int32)) for x in (at, n)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(row))), *numbers_, pa.array(np.concatenate(content).view(np.int64)), *keys], ["doc_id", "at", "n", "content", *_BAND_COLS])
+
+    return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, at int, n int, content long, " + ", ".join(f"{c} long" for c in _BAND_COLS))
+
+
+def _similar(pairs: DataFrame, lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of line contents whose sets of five-word shingles have the similarity. One text of each content is read again."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            contents, sets = [], []
+            for text, wanted in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("contents").to_pylist(), strict=True):
+                found, wanted = Lines(text), set(wanted)
+                for content, at, n in zip(found.contents().view(np.int64).tolist(), found.at.tolist(), found.n_shingles.tolist(), strict=True):
+                    if content in wanted:
+                        wanted.discard(content)
+                        contents.append(content)
+                        sets.append(np.unique(found.shingles[at : at + n]))
+            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), lists(sets)], ["content", "s"])
+
+    ends = pairs.select(F.col("a").alias("content")).unionByName(pairs.select(F.col("b").alias("content"))).distinct()
+    wanted = saved(ends.join(lines.select("content", "lo"), "content").groupBy("lo").agg(F.collect_list("content").alias("contents")), "wanted-lines")
+    found = texts.join(broadcast_if_small(wanted, wanted.agg(F.coalesce(F.sum(F.size("contents")), F.lit(0))).first()[0], MAX_IDS), F.col("doc_id") == F.col("lo"))
+    sets = saved(found.select("text", "contents").mapInArrow(of, "content long, s array<long>"), "line-shingles")
+    both = pairs.join(sets.select(F.col("content").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("content").alias("b"), F.col("s").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common * SIMILARITY[1] >= (F.size("x") + F.size("y") - common) * SIMILARITY[0]).select("a", "b").distinct()
+
 
-    return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, at int, content long, " + ", ".join(f"{c} long" for c in _BAND_COLS))
+def _line_links(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between different lines (as contents) that are similar."""
+    lines = found.where(F.col(_BAND_COLS[0]).isNotNull()).groupBy("content").agg(F.min("doc_id").alias("lo"), *[F.min(c).alias(c) for c in _BAND_COLS])
+    lines = saved(lines, "lines")
+    entries = lines.select(F.explode(F.array(*_BAND_COLS)).alias("s"), "content", F.lit(0).cast("long").alias("place"))
+    several = entries.groupBy("s").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo <> hi").select("s", F.struct(F.col("lo").alias("content"), F.lit(0).cast("long").alias("place")).alias("least"))
+    members = saved(entries.join(several, "s"), "line-bands")
+    # no filter by size: a line may repeat shingles, so its set can be smaller than its number of words tells
+    return bucket_links(members, lambda x, y: F.lit(True), lambda pairs: _similar(pairs, lines, texts))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, class_id, at, n_words, first_doc_id, removed): where texts repeat what other documents have.
-
-    Paragraphs with a MinHash band in common (two bands of two rows; a long
-    passage has several paragraphs, and one found is enough) are compared with
-    the least paragraph of their band; five-word shingle sets with an exact
-    Jaccard similarity of ``SIMILARITY`` or more link them, and components of
-    links are the classes. Runs of overlapping repeated paragraphs of one
-    document are joined, and those of ``MIN_REPEAT_WORDS`` words or more
-    returned: words ``at`` to ``at + n_words`` of the text, between ASCII white
-    space, counted from 0. A run's class is the least of its paragraphs', and it
-    is to be removed unless its document is the first (least id) of that class.
-
-    Equal paragraphs are grouped before they are banded, with counts combined
-    before the shuffle, so a passage in a third of all documents is one row in
-    its band. Null, empty and short texts have no paragraphs; a document without
-    repeats has no row; rows that share an id are one document, which does not
-    repeat itself; rows without an id are left out.
+    """Rows (doc_id, class_id, at, n_words, first_doc_id, removed, class_ids): where texts repeat what other documents have.
+
+    Lines with a MinHash band in common are joined, and linked if the exact
+    Jaccard similarity of their sets of five-word shingles is ``SIMILARITY`` or
+    more; in a band all that are not yet in one component are compared, so no
+    link is lost to the choice of a representative. Components of links are the
+    classes of lines; equal paragraphs are one class. A class that several
+    documents hold is a repeat, and stays in its first document (least id).
+
+    Of each document, overlapping or touching paragraphs with the same first
+    document are joined to a row: words ``at`` to ``at + n_words`` of the text,
+    between ASCII white space, counted from 0. ``class_ids`` are all its classes,
+    ``class_id`` the least of them; the row is to be removed unless the document
+    is the first.
+
+    Equal paragraphs are grouped, with counts combined before the shuffle,
+    before anything is compared, so a passage in a third of all documents is one
+    row in its band. Null, empty and short texts have no paragraphs; very long
+    ones are whole; a document without repeats has no row; rows that share an
+    id are one document, which does not repeat itself; rows without an id are
+    left out; an empty table gives no rows. Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     found = saved(paragraphs(texts), "paragraphs")
-    contents = found.groupBy("content").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *[F.min(c).alias(c) for c in _BAND_COLS])
-    banded = contents.select("content", F.explode(F.array(*_BAND_COLS)).alias("band")).withColumn("least", F.min("content").over(Window.partitionBy("band")))
-    near = banded.where("content <> least").select(F.col("content").alias("a"), F.col("least").alias("b"))
-    same = contents.where("lo <> hi").select(F.col("content").alias("a"), F.col("content").alias("b"))
-    links = saved(near.unionByName(same).distinct(), "paragraph-links")
-    release_shuffles(docs.sparkSession)
-    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    places = saved(found.select("doc_id", "at", "content").join(nodes, F.col("content") == F.col("node"), "left_semi").distinct(), "paragraph-places")
-    release_shuffles(docs.sparkSession)
-    similar = saved(_verified(links.where("a <> b"), places, texts), "similar-paragraphs")
-    release_shuffles(docs.sparkSession)
-    nodes = links.where("a = b").select(F.col("a").alias("node")).unionByName(similar.select(F.col("a").alias("node"))).unionByName(similar.select(F.col("b").alias("node"))).distinct()
-    classes = nodes.join(components(similar).select(F.col("node").alias("n"), "root"), F.col("node") == F.col("n"), "left").select(F.col("node").alias("content"), F.coalesce("root", "node").alias("class_id"))
-    hits = saved(places.join(classes, "content").select("doc_id", "at", "class_id").distinct(), "repeats")
-    several = hits.groupBy("class_id").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").drop("last")
-
-    own = Window.partitionBy("doc_id").orderBy("at", "class_id")
-    runs = hits.join(several, "class_id").withColumn("reach", F.max(F.col("at") + PARAGRAPH_WORDS).over(own.rowsBetween(Window.unboundedPreceding, -1)))
-    runs = runs.withColumn("run", F.sum(F.when(F.col("at") <= F.col("reach"), 0).otherwise(1)).over(own))
-    out = runs.groupBy("doc_id", "run").agg(F.min(F.struct("class_id", "first_doc_id")).alias("c"), F.min("at").alias("at"), (F.max("at") + PARAGRAPH_WORDS - F.min("at")).cast("long").alias("n_words"))
-    return out.where(F.col("n_words") >= MIN_REPEAT_WORDS).select("doc_id", "c.class_id", "at", "n_words", "c.first_doc_id", (F.col("doc_id") != F.col("c.first_doc_id")).alias("removed"))
-
-
-def _verified(links: DataFrame, places: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) whose paragraphs have the similarity. Of each content one occurrence is read again from its text."""
-    first = places.groupBy("content").agg(F.min(F.struct("doc_id", "at")).alias("p"))
-    ends = links.select("a", "b", F.col("a").alias("content"), F.lit(0).alias("end")).unionByName(links.select("a", "b", F.col("b").alias("content"), F.lit(1).alias("end")))
-    ends = saved(ends.join(first, "content").select("a", "b", "p", "end"), "link-ends")
-    wanted = ends.select("p.doc_id", "p.at").distinct().groupBy("doc_id").agg(F.collect_set("at").alias("places"))
-    words = ascii_words(F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-
-    def sets_of(w: Column) -> Column:
-        """The hashes of the shingles of each wanted paragraph."""
-        shingles = lambda at: F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(_SHINGLES - 1)), lambda i: F.xxhash64(*[F.get(w, at + i + k) for k in range(SHINGLE_WORDS)])))
-        return F.transform("places", lambda at: F.struct(at.alias("at"), shingles(at).alias("s")))
-
-    sets = texts.join(wanted, "doc_id").select("doc_id", F.explode(let(words, sets_of)).alias("x")).select("doc_id", "x.at", "x.s")
-    both = ends.join(sets, (F.col("p.doc_id") == sets.doc_id) & (F.col("p.at") == sets["at"])).groupBy("a", "b").agg(F.max(F.when(F.col("end") == 0, F.col("s"))).alias("x"), F.max(F.when(F.col("end") == 1, F.col("s"))).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= SIMILARITY * (F.size("x") + F.size("y") - common)).select("a", "b")
+    roots = components(_line_links(found, texts))
+    roots = roots.select(F.col("node").alias("content"), F.col("root").alias("class_id"))
+
+    held = saved(found.groupBy("content").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi"), "equal-paragraphs")
+    near = saved(found.where(F.col(_BAND_COLS[0]).isNotNull()).join(roots, "content").select("content", "class_id", "doc_id"), "near-lines")
+    first = near.groupBy("class_id").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("hi")).where("first_doc_id <> hi").drop("hi")
+    near = near.select("content", "class_id").distinct().join(first, "class_id").select("content", "class_id", "first_doc_id")
+    equal = held.join(near, "content", "left_anti").select("content", F.col("content").alias("class_id"), F.col("lo").alias("first_doc_id"))
+    classes = equal.unionByName(near)
+
+    hits = found.select("doc_id", "at", "n", "content").join(classes, "content").select("doc_id", "at", "n", "class_id", "first_doc_id")
+    hits = saved(hits, "repeats")
+    own = Window.partitionBy("doc_id", "first_doc_id").orderBy("at", "n", "class_id")
+    joined = hits.withColumn("reach", F.max(F.col("at") + F.col("n")).over(own.rowsBetween(Window.unboundedPreceding, -1)))
+    joined = joined.withColumn("run", F.sum(F.when(F.col("at") <= F.col("reach"), 0).otherwise(1)).over(own))
+    out = joined.groupBy("doc_id", "first_doc_id", "run").agg(F.array_sort(F.collect_set("class_id")).alias("class_ids"), F.min("at").alias("at"), (F.max(F.col("at") + F.col("n")) - F.min("at")).cast("long").alias("n_words"))
+    return out.select("doc_id", F.col("class_ids")[0].alias("class_id"), "at", "n_words", "first_doc_id", (F.col("doc_id") != F.col("first_doc_id")).alias("removed"), "class_ids")
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, spans): the word spans (at, n_words) to cut from each document."""
-    return repeated_passages(docs).where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "n_words"))).alias("spans"))
+    """Rows (doc_id, spans): the word spans (at, n_words) to cut from each document that repeats.
+
+    What a document is the first to hold is not cut from it, even where a span
+    that others hold earlier overlaps it: such a span ends before it, or begins
+    after it. So each class keeps one whole occurrence.
+    """
+    rows = repeated_passages(docs).select("doc_id", F.col("at").cast("long").alias("at"), (F.col("at") + F.col("n_words")).alias("end"), "removed")
+    spans = lambda removed: F.array_sort(F.collect_list(F.when(F.col("removed") == removed, F.struct("at", "end"))))
+    per = rows.groupBy("doc_id").agg(spans(True).alias("cut"), spans(False).alias("kept"))
+    # a kept span parts a cut one in two: what lies before it, and what lies after
+    part = lambda x, k: F.filter(F.array(F.struct(x["at"].alias("at"), F.least(x["end"], k["at"]).alias("end")), F.struct(F.greatest(x["at"], k["end"]).alias("at"), x["end"].alias("end"))), lambda y: y["at"] < y["end"])
+    left = F.aggregate("kept", F.col("cut"), lambda acc, k: F.flatten(F.transform(acc, lambda x: part(x, k))))
+    out = F.transform(left, lambda x: F.struct(x["at"].alias("at"), (x["end"] - x["at"]).alias("n_words")))
+    return per.select("doc_id", out.alias("spans")).where(F.size("spans") > 0)
