@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import new_folder, saved
+from tessera.llm.pieces import Pieces, gathered, slices
 
 SEQUENCE = 2048
 END_ID = 0
@@ -28,7 +29,7 @@ class WordEncoder:
 
     For a byte-level model without normalizer. Its splitter never joins what
     stands on the two sides of one space between non-spaces, so a text is cut
-    there, each distinct piece is encoded once, and the ids are put together. A
+    there and each distinct piece is encoded once. A
     piece that begins or ends with other white space, or is empty, would see a
     run of white space cut short: such a text is cut by a pattern that leaves
     the runs whole. Plain pieces (ASCII and Latin letters) are split by the
@@ -80,7 +81,7 @@ class WordEncoder:
             return self._whole(piece)
         return b"".join(map(self._part, self.split(piece)))
 
-    def _new(self, word: str) -> bytes | None:
+    def _after_space(self, word: str) -> bytes | None:
         """The ids of ' ' + word, kept for later; None where a text can't be cut: next to other white space, or between spaces."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
@@ -91,36 +92,55 @@ class WordEncoder:
         ids = self.cache[word] = self._piece(f" {word}")
         return ids
 
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if not first or first[-1].isspace():
-            return self._cut(text)
-        found = list(map(self.cache.get, rest))
-        at = -1
-        try:
-            while True:
-                at = found.index(None, at + 1)
-                found[at] = self._new(rest[at])
-                if found[at] is None:
-                    return self._cut(text)
-        except ValueError:  # none left
-            return self._piece(first) + b"".join(found)
-
     def _cut(self, text: str) -> bytes:
         return b"".join([self._piece(p if k == 0 else f" {p}") for k, p in enumerate(self.cut(text))])
 
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end_id`` after each, and how many each has, that one included.
+
+        Distinct pieces of all texts are encoded once; the ids are then put
+        together by whole arrays. The first piece of a text has no space before
+        it; a text that can't be cut at its spaces is one piece.
+        """
+        pieces = Pieces(texts)
+        found = list(map(self.cache.get, pieces.distinct))
+        uncut = np.zeros(len(found), bool)
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = self._after_space(pieces.distinct[k])
+                if found[k] is None:
+                    found[k], uncut[k] = b"", True
+        none, end = len(found), len(found) + 1
+        found += [b"", np.array([end_id], self.dtype).tobytes()]
+        firsts = np.array([not w or w[-1].isspace() for w in pieces.distinct], bool)[pieces.codes[pieces.starts]]
+        whole = set(pieces.texts_with(uncut, but_first=True).tolist()) | set(np.flatnonzero(firsts).tolist())
+        codes = np.empty(len(pieces.codes) + len(texts), np.int64)
+        text_number = np.arange(len(texts))
+        codes[np.arange(len(pieces.codes)) + np.repeat(text_number, pieces.sizes)] = pieces.codes
+        codes[pieces.ends + text_number] = end
+        for k, first in enumerate(pieces.codes[pieces.starts].tolist()):
+            at = pieces.starts[k] + k
+            if k in whole:
+                codes[at : at + pieces.sizes[k]] = none
+                ids = self._cut(texts[k].as_py())
+            else:
+                ids = self._piece(pieces.distinct[first])
+            codes[at] = len(found)
+            found.append(ids)
+        ends = np.cumsum([len(x) for x in found]) // self.dtype.itemsize
+        ids, n = gathered(np.frombuffer(b"".join(found), self.dtype), ends, codes)
+        return ids, np.add.reduceat(n, pieces.starts + text_number)
+
 
 class SequenceFile:
-    """Writes ids into an Arrow file of fixed-size lists: ``ids``, and ``mask``, true where an id stands."""
+    """Writes ids into an Arrow file of fixed-size lists: ``ids``, and ``mask``, a byte for each place, 1 where an id stands."""
 
     def __init__(self, uri: str, dtype: np.dtype, sequence: int):
         self.fs, self.path = fs.FileSystem.from_uri(uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.dtype, self.sequence, self.n, self.buffer, self.held = dtype, sequence, 0, [], 0
         kind = pa.uint16() if dtype.itemsize == 2 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
         self.sink = self.fs.open_output_stream(self.path)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
 
@@ -138,7 +158,7 @@ class SequenceFile:
         for at in range(0, end, size):
             part = ids[at : min(at + size, end)]
             rows = -(-len(part) // self.sequence)
-            mask = np.arange(rows * self.sequence) < len(part)
+            mask = (np.arange(rows * self.sequence) < len(part)).astype(np.uint8)
             part = np.concatenate([part, np.zeros(len(mask) - len(part), self.dtype)])
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.sequence) for x in (part, mask)]
             self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
@@ -167,8 +187,9 @@ class SequenceReader:
         return self.last[1]
 
     def sequence_and_mask(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both are views of the file's bytes."""
         batch, k = self.file.get_batch(row // BATCH_ROWS), row % BATCH_ROWS
-        return batch.column("ids")[k].values.to_numpy(), batch.column("mask")[k].values.to_numpy(zero_copy_only=False)
+        return batch.column("ids")[k].values.to_numpy(), batch.column("mask")[k].values.to_numpy()
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """Ids ``start`` to ``start + n`` of the file, as one view for each batch they touch."""
@@ -197,16 +218,17 @@ def write_files(docs: DataFrame, out: str, tokenizer_file: str, id_col: str = "d
 
         task, encoder, file, path = TaskContext.get(), _encoder(tokenizer_file), None, None
         for b in batches:
-            index: list[list] = [[], []]
-            for text in b.column(1).to_pylist():
+            at, n_tokens = [], []
+            for texts in slices(b.column(1)):
                 if file is None:
                     path = f"{out}/part-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
                     file = SequenceFile(path, encoder.dtype, sequence)
-                ids = np.frombuffer(encoder.encode(text) + np.array([end_id], encoder.dtype).tobytes(), encoder.dtype)
-                index[0].append(file.n)
-                index[1].append(len(ids))
+                ids, n = encoder.encode(texts, end_id)
+                at.append(file.n + np.cumsum(n) - n)
+                n_tokens.append(n)
                 file.add(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([path] * b.num_rows, pa.string()), pa.array(index[0], pa.int64()), pa.array(index[1], pa.int64())], ["doc_id", "path", "at", "n_tokens"])
+            if at:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([path] * b.num_rows, pa.string()), pa.array(np.concatenate(at)), pa.array(np.concatenate(n_tokens))], ["doc_id", "path", "at", "n_tokens"])
         if file is not None:
             file.close()
 

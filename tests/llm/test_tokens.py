@@ -2,10 +2,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tessera.llm import token_counts, token_files
+from tessera.llm import pieces, token_counts, token_files
 
 from .cases import ODD, empty, odd, odd_rows, plain, table
 
@@ -18,7 +19,7 @@ def test_counts(spark, sf):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for df, rows in ((spark.read.parquet(f"{sf}/documents.parquet"), table(sf, "documents")), (odd(spark), odd_rows())):
         want = sorted(((r[0], len((r[1] or "").encode()), n := len(sp.encode(r[1] or "")), n > 4096) for r in rows), key=repr)
-        assert plain(token_counts.token_counts(df, PIECES)) == want
+        assert plain(token_counts.token_counts(df, PIECES).select("doc_id", "n_bytes", "n_tokens", "over_limit")) == want
     assert token_counts.token_counts(empty(spark), PIECES).count() == 0
 
 
@@ -38,10 +39,34 @@ def test_prefix_rows(spark):
     assert got == [len(sp.encode(" ".join(ODD[17].split(" ")[:k]))) for k in range(1, len(got) + 1)]
 
 
+def test_budgets_from_the_stored_table(spark, sf, tmp_path):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    stored = token_counts.stored_prefix_counts(spark.read.parquet(f"{sf}/documents.parquet"), PIECES, f"file://{tmp_path}/counts")
+    texts = {r[0]: r[1] or "" for r in table(sf, "documents")}
+    for budget in (1, 50, 4096):
+        for r in token_counts.within_budget(stored, budget).where("doc_id % 7 = 0").collect():
+            cuts = [len(sp.encode(texts[r.doc_id]))] if r.n_tokens <= budget else []
+            words = texts[r.doc_id].split(" ")
+            assert r.fit_words == len(r.counts) or r.counts[r.fit_words] > budget
+            assert r.fit_tokens == (len(sp.encode(" ".join(words[: r.fit_words]))) if r.fit_words and "  " not in texts[r.doc_id] else r.fit_tokens) <= budget
+            assert not cuts or r.fit_tokens == cuts[0]
+
+
 def test_encoder(sf):
+    """Alone, all together, and in slices, each text gets the library's ids."""
     t, e = Tokenizer.from_file(BPE), token_files.WordEncoder(BPE)
-    for text in [x or "" for x in ODD] + MORE + [r[1] for r in table(sf, "documents")]:
-        assert np.frombuffer(e.encode(text), e.dtype).tolist() == t.encode(text, add_special_tokens=False).ids
+    texts = [x or "" for x in ODD] + MORE + [r[1] for r in table(sf, "documents")]
+    want = [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert [e.encode(pa.array([x]), 0)[0].tolist() for x in texts] == want
+    old = pieces.SLICE_BYTES
+    for size in (old, 1000):
+        pieces.SLICE_BYTES = size
+        got = []
+        for part in pieces.slices(pa.array([x or None for x in texts], pa.string())):
+            ids, n = e.encode(part, 0)
+            got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert got == want
+    pieces.SLICE_BYTES = old
 
 
 def brute(rows):
