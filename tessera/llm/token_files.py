@@ -133,14 +133,14 @@ class WordEncoder:
 
 
 class SequenceFile:
-    """Writes ids into an Arrow file of fixed-size lists: ``ids``, and ``mask``, a byte for each place, 1 where an id stands."""
+    """Writes ids into an Arrow file of fixed-size lists: ``ids``, and ``mask``, true where an id stands."""
 
     def __init__(self, uri: str, dtype: np.dtype, sequence: int):
         self.fs, self.path = fs.FileSystem.from_uri(uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.dtype, self.sequence, self.n, self.buffer, self.held = dtype, sequence, 0, [], 0
         kind = pa.uint16() if dtype.itemsize == 2 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
         self.sink = self.fs.open_output_stream(self.path)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
 
@@ -158,7 +158,7 @@ class SequenceFile:
         for at in range(0, end, size):
             part = ids[at : min(at + size, end)]
             rows = -(-len(part) // self.sequence)
-            mask = (np.arange(rows * self.sequence) < len(part)).astype(np.uint8)
+            mask = np.arange(rows * self.sequence) < len(part)
             part = np.concatenate([part, np.zeros(len(mask) - len(part), self.dtype)])
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.sequence) for x in (part, mask)]
             self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
@@ -186,10 +186,10 @@ class SequenceReader:
             self.last = k, self.file.get_batch(k).column("ids").flatten().to_numpy()
         return self.last[1]
 
-    def sequence_and_mask(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Both are views of the file's bytes."""
+    def sequence_and_mask(self, row: int) -> tuple[pa.Array, pa.BooleanArray]:
+        """Both are views of the file, of numbers and of bits; nothing is copied."""
         batch, k = self.file.get_batch(row // BATCH_ROWS), row % BATCH_ROWS
-        return batch.column("ids")[k].values.to_numpy(), batch.column("mask")[k].values.to_numpy()
+        return batch.column("ids")[k].values, batch.column("mask")[k].values
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """Ids ``start`` to ``start + n`` of the file, as one view for each batch they touch."""

@@ -96,4 +96,4 @@ def test_random_access(spark, tmp_path):
             row = r["at"] // reader.sequence + 1
             ids, mask = reader.sequence_and_mask(row)
             k = row * reader.sequence - r["at"]
-            assert len(ids) == len(mask) == reader.sequence and mask.all() and ids.tolist() == want[k : k + len(ids)]
+            assert len(ids) == len(mask) == reader.sequence and all(mask.to_pylist()) and ids.to_pylist() == want[k : k + len(ids)]
