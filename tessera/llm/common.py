@@ -20,10 +20,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only a session that has none set (tests, a laptop) gets a temporary folder.
+    Only a local session that has none set (tests, a laptop) gets a temporary
+    folder: on a cluster no two machines would share it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -53,6 +56,22 @@ def clean_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_key(text: Column) -> list[Column]:
+    """A text as two 64-bit hashes, ``t1`` and ``t2``: rows with the same text, and only these, meet by them, whatever their ids."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("text"), text).alias("t2")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as a column ``row``, with two 64-bit hashes of all its columns, ``r1`` and ``r2``.
+
+    They tell rows apart that have no id, or share one; rows that are equal in
+    every column have one key. Names of columns can't clash with others'.
+    """
+    cols = [F.to_json(F.struct(c)) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    hashes = [F.xxhash64(F.lit(k), *cols, *[c.isNull() for c in cols]) for k in ("r1", "r2")]
+    return docs.select(F.struct("*").alias("row"), hashes[0].alias("r1"), hashes[1].alias("r2"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once per row however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]

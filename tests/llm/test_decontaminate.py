@@ -54,3 +54,12 @@ def test_empty(spark):
     assert {r.n_hit for r in decontaminate.item_hits(odd(spark), items).collect()} == {0}
     clean = decontaminate.clean_documents(odd(spark), items)
     assert clean.count() == len(odd_rows()) and clean.columns == odd(spark).columns
+
+
+def test_each_row_by_its_own_text(spark):
+    """Contaminated rows go with or without an id, and clean rows that share their id stay."""
+    item = " ".join(f"item{i}" for i in range(12))
+    rows = [(1, "x " + item), (None, "y " + item), (None, "clean"), (1, "clean too"), (None, None), (1, "x " + item)]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert plain(decontaminate.clean_documents(docs, items)) == sorted([(None, "clean"), (1, "clean too"), (None, None)], key=repr)
+    assert plain(decontaminate.item_hits(docs, items)) == brute(rows, [(1, item)])
