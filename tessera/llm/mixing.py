@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ASCII_SPACE, saved
+from tessera.llm.common import ASCII_SPACE, keyed, saved
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -56,31 +56,40 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     sources are one source, the last. Repeated rows are separate documents. The
     same rows and seed give the same copies.
     """
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(rf"[^{ASCII_SPACE[1:-2]}]+")), F.lit(0)).cast("long")
-    rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size")), "sizes")
+    named = keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text")))
+    return _copies(named, seed, weights, max_copies).drop("r1", "r2")
+
+
+def _copies(named: DataFrame, seed: int, weights: tuple[int, ...], max_copies: int) -> DataFrame:
+    """What ``mix`` returns, and each row's key, for ``keyed`` rows."""
+    size = F.coalesce(F.regexp_count(F.col("row.text"), F.lit(rf"[^{ASCII_SPACE[1:-2]}]+")), F.lit(0)).cast("long")
+    rows = saved(named.select("row.doc_id", "row.source", size.alias("size"), "r1", "r2"), "sizes")
     groups = rows.groupBy("source", "size").agg(F.count("*").alias("n"))
     sources = saved(targets(groups.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("n_docs")), weights, max_copies), "targets")
 
     parts = groups.select(F.col("source").alias("g_source"), F.col("size").alias("g_size"), F.ceil(F.col("n") / GROUP_ROWS).alias("n_parts"))
     parted = rows.join(parts, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("g_size")))
-    parted = saved(parted.select("doc_id", "source", "size", F.expr("pmod(xxhash64(doc_id), n_parts)").alias("part")), "parts")
+    parted = saved(parted.select("doc_id", "source", "size", "r1", "r2", F.expr("pmod(xxhash64(doc_id, r1), n_parts)").alias("part")), "parts")
     counts = parted.groupBy("source", "size", "part").agg(F.count("*").alias("n"))
     line = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("source").alias("p_source"), F.col("size").alias("p_size"), F.col("part").alias("p_part"), F.coalesce(F.sum("n").over(line), F.lit(0)).alias("before"))
-    ranked = parted.withColumn("within", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("doc_id")))
-    ranked = ranked.join(offsets, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")) & (F.col("part") == F.col("p_part"))).select("doc_id", "source", "size", (F.col("before") + F.col("within")).alias("rank"))
+    ranked = parted.withColumn("within", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("doc_id", "r1", "r2")))
+    ranked = ranked.join(offsets, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")) & (F.col("part") == F.col("p_part"))).select("doc_id", "source", "size", "r1", "r2", (F.col("before") + F.col("within")).alias("rank"))
 
     s = sources.select(F.col("source").alias("s_source"), "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"), (F.expr(f"pmod(xxhash64(source, {seed}), 1048576)") / 1048576.0).alias("offset"))
     placed = ranked.join(s, F.col("source").eqNullSafe(F.col("s_source")))
     crossed = F.floor(F.col("rank") * F.col("rate") + F.col("offset")) - F.floor((F.col("rank") - 1) * F.col("rate") + F.col("offset"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", F.least(crossed, F.lit(max_copies)).cast("long").alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", F.least(crossed, F.lit(max_copies)).cast("long").alias("copies"), "r1", "r2")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes them.
 
-    Rows that share an id but differ are each taken as often as one of them is.
+    Rows are told apart by all their columns, so those without an id or with a
+    shared one have copies of their own; rows that are equal in every column
+    come as often as all of them are taken. Rows without a word come or not by
+    chance of their place, like any other. An empty table stays empty.
     """
-    counts = mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    taken = counts.where("copies > 0").select("doc_id", "copies")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select(docs.columns)
+    rows = keyed(docs)
+    counts = _copies(rows, SEED, WEIGHTS, MAX_COPIES).groupBy("r1", "r2").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    return rows.dropDuplicates(["r1", "r2"]).join(counts, ["r1", "r2"]).select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")

@@ -1,5 +1,5 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from tessera.llm import mixing
 
@@ -57,4 +57,9 @@ def test_capped_sources(spark):
 def test_empty_and_rows(spark):
     assert mixing.mix(empty(spark)).count() == 0
     out = mixing.mixed(odd(spark))
-    assert out.columns == odd(spark).columns and out.count() > 0
+    assert out.columns == odd(spark).columns
+    copies = Counter()
+    for r in mixing.mix(odd(spark)).collect():
+        copies[r.doc_id, r.source, r.size] += r.copies
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert Counter((r.doc_id, r.source, words(r.text)) for r in out.collect()) == +copies
