@@ -11,28 +11,43 @@ from tessera.llm.common import saved
 from tessera.llm.graph import components
 
 
-def bucket_links(members: DataFrame, may: Callable[[Column, Column], Column], similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def several(entries: DataFrame) -> DataFrame:
+    """``entries`` (s, content, ...) of buckets with more than one content, with the least content of the bucket."""
+    ends = entries.groupBy("s").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least < most").drop("most")
+    return saved(entries.join(ends, "s"), "buckets")
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b): each content with that least content of its buckets which it meets most often, so that a large group costs a pair a member."""
+    met = members.where("content <> least").groupBy(F.col("content").alias("a"), F.col("least").alias("b")).count()
+    return saved(met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", "m.b"), "stars")
+
+
+def open_members(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows (s, content, place, root) of the buckets that ``links`` leave in more than one component."""
+    roots = components(links).select(F.col("node").alias("content"), "root")
+    rooted = saved(members.select("s", "content", "place").join(roots, "content", "left").withColumn("root", F.coalesce("root", "content")), "rooted-buckets")
+    ends = rooted.groupBy("s").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("s")
+    return saved(rooted.join(ends, "s", "left_semi"), "open-buckets")
+
+
+def bucket_links(members: DataFrame, may: Callable[[Column, Column], Column], similar: Callable[[DataFrame], DataFrame], first: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that join all contents which are similar and share a bucket into the right components.
 
-    ``members`` has rows (s, content, place, least): a content in bucket ``s``,
-    and the bucket's least content with its place. ``may`` tells by two places
-    whether a pair can be similar, ``similar`` picks the similar ones of pairs
-    (a, b). First each content is compared with the least that it meets most
-    often, so a large group of near copies costs a pair a member; then, in
-    buckets that are not yet one component, all that are outside the largest
-    component with all of other components. So each pair that is similar is
-    either compared or linked through others.
+    ``members`` has rows (s, content, place): a content in bucket ``s``. ``may``
+    tells by two places whether a pair can be similar, ``similar`` picks the
+    similar ones of pairs (a, b). After the pairs ``first``, in buckets that are
+    not yet one component, all that are outside the largest component are
+    compared with all of other components. So each pair that is similar is
+    either compared or linked through others. ``links`` are known before.
     """
-    stars = members.where(F.col("content") != F.col("least.content")).where(may(F.col("place"), F.col("least.place"))).groupBy(F.col("content").alias("a"), F.col("least.content").alias("b")).count()
-    first = saved(stars.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", "m.b"), "pairs")
-    links = saved(similar(first), "similar")
-
-    roots = components(links)
-    rooted = saved(members.select("s", "content", "place").join(roots.select(F.col("node").alias("content"), "root"), "content", "left").withColumn("root", F.coalesce("root", "content")), "rooted-buckets")
-    largest = rooted.groupBy("s", "root").agg(F.count("*").alias("n")).groupBy("s").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select("s", F.col("top.root").alias("top"))
-    open_ = saved(rooted.join(largest, "s"), "open-buckets")
-    outside = open_.where("root <> top").select("s", F.col("content").alias("x"), F.col("place").alias("x_place"), F.col("root").alias("x_root"))
-    rest = outside.join(open_.select("s", F.col("content").alias("y"), F.col("place").alias("y_place"), F.col("root").alias("y_root")), "s").where("x_root <> y_root").where(may(F.col("x_place"), F.col("y_place")))
+    found = similar(first)
+    links = saved(found if links is None else links.unionByName(found), "similar")
+    members = open_members(members, links)
+    largest = members.groupBy("s", "root").agg(F.count("*").alias("n")).groupBy("s").agg(F.max(F.struct("n", "root")).alias("top")).select("s", F.col("top.root").alias("top"))
+    marked = saved(members.join(largest, "s"), "marked-buckets")
+    outside = marked.where("root <> top").select("s", F.col("content").alias("x"), F.col("place").alias("x_place"), F.col("root").alias("x_root"))
+    rest = outside.join(marked.select("s", F.col("content").alias("y"), F.col("place").alias("y_place"), F.col("root").alias("y_root")), "s").where("x_root <> y_root").where(may(F.col("x_place"), F.col("y_place")))
     rest = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     second = saved(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     return saved(links.unionByName(similar(second)), "similar")

@@ -86,9 +86,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = saved(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-components")
     return rows.join(found, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the smallest doc_id stays, once."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns)

@@ -3,6 +3,8 @@
 import duckdb
 from pyspark.sql import types as T
 
+#: Names that operators use for columns of their own.
+CLASHING = "copies copy row r1 t1 root content host part salt size pivot bands at".split()
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -14,6 +16,7 @@ SCHEMA = T.StructType(
         T.StructField("n_words", T.StringType()),
         T.StructField("start", T.StringType()),
         T.StructField("key", T.StringType()),
+        *[T.StructField(c, T.StringType()) for c in CLASHING],
     ]
 )
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -44,8 +47,11 @@ ODD = [
 
 
 def odd_rows():
-    rows = [(i, t, None if i % 5 == 0 else "en", None if i % 4 == 0 else f"s{i % 3}", None if t is None else len(t), "c", "n", "s", "k") for i, t in enumerate(ODD)]
-    return rows + [rows[14], rows[0], (100, "alpha beta", None, "Z", 1, None, None, None, None), (None, "no id here at all", "en", "s1", 1, None, None, None, None)]
+    more = ("c", "n", "s", "k", *CLASHING)
+    none = (None,) * len(more)
+    rows = [(i, t, None if i % 5 == 0 else "en", None if i % 4 == 0 else f"s{i % 3}", None if t is None else len(t), *more) for i, t in enumerate(ODD)]
+    lone = [(100, "alpha beta", None, "Z", 1), (None, "no id here at all", "en", "s1", 1), (None, PASSAGE, "en", "s1", 1), (100, "another text with the id of a text that differs", "en", "Z", 1), (None, None, None, None, None), (None, "no id, and its only copy has none", "en", "s2", 1), (None, "no id, and its only copy has none", "en", "s2", 2)]
+    return rows + [rows[14], rows[0], *[(*r, *none) for r in lone]]
 
 
 def odd(spark):

@@ -42,12 +42,6 @@ def test_empty(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
-def test_keep_one(spark):
-    kept = simhash.keep_one_each(odd(spark))
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) and 14 in ids and 15 not in ids and 16 not in ids and kept.columns == odd(spark).columns
-
-
 def test_links_join_all_within_two_bits(spark):
     import random
 
