@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ PRODUCT = (
 # Patterns of the negation flag.
 NEGATION = (
     r"\bmachi\b", r"\bmachi\s+\w+", r"\bwalo\b", r"\bvalou\b", r"\bwalou\b", r"\bma\s*[\w]+sh\b", r"\bma\s*[\w]+ch\b", r"\bma\s*[\w]+ش\b", r"\bماجازش\b", r"\bماسمعناش\b", r"\bماخدمتوش\b", r"\bما\s*نقدرش\b", r"\bمايمشيش\b",
-    r"\bومنقدرش\b", r"\bماشراهش\b", r"\bمحبوش\b", r"\bمحبوهش\b", r"\bمابغاوش\b", r"\bمابغيتش\b", r"\bوالو\b", r"\bلا والو\b", r"\bماكان والو\b", r"\bماكان حتى حاجة\b", r"\bماكان حتى فايدة\b",
+    r"\bومنقدرش\b", r"\bماشراهش\b", r"\bمحبوش\b", r"\bمحبوهش\b", r"\bمابغاوش\b", r"\bمابغيتش\b", r"\bوالو\b", r"\bولا والو\b", r"\bماكان والو\b", r"\bماكان حتى حاجة\b", r"\bماكان حتى فايدة\b",
     r"\bما\s*(هو|هي|هم|هن|كان|كانت|يكون|كانوا)\b", r"\bلا\s+\w+", r"\bلم\s+\w+", r"\bلن\s+\w+", r"\bليس\b", r"\bليست\b", r"\bليسا\b", r"\bليسوا\b", r"\bغير\s+\w+", r"\bبدون\b", r"\bدون\b", r"\bمكانش\b", r"\bماكاش\b", r"\bماكانتش\b",
     r"\bما\s*kach\b", r"\bمافيش\b", r"\bمافيهاش\b", r"\bمافيهوش\b", r"\bماعندوش\b", r"\bماعندهاش\b", r"\bماعندناش\b", r"\bمازال\s*ما\b", r"\bحتى الآن ما\b", r"\bمش\b", r"\bميش\b", r"\bماشي\b", r"\bمانيش\b", r"\bمارناش\b",
     r"\bne\s+\w+\s+pas\b", r"\bne\s+\w+\s+plus\b", r"\bne\s+\w+\s+jamais\b", r"\bne\s+\w+\s+rien\b", r"\bn['']y\s+a\s+pas\b", r"\bpas\s+de\b", r"\baucun(e)?\b", r"\bjamais\b", r"\bplus\s+de\b", r"\brien\b", r"\bpersonne\b", r"\bnulle\s+part\b",
@@ -74,9 +76,42 @@ NEGATION_COMPOSED = (
 )
 
 
-def meets(c: Column, patterns: tuple[str, ...], dotall: bool = False) -> Column:
-    """Whether any pattern is found, without regard to case; null text meets none."""
-    return F.coalesce(c.rlike(f"(?iU{'s' if dotall else 'd'})" + "|".join(patterns)), F.lit(False))
+def any_of(patterns: tuple[str, ...]) -> str:
+    """One pattern that is found wherever any of ``patterns`` is.
+
+    Patterns are grouped by whether they begin at a word boundary and by their
+    first letter, so that most places of a text are passed after one look.
+    """
+    groups: dict[str, dict[str, list[str]]] = {"\\b": {}, "": {}}
+    for p in patterns:
+        edge = "\\b" if p.startswith("\\b") else ""
+        rest = p[len(edge) :]
+        letter = rest[0] if rest[0].isalnum() and not re.match(r".[?*{|]", rest) and not _open_choice(rest) else ""
+        groups[edge].setdefault(letter, []).append(rest[len(letter) :])
+    parts = []
+    for edge, by_letter in groups.items():
+        free = by_letter.pop("", [])
+        choices = [f"{letter}(?:{'|'.join(rest)})" for letter, rest in by_letter.items()]
+        if choices:
+            parts.append(f"{edge}(?=[{''.join(by_letter)}])(?:{'|'.join(choices)})")
+        if free:
+            parts.append(f"{edge}(?:{'|'.join(free)})")
+    return "|".join(parts)
+
+
+def _open_choice(pattern: str) -> bool:
+    """Whether a choice stands outside all brackets of a pattern."""
+    depth = 0
+    for x in re.sub(r"\\.|\[[^\]]*\]", "", pattern):
+        depth += (x == "(") - (x == ")")
+        if x == "|" and not depth:
+            return True
+    return False
+
+
+def meets(c: Column, patterns: tuple[str, ...], dotall: bool = False, lowered: bool = False) -> Column:
+    """Whether any pattern is found, without regard to case (``lowered`` text needs none); null text meets none."""
+    return F.coalesce(c.rlike(f"(?{'' if lowered else 'i'}U{'s' if dotall else 'd'}){any_of(patterns)}"), F.lit(False))
 
 
 def evidence(c: Column, patterns: tuple[str, ...]) -> Column:
@@ -96,9 +131,19 @@ def mixed(c: Column) -> Column:
 
 
 def mixed_evidence(c: Column) -> Column:
+    """The first expression of either kind that makes a text mixed."""
     return F.concat_ws(" ↔ ", evidence(c, MIXED_POSITIVE), evidence(c, MIXED_NEGATIVE))
 
 
+def negation_evidence(c: Column) -> Column:
+    t = F.lower(c)
+    return F.concat_ws(" ⊗ ", evidence(t, NEGATION), evidence(t, NEGATION_POSITIVE))
+
+
+def complaint_evidence(c: Column) -> Column:
+    return F.concat_ws(" | ", evidence(c, CONTACT), evidence(c, FRUSTRATION))
+
+
 def encouragement(c: Column) -> Column:
     """Good wishes: cancelled by a complaint or an alien topic, else with or without a product."""
     none = _flag(0, None)
@@ -114,14 +159,15 @@ def encouragement(c: Column) -> Column:
 def negation(c: Column) -> Column:
     """Composed expressions first, by the words that the expression itself holds; then negation with a positive or a negative word, or alone."""
     t = F.lower(F.coalesce(c, F.lit("")))
-    out = None
+    composed = None
     for p in NEGATION_COMPOSED:
         source = F.lit(p)  # the expression's own text decides its type
         kind = F.when(meets(source, NEGATION_POSITIVE), "neg_pos").when(meets(source, NEGATION_NEGATIVE), "neg_neg").otherwise("neg_seule")
-        out = (F if out is None else out).when(meets(t, (p,)), _flag(1, kind))
-    pos, neg = meets(t, NEGATION_POSITIVE), meets(t, NEGATION_NEGATIVE)
+        composed = (F if composed is None else composed).when(meets(t, (p,), lowered=True), _flag(1, kind))
+    pos, neg = (meets(t, words, lowered=True) for words in (NEGATION_POSITIVE, NEGATION_NEGATIVE))
     kind = F.when(pos & ~neg, "neg_pos").when(neg & ~pos, "neg_neg").otherwise("neg_seule")
-    return out.when(~meets(t, NEGATION), _flag(0, None)).otherwise(_flag(1, kind))
+    plain = F.when(meets(t, NEGATION, lowered=True), _flag(1, kind)).otherwise(_flag(0, None))
+    return F.when(meets(t, NEGATION_COMPOSED, lowered=True), composed).otherwise(plain)
 
 
 # Patterns of the social flag.
@@ -220,3 +266,12 @@ def _table(rows: tuple[tuple[Column, Column], ...], default: Column) -> Column:
     for condition, result in reversed(rows):
         out = F.when(condition, result).otherwise(out)
     return out
+
+
+#: The lexicons by name.
+LEXICONS = {
+    "mixte_positif": MIXED_POSITIVE, "mixte_negatif": MIXED_NEGATIVE, "encouragement": ENCOURAGEMENT, "hors_sujet": OFF_TOPIC, "produit": PRODUCT, "negation": NEGATION, "negation_positif": NEGATION_POSITIVE, "negation_negatif": NEGATION_NEGATIVE,
+    "social": SOCIAL, "contact": CONTACT, "colere": ANGER, "poli": POLITE, "reponse_officielle": OFFICIAL_REPLY, "contraste": CONTRAST, "amelioration": IMPROVE,
+}
+#: Single ASCII words of the positive and negative lexicons.
+COMMON_WORDS = tuple(dict.fromkeys(w for x in (MIXED_POSITIVE, MIXED_NEGATIVE, NEGATION_POSITIVE, NEGATION_NEGATIVE, PRODUCT, CONTRAST) for p in x if re.fullmatch(r"[a-z0-9]+", w := p.replace("\\b", ""))))

@@ -57,10 +57,21 @@ def clean_basic(c: Column) -> Column:
 
 def clean_stream(c: Column) -> Column:
     """The light normaliser of the live path: addresses, mentions, tags, emoji, Arabic letter forms, punctuation, repeats."""
-    t = _sub(F.coalesce(c, F.lit("")), (r"(?U)http\S+|www\.\S+|ftp\.\S+", ""), (r"(?U)@\w+", ""), (r"(?U)#\w+", ""))
-    t = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(f" {e[1]} ")), EMOJI_WORDS.items(), t)
-    t = _sub(t, (STREAM_EMOJI, ""), ("[إأآا]", "ا"), ("ـ", ""), (r"[\x{064B}-\x{065F}]", ""), (r"(?U)[^\w\s\x{0600}-\x{06FF}]", " "), (r"(?d)(.)\1{3,}", "$1"))
-    return F.lower(squeeze(t))
+    t = F.coalesce(c, F.lit(""))
+    t = F.when(t.rlike(r"http|www\.|ftp\.|[@#]"), _sub(t, (r"(?U)http\S+|www\.\S+|ftp\.\S+", ""), (r"(?U)@\w+", ""), (r"(?U)#\w+", ""))).otherwise(t)
+
+    def plain(t: Column) -> Column:
+        """Emoji are looked for one by one only where there is one."""
+        words = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(f" {e[1]} ")), EMOJI_WORDS.items(), t)
+        return F.when(t.rlike(f"[{''.join(sorted({k[0] for k in EMOJI_WORDS}))}]|{STREAM_EMOJI}"), F.regexp_replace(words, STREAM_EMOJI, "")).otherwise(t)
+
+    def letters(t: Column) -> Column:
+        return F.when(t.rlike(ARABIC), _sub(t, ("[إأآا]", "ا"), (r"[ـ\x{064B}-\x{065F}]", ""))).otherwise(t)
+
+    def signs(t: Column) -> Column:
+        return F.lower(squeeze(_sub(t, (r"(?U)[^\w\s\x{0600}-\x{06FF}]", " "), (r"(?d)(.)\1{3,}", "$1"))))
+
+    return let(let(let(t, plain), letters), signs)
 
 
 def strip_numbers(c: Column) -> Column:

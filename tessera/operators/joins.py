@@ -23,9 +23,9 @@ def update_from(target: DataFrame, source: DataFrame, key: str, columns: list[st
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of both, those of ``source`` in place of those of ``target`` with the same key."""
+    """Rows of both, those of ``source`` in place of those of ``target`` with the same key; of several with one key in one table the row of the greatest hash."""
     both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
-    return latest_by(both, keys, [F.col("_new").desc()]).drop("_new")
+    return latest_by(both, keys, [F.col("_new").desc(), F.xxhash64(*target.columns).desc(), F.xxhash64(F.lit(1), *target.columns)]).drop("_new")
 
 
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -52,8 +52,11 @@ def consensus(votes: DataFrame, item: str, annotator: str, label: str, least: in
 
 
 def apply_corrections(rows: DataFrame, corrections: DataFrame, key: str, label: str, delete: str = "supprimer") -> DataFrame:
-    """``rows`` with corrected labels and ``corrected``, without those marked for deletion."""
-    c = corrections.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    """``rows`` with corrected labels and ``corrected``, without those marked for deletion.
+
+    Of several corrections for one key a deletion counts, else the greatest label; a key that is null matches nothing.
+    """
+    c = corrections.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.col(label), F.struct(F.col(label) == delete, F.col(label))).alias("_label"))
     joined = rows.join(c, F.col(key) == F.col("_key"), "left").where(F.col("_label").isNull() | (F.col("_label") != delete))
     return joined.withColumn("corrected", F.col("_key").isNotNull()).withColumn(label, F.coalesce("_label", F.col(label))).drop("_key", "_label")
 

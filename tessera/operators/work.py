@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, which all executors reach; only a session without it gets a temporary folder."""
+    """``spark.checkpoint.dir``, which all executors reach; only a local session without it gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.operators import dedup, joins
+from tessera.operators.work import saved
 from tessera.plans.base import comments, query, table
 
 
@@ -153,9 +154,13 @@ def rule_r4(spark, sf_dir):
 
 @query(f"""WITH k AS (SELECT doc_id, {PREFIX_SQL} AS k, length(text) AS size FROM documents), g AS (SELECT k, max(size) AS longest FROM k GROUP BY k) SELECT doc_id, size::INT AS size, longest::INT AS longest FROM k JOIN g USING (k) WHERE size < longest""")
 def rule_r5(spark, sf_dir):
-    """Truncated versions: shorter than the longest text with the same beginning."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.xxhash64(dedup.prefix_key(F.col("text"))).alias("k"), F.length("text").alias("size"))
-    return d.join(d.groupBy("k").agg(F.max("size").alias("longest")), "k").where("size < longest").select("doc_id", "size", "longest")
+    """Truncated versions: shorter than the longest text with the same beginning, which two hashes stand for."""
+    key = dedup.prefix_key(F.col("text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(1), key).alias("k2"), F.length("text").alias("size"))
+    d = saved(d, "prefix-keys")
+    # groups with one size have nothing to say, so what joins is the few groups that have several
+    groups = d.groupBy("k1", "k2").agg(F.max("size").alias("longest"), F.min("size").alias("least")).where("least < longest").drop("least")
+    return d.join(groups, ["k1", "k2"]).where("size < longest").select("doc_id", "size", "longest")
 
 
 @query(f"WITH {DAYS_SQL} SELECT event_id, text, day FROM r QUALIFY row_number() OVER (PARTITION BY text, day, source, moderator ORDER BY event_id) = 1")

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import dates, flags, text
 from tessera.plans.base import comments, query, table
+from tessera.plans.re2 import SPACE, WORD, found_in, meets
+from tessera.plans.re2 import sql as literal
 
 
 
@@ -17,12 +19,36 @@ def clean_basic(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.clean_basic(_t()).alias("clean"))
 
 
-@query()
+_EMOJI = "t"
+for _k, _v in text.EMOJI_WORDS.items():
+    _EMOJI = f"replace({_EMOJI}, {literal(_k)}, {literal(f' {_v} ')})"
+
+
+def _squeezed(sql: str) -> str:
+    return f"regexp_replace(regexp_replace({sql}, '[{SPACE}]+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+@query(rf"""WITH a AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), 'http[^{SPACE}]+|www\.[^{SPACE}]+|ftp\.[^{SPACE}]+', '', 'g'), '@[{WORD}]+', '', 'g'), '#[{WORD}]+', '', 'g') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace({_EMOJI}, '{text.STREAM_EMOJI}', '', 'g'), '[إأآا]', 'ا', 'g'), '[ـ\x{{064B}}-\x{{065F}}]', '', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_extract_all(regexp_replace(t, '[^{WORD}{SPACE}\x{{0600}}-\x{{06FF}}]', ' ', 'g'), '(?s).') AS s FROM b),
+d AS (SELECT doc_id, array_to_string(list_filter(s, lambda x, i: NOT coalesce(i > 1 AND x <> chr(10) AND s[i - 1] = x AND (
+    (i > 3 AND s[i - 2] = x AND s[i - 3] = x) OR (i > 2 AND s[i - 2] = x AND s[i + 1] = x) OR (s[i + 1] = x AND s[i + 2] = x)), false)), '') AS t FROM c)
+SELECT doc_id, lower({_squeezed("t")}) AS clean FROM d""")
 def clean_stream(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.clean_stream(_t()).alias("clean"))
 
 
-@query()
+_SAME = "|".join(f"{d}{{6,}}" for d in range(10))
+_EDGE = f"(^|[^{WORD}])", f"($|[^{WORD}])"
+_DIGITS = "text"
+for _p in (r"\p{Nd}{10,}", r"0[5-7]\p{Nd}{8}", r"0[2-4]\p{Nd}{7,8}"):
+    for _ in range(2):  # a sign between two numbers can stand for one of its sides only
+        _DIGITS = rf"regexp_replace({_DIGITS}, '{_EDGE[0]}{_p}{_EDGE[1]}', '\1 \2', 'g')"
+for _ in range(2):
+    _DIGITS = rf"regexp_replace({_DIGITS}, '(^|[^\p{{Nd}}])(?:{_SAME})($|[^\p{{Nd}}])', '\1 \2', 'g')"
+
+
+@query(f"SELECT doc_id, nullif(t, '') AS clean, coalesce(t <> '', false) AS kept FROM (SELECT doc_id, {_squeezed(_DIGITS)} AS t FROM documents)")
 def strip_digits(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.strip_numbers(_t()).alias("clean"), text.strip_numbers(_t()).isNotNull().alias("kept"))
 
@@ -99,38 +125,63 @@ def _flags(spark, sf_dir, flag):
     return table(spark, sf_dir, "documents").select("doc_id", flag(_t()).alias("f")).select("doc_id", "f.flag", "f.type")
 
 
-@query()
+def _cases(*rows: tuple[str, int, str | None], default: int = 0) -> str:
+    """DuckDB SQL of a decision table: (condition, flag, type), the first that holds."""
+    when = lambda k, last: "CASE " + " ".join(f"WHEN {r[0]} THEN {r[k] if k == 1 else 'NULL' if r[2] is None else literal(r[2])}" for r in rows) + f" ELSE {last} END"
+    return f"SELECT doc_id, ({when(1, default)})::INT AS flag, ({when(2, 'NULL')})::VARCHAR AS type FROM documents"
+
+
+@query(_cases((f"{meets('text', flags.MIXED_POSITIVE)} AND {meets('text', flags.MIXED_NEGATIVE)}", 1, "pos_neg")))
 def flag_mixte(spark, sf_dir):
     return _flags(spark, sf_dir, flags.mixed)
 
 
-@query()
+@query(_cases((f"NOT {meets('text', flags.ENCOURAGEMENT)}", 0, None), (meets("text", flags.ENCOURAGEMENT_NEGATIVE, True), 0, "negatif"), (meets("text", flags.OFF_TOPIC), 0, "offtopic"), (meets("text", flags.PRODUCT), 1, "produit"), ("true", 1, "pur")))
 def flag_encouragement(spark, sf_dir):
     return _flags(spark, sf_dir, flags.encouragement)
 
 
-@query()
+_COMPOSED = [(meets("lower(text)", (p,)), 1, "neg_pos" if found_in(p, flags.NEGATION_POSITIVE) else "neg_neg" if found_in(p, flags.NEGATION_NEGATIVE) else "neg_seule") for p in flags.NEGATION_COMPOSED]
+_POSITIVE, _NEGATIVE = (meets("lower(text)", x) for x in (flags.NEGATION_POSITIVE, flags.NEGATION_NEGATIVE))
+
+
+@query(_cases(*_COMPOSED, (f"NOT {meets('lower(text)', flags.NEGATION)}", 0, None), (f"{_POSITIVE} AND NOT {_NEGATIVE}", 1, "neg_pos"), (f"{_NEGATIVE} AND NOT {_POSITIVE}", 1, "neg_neg"), ("true", 1, "neg_seule")))
 def flag_negation(spark, sf_dir):
     return _flags(spark, sf_dir, flags.negation)
 
 
-@query()
+@query(f"SELECT doc_id, ({meets('text', flags.SOCIAL)} AND NOT {meets('text', flags.SOCIAL_NEGATIVE)})::INT AS flag FROM documents")
 def flag_social(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", flags.social(_t()).alias("flag"))
 
 
-@query()
+_CONTACT, _TROUBLE = meets("text", flags.CONTACT), meets("text", flags.FRUSTRATION, True)
+
+
+@query(_cases((meets("text", flags.ANGER), 1, "neglex"), (f"{meets('text', flags.OFFICIAL_REPLY)} AND NOT {_TROUBLE}", -1, "at_response"), (f"{_CONTACT} AND {_TROUBLE}", 1, "prv"), (f"{_CONTACT} AND {meets('text', flags.POLITE)}", 0, None), (_CONTACT, -1, "prv_implicit")))
 def flag_plainte(spark, sf_dir):
     return _flags(spark, sf_dir, flags.complaint)
 
 
-@query()
+_RESERVED = f"{meets('text', flags.SUGGESTION_POSITIVE)} AND {meets('text', flags.CONTRAST)}"
+_BETTER, _BLAME = meets("text", flags.IMPROVE), meets("text", flags.SUGGESTION_NEGATIVE, True)
+
+
+@query(_cases((f"{_RESERVED} AND {_BETTER} AND {_BLAME}", -1, "masked_neg"), (f"{_RESERVED} AND {_BETTER}", 1, "pur"), (f"{_RESERVED} AND NOT {_BLAME}", 1, "pos_adv")))
 def flag_suggestion(spark, sf_dir):
     return _flags(spark, sf_dir, flags.suggestion)
 
 
-@query()
+@query("SELECT * FROM (VALUES " + ", ".join(f"({literal(k)}, (SELECT count(*) FROM documents WHERE {meets('text', v)}))" for k, v in flags.LEXICONS.items()) + ") x(lexicon, docs)")
+def lexicon_counts(spark, sf_dir):
+    """Texts that meet each lexicon: one pass, and one conditional count a lexicon."""
+    counts = table(spark, sf_dir, "documents").agg(*[F.count_if(flags.meets(_t(), v)).alias(k) for k, v in flags.LEXICONS.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("lexicon"), F.col(k).alias("docs")) for k in flags.LEXICONS])).alias("r")).select("r.lexicon", "r.docs")
+
+
+@query(f"""SELECT expression, count(*) AS n FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+'))) AS expression FROM documents) WHERE regexp_full_match(expression, {literal("|".join(flags.COMMON_WORDS))}) GROUP BY expression ORDER BY n DESC, expression LIMIT 20""")
 def flag_topk(spark, sf_dir):
-    """The most common expressions that make a text positive under the mixed flag."""
-    e = table(spark, sf_dir, "documents").select(flags.evidence(F.lower(_t()), flags.MIXED_POSITIVE).alias("expression"))
-    return e.where("expression is not null").groupBy("expression").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "expression").limit(20)
+    """The words of the positive and negative lexicons that most texts hold."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(_t(), F.lit(""))), F.lit("([a-z0-9]+)")))
+    found = F.filter(words, lambda w: w.rlike(f"^(?:{'|'.join(flags.COMMON_WORDS)})$"))
+    return table(spark, sf_dir, "documents").select(F.explode(found).alias("expression")).groupBy("expression").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "expression").limit(20)

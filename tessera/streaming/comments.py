@@ -43,44 +43,114 @@ def fold(rows: DataFrame, key: str, ts: str, order: str, keep: list[str]) -> Dat
 
 
 def merge(old: DataFrame, new: DataFrame, key: str, order: str, keep: list[str]) -> DataFrame:
-    """Two folded tables as one: counts add up, the earlier first row stays, and its label with it."""
-    first = F.min(F.struct("date_creation", order, *keep)).alias("_f")
-    out = old.unionByName(new).groupBy(key).agg(F.sum("frequence").alias("frequence"), F.min("date_creation").alias("date_creation"), F.max("derniere_occurrence").alias("derniere_occurrence"), first)
-    return out.select(key, "frequence", "date_creation", "derniere_occurrence", *[F.col(f"_f.{c}").alias(c) for c in [order, *keep]])
+    """Two folded tables as one: counts add up, and the ``keep`` columns of the old row, or else of the new, stay."""
+    both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
+    out = both.groupBy(key).agg(
+        F.sum("frequence").alias("frequence"),
+        F.min("date_creation").alias("date_creation"),
+        F.max("derniere_occurrence").alias("derniere_occurrence"),
+        F.min(F.struct("date_creation", order)).alias("_f"),
+        F.min(F.struct("_age", *keep)).alias("_k"),
+    )
+    return out.select(key, "frequence", "date_creation", "derniere_occurrence", F.col(f"_f.{order}").alias(order), *[F.col(f"_k.{c}").alias(c) for c in keep])
+
 
+#: Parts of a frequency table; a batch reads and writes those that its keys fall into.
+PARTS = 64
 
-def _version(spark: SparkSession, path: str, before: int) -> int | None:
-    """The latest finished version of the table below ``before``."""
+
+def _versions(spark: SparkSession, path: str, before: int) -> dict[int, int]:
+    """The latest finished version below ``before`` of each part of the table, by the names of its folders."""
     jvm = spark._jvm.org.apache.hadoop.fs
     root = jvm.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    out: dict[int, int] = {}
+    for s in fs.listStatus(root) if fs.exists(root) else []:
+        name = s.getPath().getName()
+        if name.startswith("v") and int(name[1:]) < before and fs.exists(jvm.Path(s.getPath(), "_SUCCESS")):
+            for p in fs.listStatus(s.getPath()):
+                if p.getPath().getName().startswith("part="):
+                    part = int(p.getPath().getName()[5:])
+                    out[part] = max(out.get(part, -1), int(name[1:]))
+    return out
+
+
+def _drop_before(spark: SparkSession, path: str, used: set[int], before: int) -> None:
+    """Deletes versions below ``before`` of which no part is in use."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for s in fs.listStatus(jvm.Path(path)):
+        name = s.getPath().getName()
+        if name.startswith("v") and int(name[1:]) < before and int(name[1:]) not in used:
+            fs.delete(s.getPath(), True)
+
+
+def _read_parts(spark: SparkSession, path: str, versions: dict[int, int]) -> DataFrame | None:
+    if not versions:
         return None
-    found = [int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v") and fs.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
-    return max((v for v in found if v < before), default=None)
+    return spark.read.parquet(*[f"{path}/v{v}/part={p}" for p, v in sorted(versions.items())])
 
 
 def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], score: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges a batch into the table at ``path``.
 
-    Batch n reads the version before it and writes version n, so a repeated
-    batch gives the same table: each message counts exactly once. ``score`` adds
-    the label columns to rows of the batch that are new to the table.
+    The table is dealt into ``PARTS`` parts by a hash of the key. Batch n reads
+    the latest versions before it of the parts that its keys fall into, and
+    writes only these, as version n: a repeated batch gives the same table, each
+    message counts exactly once, and a batch costs what it touches. ``score``
+    sees only rows whose key is new to the table; known keys keep what they were
+    given. Versions that neither batch n nor the one before it needs are deleted.
     """
 
     def batch(df: DataFrame, n: int) -> None:
         spark = df.sparkSession
-        new = score(fold(df, key, ts, order, keep))
-        at = _version(spark, path, n)
-        out = new if at is None else merge(spark.read.parquet(f"{path}/v{at}"), new, key, order, keep)
-        out.write.mode("overwrite").parquet(f"{path}/v{n}")
+        new = fold(df, key, ts, order, keep).withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")).persist()
+        try:
+            touched = {r["part"] for r in new.select("part").distinct().collect()}  # PARTS numbers at most
+            versions = _versions(spark, path, n)
+            old = _read_parts(spark, path, {p: v for p, v in versions.items() if p in touched})
+            if old is None:
+                out = score(new.drop("part"))
+            else:
+                known = old.select(key)
+                fresh = score(new.drop("part").join(known, key, "left_anti"))
+                out = merge(old, new.drop("part").join(known, key, "left_semi"), key, order, keep).unionByName(fresh.select(old.columns))
+            out.withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")).write.partitionBy("part").mode("overwrite").parquet(f"{path}/v{n}")
+        finally:
+            new.unpersist()
+        _drop_before(spark, path, set(_versions(spark, path, n + 1).values()) | set(versions.values()), n)
 
     return batch
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The latest version of a table that ``frequency_sink`` keeps."""
-    return spark.read.parquet(f"{path}/v{_version(spark, path, 1 << 62)}")
+    """The table that ``frequency_sink`` keeps: the latest version of each part."""
+    return _read_parts(spark, path, _versions(spark, path, 1 << 62))
+
+
+def sessions(df: DataFrame, ts: str, by: list[str], gap: str, late: str = "10 minutes") -> DataFrame:
+    """Rows (start, end, by, n): sessions of rows of one key with less than ``gap`` between neighbours, for streams and tables."""
+    out = df.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), *by).agg(F.count("*").alias("n"))
+    return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
+
+
+def batch_statistics(df: DataFrame, seen: DataFrame | None, key: str) -> DataFrame:
+    """One row (processed, new, duplicates) of a batch against the keys ``seen`` before."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    marked = counts.withColumn("_known", F.lit(False)) if seen is None else counts.join(seen.select(F.col(key).alias("_k")).distinct(), F.col(key) == F.col("_k"), "left").withColumn("_known", F.col("_k").isNotNull())
+    processed, new = F.coalesce(F.sum("n"), F.lit(0)), F.count_if(~F.col("_known"))
+    return marked.agg(processed.alias("processed"), new.alias("new"), (processed - new).alias("duplicates"))
+
+
+def watched(df: DataFrame, name: str, ok: Column) -> DataFrame:
+    """``df`` with running totals under ``name`` in each batch's progress: rows, and rows that are ``ok``."""
+    return df.observe(name, F.count("*").alias("rows"), F.count_if(ok).alias("ok"))
+
+
+def mark_sent(rows: DataFrame, sent: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``sent``: whether the producer has written their key to its topic."""
+    s = sent.select(F.col(key).alias("_sent")).distinct()
+    return rows.join(s, F.col(key) == F.col("_sent"), "left").withColumn("sent", F.col("_sent").isNotNull()).drop("_sent")
 
 
 def windowed_counts(df: DataFrame, ts: str, by: list[str], size: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
@@ -88,8 +158,3 @@ def windowed_counts(df: DataFrame, ts: str, by: list[str], size: str, slide: str
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     out = df.withWatermark(ts, late).groupBy(window, *by).agg(F.count("*").alias("n"))
     return out.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *by, "n")
-
-
-def neutral(label: Column) -> Column:
-    """A label, ``NEUTRE`` where no model gave one."""
-    return F.coalesce(label, F.lit("NEUTRE"))
