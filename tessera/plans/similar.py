@@ -8,6 +8,7 @@ from tessera.operators import similarity as sim
 from tessera.operators.search import nearest
 from tessera.operators.work import saved
 from tessera.plans.base import query, table
+from tessera.plans.re2 import SPACE, WORD
 
 WORD_THRESHOLD = 0.85
 
@@ -17,33 +18,59 @@ def _word_sets(spark, sf_dir):
     return sim.contents(d, "doc_id", F.array_sort(F.array_distinct(text.tokens(F.lower("text")))))
 
 
-REACH = """reach AS (SELECT a AS id, a AS node FROM ids UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.node = l.a)
-SELECT i.a AS id, (SELECT min(node) FROM reach r WHERE r.id = i.a) AS class_id, (SELECT count(*) FROM links l WHERE l.a = i.a) AS n_links FROM ids i"""
-
-
-@query(r"""WITH RECURSIVE w AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')) AS w FROM documents),
+#: Word sets (w), their documents (ids), and all pairs of documents with a score (scores), in DuckDB's SQL.
+WORD_SCORES = r"""w AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')) AS w FROM documents),
 ids AS (SELECT doc_id AS a, count(*) AS n FROM w GROUP BY 1),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM w x JOIN w y ON x.w = y.w AND x.doc_id <> y.doc_id GROUP BY 1, 2),
-links AS (SELECT c.a, c.b FROM c JOIN ids i ON c.a = i.a JOIN ids j ON c.b = j.a WHERE c::DOUBLE / (i.n + j.n - c) >= 0.85 - 1e-12),
-""" + REACH)
+scores AS (SELECT c.a, c.b, c::DOUBLE / (i.n + j.n - c) AS score FROM c JOIN ids i ON c.a = i.a JOIN ids j ON c.b = j.a)"""
+WORD_LINKS = f"{WORD_SCORES}, links AS (SELECT a, b FROM scores WHERE score >= 0.85 - 1e-12)"
+#: The same for TF-IDF vectors over words and pairs of words, with names that end in t.
+VECTOR_SCORES = rf"""p AS (SELECT doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '[^{WORD}{SPACE}]', ' ', 'g'), '[{WORD}]{{2,}}') AS l FROM documents),
+g AS (SELECT doc_id, unnest(l || list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1])) AS f FROM p),
+tf AS (SELECT doc_id, f, count(*) AS tf FROM g GROUP BY 1, 2), df AS (SELECT f, count(*) AS df FROM tf GROUP BY 1), idst AS (SELECT DISTINCT doc_id AS a FROM tf),
+v AS (SELECT doc_id, f, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM idst))::DOUBLE / (1 + df)) + 1) AS w FROM tf JOIN df USING (f)),
+u AS (SELECT doc_id, f, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM v),
+linkst AS (SELECT x.doc_id AS a, y.doc_id AS b FROM u x JOIN u y ON x.f = y.f AND x.doc_id <> y.doc_id GROUP BY 1, 2 HAVING sum(x.w * y.w) >= 0.85 - 1e-9)"""
+
+
+def _reached(ids: str, links: str) -> str:
+    """DuckDB SQL of ``sim.classes``."""
+    return f"""reach AS (SELECT a AS id, a AS node FROM {ids} UNION SELECT r.id, l.b FROM reach r JOIN {links} l ON r.node = l.a)
+SELECT i.a AS id, (SELECT min(node) FROM reach r WHERE r.id = i.a) AS class_id, (SELECT count(*) FROM {links} l WHERE l.a = i.a) AS n_links FROM {ids} i"""
+
+
+def _greedy(name: str, ids: str, links: str) -> str:
+    """DuckDB SQL of ``sim.greedy_kept``: one row a step, with the list of those kept so far; ``name`` has the last."""
+    return f"""n_{name} AS (SELECT i.a AS id, row_number() OVER (ORDER BY i.a) AS k, coalesce(list(l.b) FILTER (l.b < i.a), []) AS before FROM {ids} i LEFT JOIN {links} l ON l.a = i.a GROUP BY i.a),
+s_{name} AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT n.k, CASE WHEN list_has_any(n.before, s.kept) THEN s.kept ELSE list_append(s.kept, n.id) END FROM s_{name} s JOIN n_{name} n ON n.k = s.k + 1),
+{name} AS (SELECT kept FROM s_{name} ORDER BY k DESC LIMIT 1)"""
+
+
+@query(f"WITH RECURSIVE {WORD_LINKS}, {_reached('ids', 'links')}")
 def jaccard_word_links(spark, sf_dir):
     members, distinct = _word_sets(spark, sf_dir)
     return sim.classes(members, saved(sim.jaccard_links(distinct, WORD_THRESHOLD), "word-links"))
 
 
-@query()
+@query(f"WITH RECURSIVE {WORD_LINKS}, {_greedy('g', 'ids', 'links')} SELECT a AS id, list_contains((SELECT kept FROM g), a) AS kept FROM ids")
 def greedy_dedup(spark, sf_dir):
     members, distinct = _word_sets(spark, sf_dir)
     return sim.greedy_kept(members, sim.jaccard_links(distinct, WORD_THRESHOLD))
 
 
-@query()
+SWEEP = (70, 75, 80, 85, 90, 95)
+_SWEPT = ", ".join(f"l{t} AS (SELECT a, b FROM scores WHERE score >= {t / 100} - 1e-12), {_greedy(f'g{t}', 'ids', f'l{t}')}" for t in SWEEP)
+_KEPT = " UNION ALL ".join(f"SELECT {t} AS threshold, (SELECT len(kept) FROM g{t}) AS kept, (SELECT count(*) FROM ids) AS total" for t in SWEEP)
+
+
+@query(f"""WITH RECURSIVE {WORD_SCORES}, {_SWEPT}, k AS ({_KEPT}), o AS (SELECT threshold, kept, total - kept AS removed, round(100.0::DOUBLE * (total - kept) / total, 2) AS pct_removed FROM k)
+SELECT *, round(pct_removed - lag(pct_removed) OVER (ORDER BY threshold), 2) AS gain FROM o""")
 def threshold_sweep(spark, sf_dir):
     """How many documents greedy removal keeps at each threshold; links are sought once, at the lowest."""
     members, distinct = _word_sets(spark, sf_dir)
-    links = saved(sim.jaccard_links(distinct, 0.70), "sweep-links")
+    links = saved(sim.jaccard_links(distinct, SWEEP[0] / 100), "sweep-links")
     out = None
-    for t in (70, 75, 80, 85, 90, 95):
+    for t in SWEEP:
         kept = sim.greedy_kept(members, links.where(F.col("score") >= t / 100 - 1e-12))
         row = kept.agg(F.lit(t).alias("threshold"), F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("removed"))
         out = row if out is None else out.unionByName(row)
@@ -60,14 +87,22 @@ def _ngram_contents(spark, sf_dir):
     return members, distinct.withColumn("features", F.concat("features", text.ngrams(F.col("features"), 2)))
 
 
-@query()
+@query(f"WITH RECURSIVE {VECTOR_SCORES}, {_reached('idst', 'linkst')}")
 def tfidf_links(spark, sf_dir):
     members, distinct = _ngram_contents(spark, sf_dir)
     weights = saved(sim.tfidf(distinct), "weights")
     return sim.classes(members, saved(sim.cosine_links(weights, 0.85), "tfidf-links"))
 
 
-@query()
+_IDF2 = "power(1 + ln(1.5), 2)"
+
+
+@query(rf"""WITH s AS (SELECT doc_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> ''))) AS f FROM documents),
+d AS (SELECT min(doc_id) AS id, f, list_distinct(string_split(array_to_string(f, ' '), '')) AS ch FROM s WHERE len(f) > 0 GROUP BY f), e AS (SELECT id, unnest(f) AS x FROM d),
+c AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM e x JOIN e y ON x.x = y.x AND x.id < y.id GROUP BY 1, 2),
+j AS (SELECT a, b, c, len(p.f) AS n, len(q.f) AS m, len(list_intersect(p.ch, q.ch)) AS shared, len(p.ch) AS pn, len(q.ch) AS qn FROM c JOIN d p ON p.id = a JOIN d q ON q.id = b WHERE c::DOUBLE / (len(p.f) + len(q.f) - c) >= 0.7 - 1e-12),
+k AS (SELECT a, b, round(100 * c::DOUBLE / (n + m - c), 4) AS jaccard, round(100 * shared::DOUBLE / (pn + qn - shared), 4) AS jaccard_char, round(100 * c / (sqrt(c + (n - c) * {_IDF2}) * sqrt(c + (m - c) * {_IDF2})), 4) AS tfidf FROM j)
+SELECT *, jaccard >= 85 AND tfidf >= 85 AS et, jaccard >= 85 OR tfidf >= 85 AS ou, jaccard >= 95 OR jaccard >= 85 AND tfidf >= 85 AS jaccard_confirme, tfidf >= 95 OR tfidf >= 85 AND jaccard >= 85 AS tfidf_confirme, (jaccard + tfidf) / 2 >= 85 AS moyenne, 0.6::DOUBLE * jaccard + 0.4::DOUBLE * tfidf >= 85 AS pondere FROM k""")
 def fusion_modes(spark, sf_dir):
     """Pairs of different word sets that are linked at 0.7, with word and character scores and the verdict of each way to fuse two scores."""
     _, distinct = _word_sets(spark, sf_dir)
@@ -130,20 +165,28 @@ def embedding_prototypes(spark, sf_dir):
     return e.crossJoin(F.broadcast(every)).select("vec_id", (-best["class"]).alias("class"))
 
 
-@query()
+@query(rf"""WITH {{comments}}, c AS (SELECT doc_id, label, regexp_extract_all(lower(coalesce(text, '')), '[{WORD}]{{2,}}') AS l FROM comments),
+tf AS (SELECT doc_id, label, f, count(*) AS tf FROM (SELECT doc_id, label, unnest(l) AS f FROM c) GROUP BY 1, 2, 3),
+voc AS (SELECT f, sum(tf) AS total, count(*) AS df FROM tf WHERE label IS NOT NULL GROUP BY f ORDER BY total DESC, f LIMIT 1000),
+idf AS (SELECT f, ln((1 + (SELECT count(*) FROM c WHERE label IS NOT NULL))::DOUBLE / (1 + df)) + 1 AS idf FROM voc),
+v AS (SELECT doc_id, label, f, tf * idf AS w FROM tf JOIN idf USING (f)), u AS (SELECT doc_id, label, f, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM v),
+size AS (SELECT label, count(*) AS n FROM c WHERE label IS NOT NULL GROUP BY 1), p AS (SELECT u.label AS class, f, sum(w) / max(n) AS p FROM u JOIN size USING (label) GROUP BY 1, 2), q AS (SELECT class, f, p / sqrt(sum(p * p) OVER (PARTITION BY class)) AS p FROM p),
+s AS (SELECT doc_id, class, round(sum(w * p), 9) AS score FROM u JOIN q USING (f) GROUP BY 1, 2), best AS (SELECT doc_id, class, score FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class DESC) = 1)
+SELECT c.doc_id, coalesce(class, 'neutre') AS class, round(coalesce(score, 0), 6) AS score FROM c LEFT JOIN best USING (doc_id)""")
 def prototype_classify(spark, sf_dir):
     """Each document's class by cosine to the class means of TF-IDF vectors over the 1000 most frequent words of labelled texts."""
     from tessera.plans.base import comments
 
     c = comments(spark, sf_dir).select("doc_id", "label", F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)(\b\w\w+\b)")).alias("words"))
-    tf = saved(c.select("doc_id", "label", F.explode("words").alias("f")).groupBy("doc_id", "label", "f").agg(F.count("*").alias("tf")), "words")
-    known = tf.where("label is not null")
-    vocabulary = known.groupBy("f").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "f").limit(1000)
+    # the vocabulary comes first: of all other words nothing is counted or shuffled
+    known = c.where("label is not null").select(F.explode("words").alias("f")).groupBy("f").agg(F.count("*").alias("total"))
+    df = c.where("label is not null").select(F.explode(F.array_distinct("words")).alias("f")).groupBy("f").agg(F.count("*").alias("df"))
+    vocabulary = known.orderBy(F.desc("total"), "f").limit(1000).join(df, "f")
     n = c.where("label is not null").agg(F.count("*").alias("n_docs"))
-    idf = vocabulary.crossJoin(n).select("f", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row
-    w = tf.join(F.broadcast(idf), "f").select("doc_id", "label", "f", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    w = saved(w.join(norm, "doc_id").select("doc_id", "label", "f", (F.col("w") / F.col("norm")).alias("w")), "unit-vectors")
+    idf = saved(vocabulary.crossJoin(n).select("f", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")), "vocabulary")  # one row meets at most 1000
+    tf = c.select("doc_id", "label", F.explode("words").alias("f")).join(F.broadcast(idf), "f").groupBy("doc_id", "label", "f").agg((F.count("*") * F.first("idf")).alias("w"))
+    own = Window.partitionBy("doc_id")
+    w = saved(tf.select("doc_id", "label", "f", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(own))).alias("w")), "unit-vectors")
     size = c.where("label is not null").groupBy("label").agg(F.count("*").alias("size"))
     proto = w.where("label is not null").groupBy("label", "f").agg(F.sum("w").alias("w")).join(size, "label").select(F.col("label").alias("class"), "f", (F.col("w") / F.col("size")).alias("p"))
     length = proto.groupBy("class").agg(F.sqrt(F.sum(F.col("p") * F.col("p"))).alias("length"))
@@ -153,7 +196,8 @@ def prototype_classify(spark, sf_dir):
     return c.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.coalesce("m.class", F.lit("neutre")).alias("class"), F.round(F.coalesce("m.score", F.lit(0.0)), 6).alias("score"))
 
 
-@query()
+@query(f"""WITH {WORD_LINKS}, {VECTOR_SCORES}, n AS (SELECT count(*) FILTER (g.a IS NOT NULL AND t.a IS NOT NULL) AS tp, count(*) FILTER (t.a IS NULL) AS fp, count(*) FILTER (g.a IS NULL) AS fn FROM (SELECT * FROM links WHERE a < b) g FULL JOIN (SELECT * FROM linkst WHERE a < b) t ON g.a = t.a AND g.b = t.b),
+m AS (SELECT *, coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS p, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS r FROM n) SELECT tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 6) AS f1 FROM m""")
 def method_confusion(spark, sf_dir):
     """Links by word sets held against links by TF-IDF vectors as the truth, counted in pairs of documents."""
     wm, wd = _word_sets(spark, sf_dir)
@@ -184,7 +228,9 @@ def method_confusion(spark, sf_dir):
     return out.select("tp", "fp", "fn", F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)), 6).alias("f1"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {WORD_LINKS}, {VECTOR_SCORES}, {_greedy('by_words', 'ids', 'links')}, {_greedy('by_vectors', 'idst', 'linkst')},
+x AS (SELECT a FROM ids WHERE NOT list_contains((SELECT kept FROM by_words), a)), y AS (SELECT a FROM idst WHERE NOT list_contains((SELECT kept FROM by_vectors), a))
+SELECT count(*) FILTER (y.a IS NULL) AS only_words, count(*) FILTER (x.a IS NULL) AS only_tfidf, count(*) FILTER (x.a = y.a) AS "both" FROM x FULL JOIN y ON x.a = y.a""")
 def method_overlap(spark, sf_dir):
     """Documents that greedy removal by word sets, by TF-IDF vectors, or by both takes away."""
     wm, wd = _word_sets(spark, sf_dir)
