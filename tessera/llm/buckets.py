@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 from tessera.llm.common import saved
 from tessera.llm.graph import components
 
+#: Least Jaccard similarity of a link, as a fraction.
+SIMILARITY = (4, 5)
+
+
+def may_be_similar(x: Column, y: Column) -> Column:
+    """Whether two texts with places ``x`` and ``y`` (position in the prefix, size) of a shared shingle reach the similarity if it is the first that they share.
+
+    They then have at most what is left of either from there on in common, and
+    need 4/9 of the sum of their sizes. A similar pair passes at the first
+    shingle it shares, which both prefixes hold.
+    """
+    size = lambda p: p.bitwiseAND(F.lit(0x7FFFFFFF))
+    left = F.least(size(x) - F.shiftright(x, 32), size(y) - F.shiftright(y, 32))
+    return left * sum(SIMILARITY) >= (size(x) + size(y)) * SIMILARITY[0]
+
 
 def several(entries: DataFrame) -> DataFrame:
     """``entries`` (s, content, ...) of buckets with more than one content, with the least content of the bucket."""
@@ -17,6 +32,21 @@ def several(entries: DataFrame) -> DataFrame:
     return saved(entries.join(ends, "s"), "buckets")
 
 
+def prefix_members(sets: DataFrame) -> DataFrame:
+    """Rows (s, content, place): the shingles of which sets (content, s) that are similar share one, where several do.
+
+    A set of n shingles has at least 0.8 n in common with any that is similar,
+    so its first n - 0.8 n + 1 in one order of all shingles hold one of them; the
+    rarest come first. ``place`` has the position and n, for ``may_be_similar``.
+    """
+    tokens = saved(sets.select("content", F.size("s").alias("n"), F.explode("s").alias("t")), "tokens")
+    often = tokens.groupBy("t").agg(F.count("*").alias("often"))
+    ordered = tokens.join(often, "t").groupBy("content", "n").agg(F.array_sort(F.collect_list(F.struct("often", "t"))).alias("ts"))
+    keep = F.col("n") - F.ceil(F.col("n") * SIMILARITY[0] / SIMILARITY[1] - 1e-9) + 1
+    prefix = ordered.select("content", "n", F.posexplode(F.slice("ts", F.lit(1), keep.cast("int"))).alias("at", "x")).where("x.often > 1")
+    return several(prefix.select(F.col("x.t").alias("s"), "content", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")).alias("place")))
+
+
 def stars(members: DataFrame) -> DataFrame:
     """Pairs (a, b): each content with that least content of its buckets which it meets most often, so that a large group costs a pair a member."""
     met = members.where("content <> least").groupBy(F.col("content").alias("a"), F.col("least").alias("b")).count()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.buckets import bucket_links, open_members, several, stars
+from tessera.llm.buckets import SIMILARITY, bucket_links, may_be_similar, open_members, prefix_members, several, stars
 from tessera.llm.common import broadcast_if_small, saved
 from tessera.llm.graph import components
 from tessera.llm.shingles import EMPTY, SHINGLE_WORDS, lists, mix, numbers, runs
@@ -21,15 +21,11 @@ PARAGRAPH_WORDS = 20
 SPACING = 12
 #: At a similarity of 0.8 two lines meet with probability 1 - (1 - 0.8**2)**4 = 0.983, at 0.9 with 0.9987, at 0.3 with 0.31.
 BANDS, ROWS = 4, 2
-#: Of the lines whose bands are not settled by that: 0.975 at 0.8, 0.9999 at 0.9, 0.03 at 0.44, under 0.002 at 0.3.
-FINE_BANDS, FINE_ROWS = 20, 8
-#: Least similarity of a link, as a fraction.
-SIMILARITY = (4, 5)
 #: So many ids of texts to read again are broadcast; more are shuffled.
 MAX_IDS = 500_000
 
 _RNG = np.random.default_rng(13)
-_TURN, _FINE_TURN = (_RNG.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (BANDS * ROWS, FINE_BANDS * FINE_ROWS))
+_TURN = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BAND_COLS = [f"band_{k}" for k in range(BANDS)]
 
@@ -56,15 +52,15 @@ class Lines:
         rows = self.shingles[np.repeat(self.at, self.n_shingles) + within]
         return _content(rows, within, ends - self.n_shingles, self.n)
 
-    def bands(self, turns: np.ndarray, rows: int) -> np.ndarray:
-        """A row of band keys for each line, of the least shingle under each of ``turns``."""
-        out = np.zeros((len(self.at), len(turns) // rows), np.uint64)
+    def bands(self) -> np.ndarray:
+        """A row of band keys for each line."""
+        out = np.zeros((len(self.at), BANDS), np.uint64)
         if len(self.at):
             cuts = np.stack([self.at, self.at + self.n_shingles], axis=1).ravel()
             padded = np.append(self.shingles, np.uint64(0))
-            for b in range(out.shape[1]):
+            for b in range(BANDS):
                 key = np.full(len(self.at), b + 1, np.uint64)
-                for t in turns[b * rows : (b + 1) * rows]:
+                for t in _TURN[b * ROWS : (b + 1) * ROWS]:
                     key = mix(key * _STEP + np.minimum.reduceat(padded * t, cuts)[::2])
                 out[:, b] = key
         return out
@@ -104,7 +100,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                 at += [lines.at, places]
                 n += [lines.n, np.full(len(places), PARAGRAPH_WORDS)]
                 content += [lines.contents(), heads]
-                bands += [lines.bands(_TURN, ROWS), np.zeros((len(places), BANDS), np.uint64)]
+                bands += [lines.bands(), np.zeros((len(places), BANDS), np.uint64)]
                 row += [np.full(len(lines.at) + len(places), k)]
             if not row:
                 continue
@@ -118,35 +114,34 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def _line_sets(pairs: DataFrame, lines: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows (content, s, bands) of the lines in pairs (a, b): the set of shingles, and fine bands. One text of each is read again."""
+    """Rows (content, s) of the lines in pairs (a, b), with the set of shingles of each. One text of each is read again."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            contents, sets, bands = [], [], []
+            contents, sets = [], []
             for text, wanted in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("contents").to_pylist(), strict=True):
                 found, wanted = Lines(text), set(wanted)
-                keys = found.bands(_FINE_TURN, FINE_ROWS)
                 for k, content in enumerate(found.contents().view(np.int64).tolist()):
                     if content in wanted:
                         wanted.discard(content)
                         contents.append(content)
                         sets.append(np.unique(found.shingles[found.at[k] : found.at[k] + found.n_shingles[k]]))
-                        bands.append(keys[k])
-            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), lists(sets), lists(bands)], ["content", "s", "bands"])
+            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), lists(sets)], ["content", "s"])
 
     ends = pairs.select(F.col("a").alias("content")).unionByName(pairs.select(F.col("b").alias("content"))).distinct()
     wanted = saved(ends.join(lines.select("content", "lo"), "content").groupBy("lo").agg(F.collect_list("content").alias("contents")), "wanted-lines")
     found = texts.join(broadcast_if_small(wanted, wanted.agg(F.coalesce(F.sum(F.size("contents")), F.lit(0))).first()[0], MAX_IDS), F.col("doc_id") == F.col("lo"))
-    # rows that share an id may both have a line
-    return saved(found.select("text", "contents").mapInArrow(of, "content long, s array<long>, bands array<long>"), "line-sets")
+    # rows that share an id may both have the line
+    return saved(found.select("text", "contents").mapInArrow(of, "content long, s array<long>").dropDuplicates(["content"]), "line-sets")
 
 
 def _line_links(found: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between different lines (as contents) that are similar.
 
     First each line is compared with one least line of its bands. Lines of bands
-    that are then not one component are dealt to fine bands, which hold few that
-    are not similar, and there compared until none is left.
+    that are then not one component are all compared that can be similar, by
+    their rarest shingles: no link between these is lost, and many variants of
+    one line, which share nearly all that is common, are few pairs.
     """
     lines = found.where(F.col(_BAND_COLS[0]).isNotNull()).groupBy("content").agg(F.min("doc_id").alias("lo"), *[F.min(c).alias(c) for c in _BAND_COLS])
     lines = saved(lines, "lines")
@@ -162,8 +157,8 @@ def _line_links(found: DataFrame, texts: DataFrame) -> DataFrame:
 
     links = saved(similar(first), "similar-lines")
     left = open_members(members, links).select("content").distinct()
-    fine = several(sets.join(left, "content", "left_semi").select(F.explode("bands").alias("s"), "content", place).distinct())
-    return bucket_links(fine, lambda x, y: F.lit(True), similar, stars(fine), links)
+    near = prefix_members(sets.join(left, "content", "left_semi"))
+    return bucket_links(near, may_be_similar, similar, stars(near), links)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,8 +166,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Lines with a MinHash band in common are joined, and linked if the exact
     Jaccard similarity of their sets of five-word shingles is ``SIMILARITY`` or
-    more; all that are not yet in one component meet again in fine bands, so no
-    link is lost to the choice of a representative. Components of links are the
+    more; all of a band that are not yet in one component are compared by their
+    rarest shingles, so no link is lost to the choice of a representative. Components of links are the
     classes of lines; equal paragraphs are one class. A class that several
     documents hold is a repeat, and stays in its first document (least id).
 
