@@ -1,8 +1,11 @@
+import random
 import re
 
+import pytest
 import xxhash
 
 from tessera.llm import simhash
+from tessera.llm.graph import components
 
 from .cases import empty, odd, odd_rows, plain, table
 
@@ -42,18 +45,20 @@ def test_empty(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
-def test_links_join_all_within_two_bits(spark):
-    import random
-
+@pytest.mark.parametrize("entry_rows", [256, 3, 0])
+def test_links_join_all_within_two_bits(spark, monkeypatch, entry_rows):
+    """With all entries fetched as they are, with some too large, and with all too large."""
+    monkeypatch.setattr(simhash, "ENTRY_ROWS", entry_rows)
     rng = random.Random(5)
-    base = [rng.getrandbits(64) for _ in range(20)]
+    base = [rng.getrandbits(64) for _ in range(20)] + [0, (1 << 64) - 1]
     fps = {b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4))) for b in base for _ in range(30)}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    from tessera.llm.graph import components
-
-    roots = {r.node: r.root for r in components(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"))).collect()}
-    for a in fps:
-        for b in fps:
-            if a != b and (a ^ b).bit_count() <= 2:
-                sa, sb = (x - (1 << 64) if x >> 63 else x for x in (a, b))
-                assert roots[sa] == roots[sb]
+    found = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"))
+    links = {(r.a, r.b) for r in found.collect()}
+    assert all((((a ^ b) & (1 << 64) - 1).bit_count()) <= 2 for a, b in links)
+    roots = {r.node: r.root for r in components(found).collect()}
+    for a in signed:
+        for b in signed:
+            if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
+                assert roots[a] == roots[b]
+                assert entry_rows < 256 or (b, a) in links
