@@ -41,7 +41,7 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_lines.drop_repeated_lines(read(spark, sf_dir, "documents"))
+    return site_lines.drop_site_lines(read(spark, sf_dir, "pages"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +72,17 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op7_site_lines": r"""
-        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS site, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        l AS (SELECT rid, doc_id, site, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+        WITH d AS (SELECT row_number() OVER () AS rid, page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1), '')) AS host,
+                          string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10)) AS lines FROM pages),
+        l AS (SELECT rid, page_id, host, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
         w AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS word FROM l),
-        total AS (SELECT site, count(*) AS n_pages FROM d GROUP BY site),
-        often AS (SELECT w.site, line FROM w JOIN total t ON w.site IS NOT DISTINCT FROM t.site WHERE word
-                  GROUP BY w.site, line, n_pages HAVING count(DISTINCT rid) >= 10 AND count(DISTINCT rid) > 0.02 * n_pages),
-        m AS (SELECT w.*, o.line IS NOT NULL AS gone FROM w LEFT JOIN often o ON w.site IS NOT DISTINCT FROM o.site AND w.line = o.line AND w.word)
-        SELECT doc_id, site, count(*) FILTER (word)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+        total AS (SELECT host, count(*) AS n_pages FROM d GROUP BY host),
+        often AS (SELECT w.host, line FROM w JOIN total t ON w.host = t.host WHERE word
+                  GROUP BY w.host, line, n_pages HAVING count(DISTINCT rid) >= 3 AND count(DISTINCT rid) > 0.5 * n_pages),
+        m AS (SELECT w.*, o.line IS NOT NULL AS gone FROM w LEFT JOIN often o ON w.host = o.host AND w.line = o.line AND w.word)
+        SELECT page_id, host, count(*) FILTER (word)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
                coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
-        FROM m GROUP BY rid, doc_id, site""",
+        FROM m GROUP BY rid, page_id, host""",
     "op8_quality_rules": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
         w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),

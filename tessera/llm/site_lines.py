@@ -7,12 +7,23 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import broadcast_if_small, saved
 
-RATIO = 0.02
-MIN_PAGES = 10
+#: A line goes if it stands on more than this share of its site's pages, and on so many at least.
+RATIO = 0.5
+MIN_PAGES = 3
 BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
+def host(url: Column) -> Column:
+    """The host of a web address, lower-cased; empty where there is none."""
+    return F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
+
+
+def page_text(source: Column) -> Column:
+    """The text of a page with a line break for each tag: what stands between two tags is a line."""
+    return F.regexp_replace(source, "<[^>]*>", "\n")
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
@@ -38,6 +49,17 @@ def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     return often.groupBy("site").agg(F.collect_list("name").alias("names"))
 
 
+def drop_site_lines(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """Rows (page_id, host, n_lines, n_dropped, text), one per row of ``pages`` (page_id, url, html): pages without the lines that their host repeats.
+
+    Pages without a url, or with one without a host, are one host; a null or
+    empty html has no lines; else as in ``drop_repeated_lines``.
+    """
+    rows = pages.select("page_id", host(F.col("url")).alias("host"), page_text(F.col("html").cast("string")).alias("text"))
+    found = drop_repeated_lines(rows, "page_id", "host", "text", ratio, min_pages)
+    return found.withColumnsRenamed({"doc_id": "page_id", "site": "host"})
+
+
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     r"""Rows (doc_id, site, n_lines, n_dropped, text), one per row of ``docs``, without its site's boilerplate lines.
 

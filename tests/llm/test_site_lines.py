@@ -39,5 +39,16 @@ def test_odd_rows(spark):
         site_lines.BROADCAST_ROWS = old
 
 
+def test_pages_by_host(spark, sf):
+    """What stands between tags is a line, and a host's lines count over its pages."""
+    odd_pages = [(1, "https://A.example/x", "<p>same<p>own 1"), (2, "http://a.example:80/y", "<p>same<p>own 2\nsame"), (3, "https://a.example", "<b>same</b>"), (4, None, "<p>same"), (5, "no host", None), (None, "", ""), (3, "https://a.example", "<b>same</b>")]
+    brute_pages = lambda rows: brute([(i, re.sub(r"<[^>]*>", "\n", t or ""), (m[1].lower() if (m := re.match(r"[a-z]+://([^/?#:]*)", u or "")) else "")) for i, u, t in rows], site_lines.RATIO, site_lines.MIN_PAGES)
+    df = spark.createDataFrame([(*r, "x", "y") for r in odd_pages], "page_id long, url string, html string, host string, text string")
+    assert plain(site_lines.drop_site_lines(df)) == brute_pages(odd_pages)
+    got = plain(site_lines.drop_site_lines(spark.read.parquet(f"{sf}/pages.parquet")))
+    assert got == brute_pages(table(sf, "pages")) and any(r[3] for r in got)
+
+
 def test_empty(spark):
+    assert site_lines.drop_site_lines(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert site_lines.drop_repeated_lines(empty(spark)).count() == 0
