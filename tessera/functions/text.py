@@ -6,9 +6,10 @@ Patterns carry ``(?U)`` where word, space or boundary have to be Unicode's, and
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Emoji and what they are replaced by.
@@ -112,6 +113,16 @@ def ngrams(words: Column, n: int) -> Column:
     return let(words, runs)
 
 
+def character_ngrams(c: Column, least: int, most: int) -> Column:
+    """All runs of ``least`` to ``most`` characters, repeats included."""
+
+    def runs(t: Column) -> Column:
+        of = lambda n: F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))).otherwise(F.expr("cast(array() as array<string>)"))
+        return F.concat(*[of(n) for n in range(least, most + 1)])
+
+    return let(c, runs)
+
+
 def language(c: Column) -> Column:
     """``ar`` by script, else ``fr`` or ``en`` by the larger number of key words, else ``mixed``; ``unknown`` for no text."""
     words = F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda x: x != "")
@@ -157,11 +168,6 @@ def translate_tokens(c: Column, dictionary: dict[str, str]) -> Column:
     return F.aggregate(words, start, emit, finish)
 
 
-def replace_all(c: Column, dictionary: dict[str, str]) -> Column:
-    """Each key replaced by its value, in the dictionary's order."""
-    return reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), dictionary.items(), c)
-
-
 def normalise_tokens(c: Column, dictionary: dict[str, str]) -> Column:
     """Whole words replaced by a dictionary of any size, without regard to case: one look-up a word instead of a pattern an entry."""
     if not dictionary:
@@ -211,3 +217,57 @@ def normalise_core(c: Column, letters: dict[str, str], words: dict[str, str]) ->
     t = F.translate(strip(c), "".join(letters), "".join(letters.values())) if letters else strip(c)
     t = F.lower(normalise_tokens(t, words))
     return strip(_sub(t, (r"(?U)#\w+", ""), (r"(?U)([a-zA-Z\x{0621}-\x{064A}])(\d)", "$1 $2"), (r"(?U)(\d)([a-zA-Z\x{0621}-\x{064A}])", "$1 $2"), (r"(?U)\s{2,}", " ")))
+
+
+# French contractions that stay one token.
+CONTRACTIONS = (
+    "aujourd'hui", "j'aime", "j'ai", "j'étais", "j'aurais", "j'avais", "j'aurai", "c'est", "c'était", "c'étais", "c'étaient", "m'aime", "m'ai", "m'as", "m'a",
+    "t'aime", "t'ai", "t'as", "t'a", "s'aime", "s'ai", "s'est", "s'était", "n'aime", "n'ai", "n'est", "n'était", "n'aurais", "l'aime", "l'ai", "l'a", "l'as", "l'avait",
+    "d'accord", "d'abord", "d'ailleurs", "d'habitude", "d'orange", "d'ooredoo", "d'aide", "d'eau", "d'un", "d'une", "d'entre", "qu'il", "qu'elle", "qu'on", "qu'ils", "qu'elles", "qu'importe",
+)
+#: Letters beyond ASCII whose canonical form begins with an ASCII letter, and these.
+ACCENTED = {c: base for k in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if (base := unicodedata.normalize("NFD", c := chr(k))[0]) != c and base.isascii()}
+COMBINING = r"[\x{0300}-\x{036F}]"
+
+
+def ascii_fold(c: Column) -> Column:
+    """Lower case without accents; what is not ASCII then goes."""
+    return F.regexp_replace(F.translate(F.lower(c), "".join(ACCENTED), "".join(ACCENTED.values())), r"[^\x00-\x7F]", "")
+
+
+def contraction_tokens(c: Column) -> Column:
+    """Words and single signs; a contraction is one token, written as a code: ``j'étais`` is ``J_ETAIS``."""
+    pieces = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(?U)([\w']+|[^\w\s])"))
+    return F.transform(pieces, lambda w: F.when(F.lower(w).isin(*CONTRACTIONS), F.upper(F.replace(ascii_fold(w), F.lit("'"), F.lit("_")))).otherwise(w))
+
+
+def nettoyer(c: Column) -> Column:
+    """The cleaning of the intent model: emoji, addresses, mentions, tags and signs out, single spaces, lower case."""
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), SCRUB_EMOJI, " ")
+    return F.lower(squeeze(_sub(t, (r"(?U)http\S+|www\.\S+", ""), (r"(?U)@\w+", ""), (r"(?U)#\w+", ""), (r"(?U)[^\w\s\x{0600}-\x{06FF}]", " "))))
+
+
+def darija_language(c: Column) -> Column:
+    """``inconnu`` for no words, ``darija_latin`` by digits that stand for sounds, else ``ar`` by script, ``fr`` by key words, ``darija_latin`` for the rest."""
+    t = strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)[^\w\s]", ""))
+    kind = language(t)
+    return F.when(t == "", "inconnu").when(t.rlike("[2379]"), "darija_latin").when(kind == "ar", "ar").when(kind == "fr", "fr").otherwise("darija_latin")
+
+
+def normalise_by_language(c: Column, darija: dict[str, str], arabic: dict[str, str]) -> Column:
+    """Cleaned text, translated by its language: Arabic expressions in the dictionary's order, Latin dialect by sounds and then by pairs of words and words."""
+
+    def translated(t: Column) -> Column:
+        kind = darija_language(t)
+        out = F.when(kind == "ar", reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), arabic.items(), t))
+        return squeeze(out.when(kind == "darija_latin", translate_tokens(phonemes(t), darija)).otherwise(t))
+
+    return let(nettoyer(c), translated)
+
+
+def token_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with the tokens, their number and the language of each of ``columns``; null gives no tokens, 0 and ``unknown``."""
+    out = df
+    for name in columns:
+        out = out.withColumn(f"{name}_tokens", tokens(F.col(name))).withColumn(f"{name}_count", F.size(f"{name}_tokens")).withColumn(f"{name}_lang", language(F.col(name)))
+    return out

@@ -70,3 +70,27 @@ def variation(df: DataFrame, ts: str, as_of: Column, days: int, by: list[str]) -
 def recent(df: DataFrame, ts: str, as_of: Column, hours: dict[str, int]) -> DataFrame:
     """One row: how many rows lie within each number of hours before ``as_of``."""
     return df.agg(*[F.count_if((F.col(ts) >= as_of - F.expr(f"interval {h} hours")) & (F.col(ts) <= as_of)).alias(k) for k, h in hours.items()])
+
+
+def first_nonempty(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """The first value of each group, in order, that is not null, empty, ``nan`` or ``[]``; null where there is none."""
+    c = F.col(value)
+    good = c.isNotNull() & ~F.lower(F.trim(c.cast("string"))).isin("", "nan", "[]")
+    return df.groupBy(*keys).agg(F.min(F.when(good, F.struct(*order, value)))[value].alias(value))
+
+
+def sum_check(groups: DataFrame, count: str, rows: DataFrame) -> DataFrame:
+    """One row (total, rows, ok): whether the groups' counts add up to the rows they were made of."""
+    return groups.agg(F.coalesce(F.sum(count), F.lit(0)).alias("total")).crossJoin(rows.agg(F.count("*").alias("rows"))).withColumn("ok", F.col("total") == F.col("rows"))  # one row each
+
+
+def pattern_counts(df: DataFrame, column: str, patterns: dict[str, str]) -> DataFrame:
+    """Rows (pattern, n): how many rows each pattern is found in, all in one pass."""
+    sums = df.agg(*[F.count_if(F.col(column).rlike(p)).alias(k) for k, p in patterns.items()])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("pattern"), F.col(k).alias("n")) for k in patterns])).alias("r")).select("r.*")
+
+
+def mean_pool(df: DataFrame, keys: list[str], vector: str, mask: Column) -> DataFrame:
+    """The mean vector of each group's rows for which ``mask`` holds, as an array."""
+    means = df.where(mask).select(*keys, F.posexplode(vector).alias("i", "x")).groupBy(*keys, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("pooled"))

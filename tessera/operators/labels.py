@@ -29,6 +29,7 @@ KAPPA_LEVELS = ((0.0, "mauvais"), (0.2, "faible"), (0.4, "modere"), (0.6, "bon")
 
 
 def kappa_level(k: Column) -> Column:
+    """The name of the level that a kappa reaches."""
     out = F.lit(None).cast("string")
     for low, name in KAPPA_LEVELS:
         out = F.when(k >= low, F.lit(name)).otherwise(out)
@@ -45,6 +46,43 @@ def class_report(pairs: DataFrame, predicted: str, actual: str) -> DataFrame:
     return sums.select("label", "support", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"))
 
 
+def report_totals(report: DataFrame, pairs: DataFrame, predicted: str, actual: str) -> DataFrame:
+    """One row (accuracy, macro_f1, weighted_f1) of a ``class_report`` and its counts ``n``."""
+    right = pairs.agg(F.try_divide(F.sum(F.when(F.col(predicted) == F.col(actual), F.col("n")).otherwise(0)).cast("double"), F.sum("n")).alias("accuracy"))
+    means = report.agg(F.avg("f1").alias("macro_f1"), F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"))
+    return right.crossJoin(means)  # one row each
+
+
+def disagreements(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows on whose label two annotators differ."""
+    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+
+
+def import_validations(rows: DataFrame, votes: DataFrame, key: str, annotator: str, vote: str, label: str) -> DataFrame:
+    """``rows`` with ``validations`` (annotator to label), the label of the last annotator by name, ``label_original`` and ``corrige``.
+
+    Of several votes of one annotator on a row the greatest counts; rows without votes keep their label.
+    """
+    one = votes.where(F.col(annotator).isNotNull() & F.col(vote).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(annotator).alias("_a")).agg(F.max(vote).alias("_v"))
+    per = one.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_a", "_v")))).alias("validations"), F.max_by("_v", "_a").alias("_last"))
+    joined = rows.join(per, F.col(key) == F.col("_key"), "left").withColumn("label_original", F.col(label))
+    changed = F.coalesce(F.col("_last") != F.col(label), F.col("_last").isNotNull())
+    return joined.withColumn("corrige", changed).withColumn(label, F.coalesce("_last", label)).drop("_key", "_last")
+
+
+def review_extract(rows: DataFrame, label: str, conflict: Column, neutral: str = "neutre") -> DataFrame:
+    """The rows to look at again: neutral ones and those in conflict, with their ``cas``."""
+    neutral_row = F.coalesce(F.col(label) == neutral, F.lit(False))
+    case = F.when(neutral_row & conflict, "neutre+conflit").when(neutral_row, "neutre").when(conflict, "conflit")
+    return rows.withColumn("cas", case).where("cas is not null")
+
+
+def judged_accuracy(judged: DataFrame, predicted: str, ok: Column) -> DataFrame:
+    """Rows (predicted, n, right, accuracy) for each predicted label and, with a null label, for all."""
+    out = judged.rollup(predicted).agg(F.count("*").alias("n"), F.count_if(ok).alias("right"))
+    return out.withColumn("accuracy", F.try_divide(F.col("right").cast("double"), F.col("n")))
+
+
 def consensus(votes: DataFrame, item: str, annotator: str, label: str, least: int = 2) -> DataFrame:
     """Rows (item, n_validators, accord, label_final) of items with enough annotators; ``desaccord`` where they differ."""
     out = votes.where(F.col(label).isNotNull()).groupBy(item).agg(F.countDistinct(annotator).alias("n_validators"), (F.min(label) == F.max(label)).alias("accord"), F.min(label).alias("least_label")).where(F.col("n_validators") >= least)
@@ -148,3 +186,9 @@ def softmax_top(scores: Column, k: int = 3) -> Column:
     total = F.aggregate(exps, F.lit(0.0), lambda s, x: s + x)
     ranked = F.array_sort(F.transform(exps, lambda x, i: F.struct((-x / total).alias("p"), i.alias("i"))))
     return F.transform(F.slice(ranked, 1, k), lambda r: F.struct(r["i"].alias("index"), (-r["p"]).alias("p")))
+
+
+def decide(top: Column, names: list[str], least: float = 0.40, unsure: str = "incompris") -> Column:
+    """The name of the best of ``softmax_top``, or ``unsure`` where its p is below ``least``."""
+    best = top[0]
+    return F.when(best["p"] >= least, F.element_at(F.array(*[F.lit(n) for n in names]), best["index"] + 1)).otherwise(F.lit(unsure))

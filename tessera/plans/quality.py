@@ -7,7 +7,7 @@ from tessera.operators import labels as lab
 from tessera.plans.base import AS_OF, comments, query, table  # noqa: F401
 
 
-def _two(spark, sf_dir):
+def two(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("model"), (1 - F.col("toxic")).cast("string").alias("human"))
 
 
@@ -20,26 +20,26 @@ SELECT n, round(po, 6) AS agreement, round(c / (n::DOUBLE * n), 6) AS expected,
 
 @query(KAPPA)
 def kappa(spark, sf_dir):
-    k = lab.kappa(lab.confusion(_two(spark, sf_dir), "model", "human"), "model", "human")
+    k = lab.kappa(lab.confusion(two(spark, sf_dir), "model", "human"), "model", "human")
     return k.select("n", *[F.round(c, 6).alias(c) for c in ("agreement", "expected", "kappa")])
 
 
 @query(f"WITH {TWO} SELECT model, human, count(*) AS n FROM two WHERE model IS NOT NULL AND human IS NOT NULL GROUP BY 1, 2")
 def confusion_matrix(spark, sf_dir):
-    return lab.confusion(_two(spark, sf_dir), "model", "human")
+    return lab.confusion(two(spark, sf_dir), "model", "human")
 
 
 @query(f"""WITH {TWO}, l AS (SELECT model AS label FROM two UNION SELECT human FROM two), s AS (SELECT label, (SELECT count(*) FROM two WHERE human = label) AS support, (SELECT count(*) FROM two WHERE model = label) AS g, (SELECT count(*) FROM two WHERE human = label AND model = label) AS r FROM l),
 m AS (SELECT label, support, CASE WHEN g = 0 THEN 0.0 ELSE r::DOUBLE / g END AS p, CASE WHEN support = 0 THEN 0.0 ELSE r::DOUBLE / support END AS q FROM s)
 SELECT label, support, round(p, 6) AS precision, round(q, 6) AS recall, round(CASE WHEN p + q = 0 THEN 0.0 ELSE 2 * p * q / (p + q) END, 6) AS f1 FROM m""")
 def class_report(spark, sf_dir):
-    r = lab.class_report(lab.confusion(_two(spark, sf_dir), "model", "human"), "model", "human")
+    r = lab.class_report(lab.confusion(two(spark, sf_dir), "model", "human"), "model", "human")
     return r.select("label", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query(f"WITH {TWO} SELECT model, human, count(*) AS n FROM two WHERE model <> human GROUP BY 1, 2")
 def error_types(spark, sf_dir):
-    return lab.confusion(_two(spark, sf_dir), "model", "human").where("model <> human").orderBy(F.desc("n"), "model", "human")
+    return lab.confusion(two(spark, sf_dir), "model", "human").where("model <> human").orderBy(F.desc("n"), "model", "human")
 
 
 @query("""WITH v AS (SELECT l_orderkey AS item, l_suppkey AS annotator, l_returnflag AS label FROM lineitem), c AS (SELECT item, count(DISTINCT annotator) AS n_validators, min(label) = max(label) AS accord, min(label) AS m FROM v GROUP BY item HAVING count(DISTINCT annotator) >= 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,24 @@ def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key).distinct(), key, "left_anti")
 
 
+def sorted_table(df: DataFrame, path: str, key: str, files: int) -> None:
+    """A Parquet table in ranges of ``key``, sorted within each file: readers that look for keys skip most row groups, as by an index."""
+    df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+
+
+def bucketed_table(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """A table that joins on ``key`` with others of as many buckets without a shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+
+
+def copy_table(spark: SparkSession, old: str, new: str) -> None:
+    spark.table(old).write.mode("overwrite").saveAsTable(new)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
