@@ -7,6 +7,7 @@ Patterns carry ``(?U)`` where word, space or boundary have to be Unicode's, and
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,8 +99,8 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(strip(F.coalesce(c, F.lit(""))), r"(?U)\s+"), lambda x: x != "")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, computed once a row. A column that a lambda reads would else be computed for each element."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once a row however often ``body`` uses it; a column that a lambda reads would else be computed for each element."""
     return F.transform(F.array(value), body)[0]
 
 

@@ -10,39 +10,78 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, which all executors reach; only a local session without it gets a temporary folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
+
+    Only a local session that has none set (tests, a laptop) gets a temporary
+    folder: on a cluster no two machines would share it.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        base = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tessera/{spark.sparkContext.applicationId}"
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for this application below the shared one."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again: the lineage ends, the rows are not computed twice."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tessera/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """``df`` written once as Parquet in the shared folder and read again.
+
+    The lineage ends there: a lost executor costs only the tasks it ran, and a
+    plan that uses the rows twice computes them once.
+    """
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes all that ``saved`` and the file writers of this application left; call it when results have been written or collected."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _linked_to_least(edges: DataFrame, only_smaller: bool) -> DataFrame:
+    """Each node's neighbours are linked to the least of them and the node.
+
+    The least neighbour comes from a grouped minimum (combined before the
+    shuffle), so a node with a large share of all links never meets in one task.
+    """
+    if only_smaller:
+        out = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        least = out.groupBy("u").agg(F.min("v").alias("m"))
+        joined = out.join(least, "u")
+        moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b"))
+        own = least.select(F.col("u").alias("a"), F.col("m").alias("b"))
+        return moved.unionByName(own).where("a <> b").distinct()
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("n", "u").alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """Rows (node, root) of the links (a, b): root is the least node that is reachable.
+def components(edges: DataFrame) -> DataFrame:
+    """Rows (node, root) for each node of ``edges`` (a, b); root is the least node that is reachable.
 
-    Every node takes the least name among its own and its neighbours', then the
-    name of that name, until none changes; long paths halve with each round.
+    Large-star and small-star steps alternate until the links no longer change,
+    after about log2(longest path) rounds. Each round is written to the shared
+    folder. Nulls and loops are ignored; no links give no rows.
     """
-    both = links.where("a <> b").select("a", "b").unionByName(links.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = saved(both, "both-ways")
-    names = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "names")
+    at = saved(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    state = None
     while True:
-        near = both.join(names.select(F.col("node").alias("b"), F.col("root").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"))
-        step = names.join(near, F.col("node") == F.col("a")).select("node", F.least("root", "other").alias("to"), F.col("root").alias("old"))
-        jump = step.select(F.col("node").alias("via"), F.col("to").alias("next"))
-        new = saved(step.join(jump, F.col("to") == F.col("via"), "left").select("node", F.least("to", "next").alias("root"), "old"), "names")
-        still = new.where("root <> old").isEmpty()
-        names = new.select("node", "root")
-        if still:
-            return names
+        new = at.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(cast(xxhash64(b, a) as decimal(38, 0)))")).first()
+        if new[0] == 0 or new == state:
+            return at.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(at.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+        state = new
+        at = saved(_linked_to_least(_linked_to_least(at, False), True), "links")

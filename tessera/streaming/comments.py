@@ -43,16 +43,17 @@ def fold(rows: DataFrame, key: str, ts: str, order: str, keep: list[str]) -> Dat
 
 
 def merge(old: DataFrame, new: DataFrame, key: str, order: str, keep: list[str]) -> DataFrame:
-    """Two folded tables as one: counts add up, and the ``keep`` columns of the old row, or else of the new, stay."""
-    both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
-    out = both.groupBy(key).agg(
+    """Two folded tables as one: counts add up, the earlier first row stays; columns that ``old`` alone has (its scores) stay as they are."""
+    base = [key, "frequence", "date_creation", "derniere_occurrence", order, *keep]
+    scores = [c for c in old.columns if c not in base]
+    out = old.unionByName(new, allowMissingColumns=True).groupBy(key).agg(
         F.sum("frequence").alias("frequence"),
         F.min("date_creation").alias("date_creation"),
         F.max("derniere_occurrence").alias("derniere_occurrence"),
-        F.min(F.struct("date_creation", order)).alias("_f"),
-        F.min(F.struct("_age", *keep)).alias("_k"),
+        F.min(F.struct("date_creation", order, *keep)).alias("_f"),
+        *[F.max(c).alias(c) for c in scores],  # new rows have none
     )
-    return out.select(key, "frequence", "date_creation", "derniere_occurrence", F.col(f"_f.{order}").alias(order), *[F.col(f"_k.{c}").alias(c) for c in keep])
+    return out.select(*base[:4], *[F.col(f"_f.{c}").alias(c) for c in [order, *keep]], *scores)
 
 
 #: Parts of a frequency table; a batch reads and writes those that its keys fall into.
@@ -98,8 +99,9 @@ def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], sc
     the latest versions before it of the parts that its keys fall into, and
     writes only these, as version n: a repeated batch gives the same table, each
     message counts exactly once, and a batch costs what it touches. ``score``
-    sees only rows whose key is new to the table; known keys keep what they were
-    given. Versions that neither batch n nor the one before it needs are deleted.
+    adds columns, and sees only rows whose key is new to the table; known keys
+    keep the scores that they were given. Versions that neither batch n nor the
+    one before it needs are deleted.
     """
 
     def batch(df: DataFrame, n: int) -> None:

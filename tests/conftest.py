@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from tessera.operators.work import clean_scratch
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,6 +17,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clean_scratch(s)
     s.stop()
 
 

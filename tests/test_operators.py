@@ -108,3 +108,57 @@ def test_stream_counts_each_message_once(spark, sf, tmp_path):
     stream.writeStream.foreachBatch(lambda df, n: (sink(df, n), sink(df, n))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     want = live.fold(rows, "key", "ts", "event_id", ["label"])
     assert sorted(map(tuple, live.current(spark, str(tmp_path / "table")).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_scores_are_given_once(spark, tmp_path):
+    """Only keys that are new to the table are scored, a repeated batch changes nothing, and other parts are not rewritten."""
+    seen = []
+
+    def score(df):
+        seen.append(sorted(r.key for r in df.select("key").collect()))
+        return df.withColumn("label", F.concat(F.lit("batch "), F.lit(len(seen))))
+
+    sink = live.frequency_sink(str(tmp_path / "t"), "key", "ts", "id", [], score)
+    batch = lambda *rows: spark.createDataFrame([(k, i, i) for k, i in rows], "key string, ts long, id long")
+    sink(batch(("a", 1), ("b", 2), ("a", 3)), 0)
+    sink(batch(("b", 4), ("c", 5)), 1)
+    sink(batch(("b", 4), ("c", 5)), 1)
+    sink(batch(("a", 0)), 2)
+    got = {r.key: (r.frequence, r.id, r.label) for r in live.current(spark, str(tmp_path / "t")).collect()}
+    assert got == {"a": (3, 0, "batch 1"), "b": (2, 2, "batch 1"), "c": (1, 5, got["c"][2])} and got["c"][2] in ("batch 2", "batch 3")
+    assert seen == [["a", "b"], ["c"], ["c"], []]
+
+
+def test_nearest_with_odd_vectors(spark):
+    from tessera.operators.search import nearest
+
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, None), (None, [1.0, 0.0]), (4, [0.0, 1.0]), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [1.0, 0.0, 0.0]), (8, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = [(r.query_id, r.id, r.rank) for r in nearest(df, df.where("id in (1, 3)"), "id", "v", 3).orderBy("query_id", "rank").collect()]
+    assert got == [(1, 8, 1), (1, 2, 2), (1, 4, 3)]
+    assert nearest(df, df.where("id = 99"), "id", "v", 3).count() == 0
+
+
+def test_character_ngrams_are_the_truth(spark):
+    """Links by character 3- to 5-grams against cosines straight from the definition."""
+    import math
+    from collections import Counter
+
+    texts = ["le service est bon et rapide", "le service est bon et rapide.", "un autre texte", "ab", "", None, "le service est bon et rapide"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members, distinct = sim.contents(df, "doc_id", F.array(F.lower(F.nullif("text", F.lit("")))))
+    grams = distinct.where("features[0] is not null").select("content", "copies", text.character_ngrams(F.col("features")[0], 3, 5).alias("features"))
+    links = {(r.a, r.b): r.score for r in sim.cosine_links(sim.tfidf(grams, sublinear=False), 0.5).collect()}
+    docs = {i: Counter(t[k : k + n] for n in (3, 4, 5) for k in range(len(t) - n + 1)) for i, t in enumerate(texts) if t and len(t) >= 3}
+    n, df_ = len(docs), Counter(g for c in docs.values() for g in c)
+    n += 1  # the text of two letters has no grams but counts as a document
+    vec = {i: {g: k * (math.log((1 + n) / (1 + df_[g])) + 1) for g, k in c.items()} for i, c in docs.items()}
+    cos = lambda a, b: sum(a[g] * b[g] for g in a if g in b) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    assert set(links) == {(0, 1)} and math.isclose(links[0, 1], cos(vec[0], vec[1]), rel_tol=1e-9)
+
+
+def test_typed_fields_and_rejects(spark):
+    target = spark.createDataFrame([(1, 1.0, False), (2, 2.0, True), (3, 3.0, True)], "k long, x double, ok boolean")
+    fields = spark.createDataFrame([(1, " 7.5 ", "Oui"), (2, "none", "peut-être"), (9, "1", "non")], "k long, x string, ok string")
+    updated, rejected = joins.update_typed(target, fields, "k", {"x": "double", "ok": "bool"})
+    assert sorted(map(tuple, updated.collect())) == [(1, 7.5, True), (2, 2.0, True), (3, 3.0, True)] and [r.k for r in rejected.collect()] == [9]
