@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import saved
-from tessera.llm.graph import components
+from tessera.operators.work import components
 
 #: Least Jaccard similarity of a link, as a fraction.
 SIMILARITY = (4, 5)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import let  # noqa: F401
+from tessera.operators.work import new_folder, saved  # noqa: F401
+
 #: What separates words, as a Java regular expression: ASCII white space only.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -17,45 +16,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Only a local session that has none set (tests, a laptop) gets a temporary
-    folder: on a cluster no two machines would share it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder for this application below the shared one."""
-    return f"{scratch_dir(spark)}/tessera/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again.
-
-    The lineage ends there: a lost executor costs only the tasks it ran, and a
-    plan that uses the rows twice computes them once.
-    """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clean_scratch(spark: SparkSession) -> None:
-    """Deletes what ``saved`` and the file writers of this application left."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/tessera/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_key(text: Column) -> list[Column]:
     """A text as two 64-bit hashes, ``t1`` and ``t2``: rows with the same text, and only these, meet by them, whatever their ids."""
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("text"), text).alias("t2")]
@@ -72,11 +32,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), hashes[0].alias("r1"), hashes[1].alias("r2"))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once per row however often ``body`` uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def ascii_words(text: Column) -> Column:
     """Words between ASCII white space; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), ASCII_SPACE), "")

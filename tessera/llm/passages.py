@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.buckets import SIMILARITY, bucket_links, may_be_similar, open_members, prefix_members, several, stars
 from tessera.llm.common import broadcast_if_small, saved
-from tessera.llm.graph import components
 from tessera.llm.shingles import EMPTY, SHINGLE_WORDS, lists, mix, numbers, runs
+from tessera.operators.work import components
 
 #: The least paragraph; what is shorter is no passage.
 PARAGRAPH_WORDS = 20

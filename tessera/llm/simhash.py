@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import broadcast_if_small, saved
-from tessera.llm.graph import components
+from tessera.operators.work import components
 
 SHINGLE_WORDS = 3
 SEED = 42

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from tessera.llm import simhash
-from tessera.llm.graph import components
+from tessera.operators.work import components
 
 from .cases import empty, odd, odd_rows, plain, table
 
