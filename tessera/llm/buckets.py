@@ -27,9 +27,9 @@ def may_be_similar(x: Column, y: Column) -> Column:
 
 
 def several(entries: DataFrame) -> DataFrame:
-    """``entries`` (s, content, ...) of buckets with more than one content, with the least content of the bucket."""
-    ends = entries.groupBy("s").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least < most").drop("most")
-    return saved(entries.join(ends, "s"), "buckets")
+    """``entries`` (s, content, place) of buckets with more than one content, and how many these are, ``n``."""
+    sizes = entries.groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
+    return saved(entries.join(sizes, "s"), "buckets")
 
 
 def prefix_members(sets: DataFrame) -> DataFrame:
@@ -48,9 +48,20 @@ def prefix_members(sets: DataFrame) -> DataFrame:
 
 
 def stars(members: DataFrame) -> DataFrame:
-    """Pairs (a, b): each content with that least content of its buckets which it meets most often, so that a large group costs a pair a member."""
-    met = members.where("content <> least").groupBy(F.col("content").alias("a"), F.col("least").alias("b")).count()
-    return saved(met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", "m.b"), "stars")
+    """Pairs (a, b) of ``several``: each content with one hub of its buckets, so that a large group costs a pair a member.
+
+    A bucket's hub is the content that meets most others in all its buckets: of
+    many variants of one text that text itself, which is similar to them all.
+    """
+    weights = members.groupBy("content").agg(F.sum("n").alias("w"))
+    hubs = members.join(weights, "content").groupBy("s").agg(F.max(F.struct("w", "content")).alias("m")).select("s", F.col("m.content").alias("hub"))
+    return most_met(members.join(hubs, "s").select("content", "hub"))
+
+
+def most_met(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) from (content, hub): each content with the hub that it meets most often."""
+    counts = met.where("content <> hub").groupBy(F.col("content").alias("a"), F.col("hub").alias("b")).count()
+    return saved(counts.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", "m.b"), "stars")
 
 
 def open_members(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -138,8 +138,8 @@ def _line_sets(pairs: DataFrame, lines: DataFrame, texts: DataFrame) -> DataFram
 def _line_links(found: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between different lines (as contents) that are similar.
 
-    First each line is compared with one least line of its bands. Lines of bands
-    that are then not one component are all compared that can be similar, by
+    First each line is compared with one hub of its bands. Lines of bands that
+    are then not one component are all compared that can be similar, by
     their rarest shingles: no link between these is lost, and many variants of
     one line, which share nearly all that is common, are few pairs.
     """
