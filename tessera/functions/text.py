@@ -169,15 +169,6 @@ def translate_tokens(c: Column, dictionary: dict[str, str]) -> Column:
     return F.aggregate(words, start, emit, finish)
 
 
-def normalise_tokens(c: Column, dictionary: dict[str, str]) -> Column:
-    """Whole words replaced by a dictionary of any size, without regard to case: one look-up a word instead of a pattern an entry."""
-    if not dictionary:
-        return c
-    table = F.create_map(*[F.lit(x) for k, v in dictionary.items() for x in (k.lower(), v)])
-    pieces = F.regexp_extract_all(c, F.lit(r"(?U)(\w+|\W+)"))
-    return F.array_join(F.transform(pieces, lambda w: F.coalesce(F.try_element_at(table, F.lower(w)), w)), "")
-
-
 def keywords(c: Column) -> Column:
     """Words of four letters or more, lower-cased, without stop words."""
     return F.filter(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\b([a-zàâçéèêëîïôûùüÿ]{4,})\b")), lambda w: ~w.isin(*STOP_WORDS))
@@ -210,14 +201,9 @@ def rejection(c: Column, technical: tuple[str, ...] = ()) -> Column:
     return out.when(mostly(LATIN_RUN, 0.4), "charabia_clavier").when(mostly(ARABIC_RUN, 0.4), "charabia_arabe")
 
 
-def normalise_core(c: Column, letters: dict[str, str], words: dict[str, str]) -> Column:
-    """Letter forms unified, dictionary words replaced, lower case, no tags, letters and digits apart, single spaces.
-
-    ``letters`` maps single characters; ``words`` may have any number of entries.
-    """
-    t = F.translate(strip(c), "".join(letters), "".join(letters.values())) if letters else strip(c)
-    t = F.lower(normalise_tokens(t, words))
-    return strip(_sub(t, (r"(?U)#\w+", ""), (r"(?U)([a-zA-Z\x{0621}-\x{064A}])(\d)", "$1 $2"), (r"(?U)(\d)([a-zA-Z\x{0621}-\x{064A}])", "$1 $2"), (r"(?U)\s{2,}", " ")))
+def core_form(c: Column) -> Column:
+    """Lower case, no tags, letters and digits apart, single spaces."""
+    return strip(_sub(F.lower(c), (r"(?U)#\w+", ""), (r"(?U)([a-zA-Z\x{0621}-\x{064A}])(\d)", "$1 $2"), (r"(?U)(\d)([a-zA-Z\x{0621}-\x{064A}])", "$1 $2"), (r"(?U)\s{2,}", " ")))
 
 
 # French contractions that stay one token.

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.functions import dates, flags, text
+from tessera.functions import dates, flags, normaliser, text
 from tessera.plans.base import comments, query, table
 from tessera.plans.re2 import SPACE, WORD, found_in, meets
 from tessera.plans.re2 import sql as literal
@@ -113,12 +113,24 @@ def first_date_parse(spark, sf_dir):
     return o.select("o_orderkey", F.date_format(ts, "yyyy-MM-dd").alias("day"), dates.week_key(ts).alias("week"))
 
 
+#: A small dictionary of each kind; larger ones are read from a file.
+DICTIONARIES = {
+    "unicode_arabic": dict(zip("أإآٱ", "اااا", strict=True)),
+    "emojis": {"👍": "bravo", "❤️": "mliha bzaf"},
+    "arabizi_upper": {"SVP": "s'il vous plaît"},
+    "arabizi_words": {"bezzaf": "بزاف", "the": "le", "of the": "du"},
+    "mixed_ar_fr_regex": {r"(\w+)tion\b": r"\1sion"},
+    "network_variants": {"normalized_form": "شبكة", "latin": ["reseau", "réseau"], "arabic": ["الشبكة"]},
+    "abbreviations": {"and": "et", "pb": "problème"},
+    "telecom_tech": {"4g": "4G", "adsl": "ADSL", "wifi": "Wi-Fi"},
+    "french_corrections_regex": {r"\bprobleme\b": "problème"},
+}
+
+
 @query()
 def normalise_core(spark, sf_dir):
-    """The core normaliser with a small dictionary; a larger one is a parameter."""
-    letters = dict(zip("أإآٱ", "اااا", strict=True))
-    words = {"internet": "انترنت", "the": "le", "wifi": "wi-fi", "bezzaf": "بزاف"}
-    return table(spark, sf_dir, "documents").select("doc_id", text.rejection(_t(), ("adsl", "wifi", "4g")).alias("reason"), text.normalise_core(_t(), letters, words).alias("clean"))
+    """The core normaliser with a small dictionary of each kind."""
+    return table(spark, sf_dir, "documents").select("doc_id", normaliser.normalise(_t(), DICTIONARIES).alias("n")).select("doc_id", F.col("n.reason").alias("reason"), F.col("n.text").alias("clean"))
 
 
 def _flags(spark, sf_dir, flag):

@@ -66,10 +66,20 @@ def mongodb(spark: SparkSession, uri: str, database: str, collection: str) -> Da
     return spark.read.format("mongodb").option("connection.uri", uri).option("database", database).option("collection", collection).load()
 
 
-def first_present(df: DataFrame, candidates: list[str], name: str) -> DataFrame:
-    """``df`` with the first of the candidate columns that it has as ``name``, null if it has none."""
-    found = next((c for c in candidates if c in df.columns), None)
-    return df.withColumn(name, F.col(found) if found else F.lit(None).cast("string"))
+def dictionaries(spark: SparkSession, path: str, max_bytes: int = 20_000_000) -> dict:
+    """The normaliser's dictionaries: one JSON object of objects. The file's size is checked before it comes to the driver."""
+    import json
+
+    files = spark.read.format("binaryFile").load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"{path} has {size} bytes; dictionaries of up to {max_bytes} are read")
+    return json.loads(bytes(files.select("content").first()[0]).decode("utf-8"))
+
+
+def text_lines(spark: SparkSession, path: str, name: str = "text") -> DataFrame:
+    """Each line of plain text files as a row; blank lines are left out."""
+    return spark.read.text(path).select(F.col("value").alias(name)).where(F.trim(name) != "")
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -77,12 +87,6 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
 
 
-def split_valid(df: DataFrame, col: str, allowed: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose value is allowed, and the others."""
-    ok = F.coalesce(F.col(col).isin(allowed), F.lit(False))
-    return df.where(ok), df.where(~ok)
-
-
 def parse_flag(c):
     """true, 1, yes, oui and false, 0, no, non as booleans; any other text counts as true if not empty."""
     t = F.lower(F.trim(c.cast("string")))

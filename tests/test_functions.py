@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import dates, flags, text
+from tessera.functions import dates, flags, normaliser, text
 from tessera.operators import labels as lab
 from tessera.operators import similarity as sim
 
 
 def values(spark, rows, f):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, c string")
-    return [r[1] for r in sorted(df.select("i", f(F.col("c")).alias("v")).collect())]
+    return [r[1] for r in sorted(df.select("i", f(F.col("c")).alias("v")).collect(), key=lambda r: r[0])]
 
 
 def test_strip_numbers(spark):
@@ -51,9 +51,61 @@ def test_translate(spark):
     assert values(spark, rows, lambda c: text.translate_tokens(c, table)) == [plain(r) for r in rows]
 
 
-def test_core_normaliser(spark):
-    assert values(spark, ["", "1500 da", "0664514558", "adsl 4g", "bcdfghjk", "une phrase normale"], lambda c: text.rejection(c, ("adsl", "4g"))) == ["vide", "prix_detecte", "telephone_detecte", "technique_seul", "charabia_clavier", None]
-    assert values(spark, ["Wach 4G  #tag أهلا"], lambda c: text.normalise_core(c, {"أ": "ا"}, {"wach": "واش"})) == ["واش 4 g اهلا"]
+def plain_core(t, d):
+    """The core normaliser's passes by Python's patterns, one after another."""
+    words = lambda x, flags: [(rf"\b{re.escape(k)}\b", v.replace("\\", r"\\"), flags) for k, v in sorted(x.items(), key=lambda kv: -len(kv[0]))]
+    t = t.strip().translate(str.maketrans(d["unicode_arabic"]))
+    for k, v in sorted(d["emojis"].items(), key=lambda kv: -len(kv[0])):
+        t = t.replace(k, f" {v} ")
+    net = d["network_variants"]
+    steps = words(d["arabizi_upper"], 0) + words(d["arabizi_words"], re.I) + [(p, r, re.I) for p, r in d["mixed_ar_fr_regex"].items()]
+    steps += [(r"\b(?:" + "|".join(map(re.escape, net["latin"])) + r")\b|(?:" + "|".join(map(re.escape, net["arabic"])) + ")", net["normalized_form"], re.I)]
+    steps += words(d["abbreviations"], re.I) + words(d["telecom_tech"], re.I) + [(p, r, re.I) for p, r in d["french_corrections_regex"].items()]
+    for p, r, flags in steps:
+        t = re.sub(p, r, t, flags=flags)
+    t = re.sub(r"#\w+", "", t.lower())
+    t = re.sub(r"([a-zA-Z\u0621-\u064A])(\d)", r"\1 \2", t)
+    t = re.sub(r"(\d)([a-zA-Z\u0621-\u064A])", r"\1 \2", t)
+    return re.sub(r"\s{2,}", " ", t).strip()
+
+
+def test_core_normaliser(spark, sf):
+    """Refusals by their rules, and all passes in order: a phrase before its words, case where it counts, lower case after spelling."""
+    from tessera.plans.texts import DICTIONARIES as d
+
+    texts = ["Wach 4G  #tag أهلا bezzaf", "of the road and the rest", "svp SVP pb 👍❤️", "Notre réseau et الشبكة : probleme !", "la nation 4g12 c'est l'adsl", "x" * 3 + " $1 \\1"]
+    got = values(spark, texts, lambda c: normaliser.normalise(c, d))
+    assert [(r.text, r.reason) for r in got] == [(plain_core(t, d), None) for t in texts]
+    assert got[0].text.startswith("wach 4 g") and "du road et le rest" in got[1].text and got[2].text.startswith("svp s'il vous plaît problème bravo mliha bzaf")
+    refused = [(None, "vide"), ("  ", "vide"), ("2500 DA", "prix_detecte"), ("055 01 23 45", "telephone_detecte"), ("4g wifi", "technique_seul"), ("bcdfghjk", "charabia_clavier"), ("ههههههه", "charabia_arabe"), ("le prix est de 2500 DA", None)]
+    assert [(r.text is None, r.reason) for r in values(spark, [t for t, _ in refused], lambda c: normaliser.normalise(c, d))] == [(r is not None, r) for _, r in refused]
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("text", normaliser.normalise(F.col("text"), d).alias("n")).collect()
+    kept = [r for r in rows if r.n.reason is None]
+    assert len(kept) > 100 and all(r.n.text == plain_core(r.text, d) for r in kept)
+    assert normaliser.normalise(F.lit("x"), {}) is not None
+
+
+def test_a_large_dictionary_is_a_small_plan(spark):
+    d = {"arabizi_words": {f"mot{k}": f"word{k}" for k in range(600)}}
+    df = spark.createDataFrame([("mot7 et MOT599 motif",)], "t string").select(normaliser.normalise(F.col("t"), d).alias("n"))
+    assert df.first().n.text == "word 7 et word 599 motif"
+
+
+def test_evidence(spark):
+    assert values(spark, ["bien mais nul", "rien"], flags.mixed_evidence) == ["bien ↔ nul", ""]
+    assert values(spark, ["machi bien"], flags.negation_evidence) == ["machi bien ⊗ bien"]
+    assert values(spark, ["inbox svp, 3 jours"], flags.complaint_evidence) == ["inbox | 3 jours"]
+
+
+def test_languages_of_the_intent_model(spark):
+    assert values(spark, ["", "! ?", "wach 3likom", "السلام عليكم", "le service est dans la ville", "hello"], text.darija_language) == ["inconnu", "inconnu", "darija_latin", "ar", "fr", "darija_latin"]
+    got = values(spark, ["Wach 7al @x http://y.z #t 😊!", "السلام صديقي", "le prix"], lambda c: text.normalise_by_language(c, {"wach hal": "comment", "hal": "état"}, {"السلام": "bonjour"}))
+    assert got == ["comment", "bonjour صديقي", "le prix"]
+
+
+def test_kappa_levels(spark):
+    df = spark.createDataFrame([(k,) for k in (-0.1, 0.0, 0.3, 0.5, 0.7, 0.9)], "k double")
+    assert [r[0] for r in df.select(lab.kappa_level(F.col("k"))).collect()] == ["mauvais", "mauvais", "faible", "modere", "bon", "excellent"]
 
 
 def test_emoji(spark):
