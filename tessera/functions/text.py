@@ -25,8 +25,12 @@ COUNT_EMOJI = r"[\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{2600}-\x{27BF}\x{1F900
 # Phone and claim numbers, and repeated digits.
 NUMBERS = (r"(?U)\b\d{10,}\b", r"(?U)\b0[5-7]\d{8}\b", r"(?U)\b0[2-4]\d{7,8}\b", r"(?U)(?<!\d)(\d)\1{5,}(?!\d)")
 # Key words of the language test.
-FRENCH = "le la les un une des je tu il elle nous vous ils elles et ou mais donc est sont ce cet cette dans pour par sur avec tres bien mal trop aujourd".split()
-ENGLISH = "the a an and or but if because as of at by for with about in on very good bad this that these those".split()
+FRENCH = (
+    "le", "la", "les", "un", "une", "des", "je", "tu", "il", "elle", "nous", "vous", "ils", "elles", "et", "ou", "mais", "donc", "est", "sont", "ce", "cet", "cette", "dans", "pour", "par", "sur", "avec", "tres", "bien", "mal", "trop", "aujourd",
+)
+ENGLISH = (
+    "the", "a", "an", "and", "or", "but", "if", "because", "as", "of", "at", "by", "for", "with", "about", "in", "on", "very", "good", "bad", "this", "that", "these", "those",
+)
 # Words that key words leave out, and the lexicon of complaints.
 STOP_WORDS = ("le", "la", "les", "de", "des", "et", "est", "pas", "très", "trop")
 COMPLAINTS = (
@@ -127,7 +131,7 @@ def character_ngrams(c: Column, least: int, most: int) -> Column:
 def language(c: Column) -> Column:
     """``ar`` by script, else ``fr`` or ``en`` by the larger number of key words, else ``mixed``; ``unknown`` for no text."""
     words = F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda x: x != "")
-    count = lambda keys: F.size(F.filter(words, lambda w: w.isin(keys)))
+    count = lambda keys: F.size(F.filter(words, lambda w: w.isin(*keys)))
     fr, en = count(FRENCH), count(ENGLISH)
     return F.when(c.isNull() | (c == ""), "unknown").when(c.rlike(ARABIC), "ar").when(fr > en, "fr").when(en > fr, "en").otherwise("mixed")
 

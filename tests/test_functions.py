@@ -93,7 +93,7 @@ def test_a_large_dictionary_is_a_small_plan(spark):
 
 def test_evidence(spark):
     assert values(spark, ["bien mais nul", "rien"], flags.mixed_evidence) == ["bien ↔ nul", ""]
-    assert values(spark, ["machi bien"], flags.negation_evidence) == ["machi bien ⊗ bien"]
+    assert values(spark, ["machi bien"], flags.negation_evidence) == ["machi ⊗ bien"]
     assert values(spark, ["inbox svp, 3 jours"], flags.complaint_evidence) == ["inbox | 3 jours"]
 
 

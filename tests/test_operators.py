@@ -162,3 +162,62 @@ def test_typed_fields_and_rejects(spark):
     fields = spark.createDataFrame([(1, " 7.5 ", "Oui"), (2, "none", "peut-être"), (9, "1", "non")], "k long, x string, ok string")
     updated, rejected = joins.update_typed(target, fields, "k", {"x": "double", "ok": "bool"})
     assert sorted(map(tuple, updated.collect())) == [(1, 7.5, True), (2, 2.0, True), (3, 3.0, True)] and [r.k for r in rejected.collect()] == [9]
+
+
+def test_tables_are_copied_sorted_and_dropped(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 97 as k", "id")
+    writers.sorted_table(df, str(tmp_path / "sorted"), "k", 4)
+    files = [sorted(r.k for r in spark.read.parquet(str(f)).collect()) for f in (tmp_path / "sorted").glob("*.parquet")]
+    assert sum(map(len, files)) == 1000 and all(a[-1] < b[0] for a, b in itertools.pairwise(sorted(files)))
+    for name in ("t_old", "t_new", "t_buckets"):
+        writers.drop_table(spark, name)
+    writers.replace_table(df, "t_old")
+    writers.copy_table(spark, "t_old", "t_new")
+    writers.bucketed_table(df, "t_buckets", "k", 4)
+    assert spark.table("t_new").count() == spark.table("t_buckets").count() == 1000
+    plan = spark.table("t_buckets").alias("a").join(spark.table("t_buckets").alias("b"), "k")._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning" not in plan
+    for name in ("t_old", "t_new", "t_buckets"):
+        writers.drop_table(spark, name)
+        assert not spark.catalog.tableExists(name)
+
+
+def test_dictionaries_and_lines(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "d.json").write_text(json.dumps({"emojis": {"👍": "bravo"}}), encoding="utf-8")
+    assert readers.dictionaries(spark, str(tmp_path / "d.json")) == {"emojis": {"👍": "bravo"}}
+    with pytest.raises(ValueError, match="bytes"):
+        readers.dictionaries(spark, str(tmp_path / "d.json"), 3)
+    (tmp_path / "a.txt").write_text("one\n\n  \ntwo", encoding="utf-8")
+    assert [r.text for r in readers.text_lines(spark, str(tmp_path / "a.txt")).collect()] == ["one", "two"]
+
+
+def test_late_rows_are_dropped_from_streams(spark, tmp_path):
+    """Sessions and windows of a stream leave out what comes later than the watermark allows."""
+    import datetime
+
+    at = lambda m: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=m)
+    source = tmp_path / "in"
+    batches = [[("a", at(0)), ("a", at(5)), ("b", at(300))], [("a", at(10)), ("b", at(305))], [("b", at(900))]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k string, ts timestamp").coalesce(1).write.mode("append").parquet(str(source))
+        out = live.sessions(live.table_stream(spark, str(source), "k string, ts timestamp", 1), "ts", ["k"], "30 minutes", "1 minute")
+        q = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = {(r.k, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert ("a", 2) in got and ("a", 3) not in got and ("b", 2) in got
+
+
+def test_batch_totals_and_marks(spark):
+    batch = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    seen = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert tuple(live.batch_statistics(batch, seen, "k").first()) == (4, 2, 2)
+    assert tuple(live.batch_statistics(batch, None, "k").first()) == (4, 3, 1)
+    assert sorted((r.k or "", r.sent) for r in live.mark_sent(batch.distinct(), seen, "k").collect()) == [("", False), ("a", True), ("b", False)]
+
+
+def test_normalised_messages(spark):
+    df = spark.createDataFrame([("Très   bon !!",), ("  ",), (None,), ("#x @y",)], "commentaire string")
+    got = live.normalised(df).collect()
+    assert [r.texte_normalise for r in got] == ["très bon"] and len(got[0].hash_texte) == 32
