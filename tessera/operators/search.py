@@ -50,6 +50,9 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 
 def _best(block, k: int):
+    """The function of the tasks; it brings along all that it needs."""
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qid, q = block.value
         for b in batches:
@@ -58,7 +61,7 @@ def _best(block, k: int):
             ids = b["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
-            scores = q @ _unit(np.stack(b["v"])).T[:, order]
+            scores = q @ unit(np.stack(b["v"])).T[:, order]
             scores[qid[:, None] == ids[None, :]] = -np.inf
             top = np.argsort(-np.round(scores, 9), axis=1, kind="stable")[:, :k]
             out = pd.DataFrame({"query_id": np.repeat(qid, top.shape[1]), "id": ids[top].ravel(), "score": np.take_along_axis(scores, top, 1).ravel()})
