@@ -26,6 +26,18 @@ def may_be_similar(x: Column, y: Column) -> Column:
     return left * sum(SIMILARITY) >= (size(x) + size(y)) * SIMILARITY[0]
 
 
+def may_be_similar_sets(x: Column, y: Column) -> Column:
+    """``may_be_similar`` for the places of ``prefix_members``, and whether the sets' sketches allow it.
+
+    A sketch has a bit for each of 256 classes of shingles. Sets that differ in d
+    shingles differ in d bits at most, and similar ones in a ninth of the sum of
+    their sizes, so no similar pair is barred.
+    """
+    differing = sum((F.bit_count(x[f"k{i}"].bitwiseXOR(y[f"k{i}"])) for i in range(1, 4)), F.bit_count(x["k0"].bitwiseXOR(y["k0"])))
+    sizes = x["p"].bitwiseAND(F.lit(0x7FFFFFFF)) + y["p"].bitwiseAND(F.lit(0x7FFFFFFF))
+    return may_be_similar(x["p"], y["p"]) & (differing * sum(SIMILARITY) <= sizes * (SIMILARITY[1] - SIMILARITY[0]))
+
+
 def several(entries: DataFrame) -> DataFrame:
     """``entries`` (s, content, place) of buckets with more than one content, and how many these are, ``n``."""
     sizes = entries.groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
@@ -37,14 +49,19 @@ def prefix_members(sets: DataFrame) -> DataFrame:
 
     A set of n shingles has at least 0.8 n in common with any that is similar,
     so its first n - 0.8 n + 1 in one order of all shingles hold one of them; the
-    rarest come first. ``place`` has the position and n, for ``may_be_similar``.
+    rarest come first. ``place`` has the position and n, and a sketch of the set,
+    for ``may_be_similar_sets``.
     """
     tokens = saved(sets.select("content", F.size("s").alias("n"), F.explode("s").alias("t")), "tokens")
     often = tokens.groupBy("t").agg(F.count("*").alias("often"))
-    ordered = tokens.join(often, "t").groupBy("content", "n").agg(F.array_sort(F.collect_list(F.struct("often", "t"))).alias("ts"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t").bitwiseAND(F.lit(63)).cast("int"))
+    of = F.shiftrightunsigned("t", 6).bitwiseAND(F.lit(3))
+    sketch = [F.bit_or(F.when(of == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"k{i}") for i in range(4)]
+    ordered = tokens.join(often, "t").groupBy("content", "n").agg(F.array_sort(F.collect_list(F.struct("often", "t"))).alias("ts"), *sketch)
     keep = F.col("n") - F.ceil(F.col("n") * SIMILARITY[0] / SIMILARITY[1] - 1e-9) + 1
-    prefix = ordered.select("content", "n", F.posexplode(F.slice("ts", F.lit(1), keep.cast("int"))).alias("at", "x")).where("x.often > 1")
-    return several(prefix.select(F.col("x.t").alias("s"), "content", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")).alias("place")))
+    sketch = [f"k{i}" for i in range(4)]
+    prefix = ordered.select("content", "n", *sketch, F.posexplode(F.slice("ts", F.lit(1), keep.cast("int"))).alias("at", "x")).where("x.often > 1")
+    return several(prefix.select(F.col("x.t").alias("s"), "content", F.struct((F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")).alias("p"), *sketch).alias("place")))
 
 
 def stars(members: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.buckets import SIMILARITY, bucket_links, may_be_similar, open_members, prefix_members, several, stars
+from tessera.llm.buckets import SIMILARITY, bucket_links, may_be_similar_sets, open_members, prefix_members, several, stars
 from tessera.llm.common import broadcast_if_small, saved
 from tessera.llm.shingles import EMPTY, SHINGLE_WORDS, lists, mix, numbers, runs
 from tessera.operators.work import components
@@ -158,7 +158,7 @@ def _line_links(found: DataFrame, texts: DataFrame) -> DataFrame:
     links = saved(similar(first), "similar-lines")
     left = open_members(members, links).select("content").distinct()
     near = prefix_members(sets.join(left, "content", "left_semi"))
-    return bucket_links(near, may_be_similar, similar, stars(near), links)
+    return bucket_links(near, may_be_similar_sets, similar, stars(near), links)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
