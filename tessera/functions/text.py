@@ -121,11 +121,11 @@ def ngrams(words: Column, n: int) -> Column:
 def character_ngrams(c: Column, least: int, most: int) -> Column:
     """All runs of ``least`` to ``most`` characters, repeats included."""
 
-    def runs(t: Column) -> Column:
-        of = lambda n: F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))).otherwise(F.expr("cast(array() as array<string>)"))
+    def runs(ch: Column) -> Column:
+        of = lambda n: F.when(F.size(ch) >= n, F.transform(F.sequence(F.lit(0), F.size(ch) - n), lambda i: F.concat(*[F.get(ch, i + k) for k in range(n)]))).otherwise(F.expr("cast(array() as array<string>)"))
         return F.concat(*[of(n) for n in range(least, most + 1)])
 
-    return let(c, runs)
+    return let(F.filter(F.split(c, ""), lambda x: x != ""), runs)
 
 
 def language(c: Column) -> Column:
