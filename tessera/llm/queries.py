@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, kneser_ney, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
+from tessera.llm import decontaminate, html_text, kneser_ney, merkle, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
 from tessera.llm.common import read
 
 
@@ -57,6 +57,10 @@ def op10_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_repeated_passages": op2_repeated_passages,
@@ -68,9 +72,56 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_perplexity": op10_perplexity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+def _climb(name: str, key: str, levels: int) -> str:
+    """DuckDB SQL: ``name``0 (key, pos, d) climbed level by level; ``name``_up has each node's siblings in all of its ancestors' runs, ``name``_root the roots.
+
+    A tree that is one node stays as it is. ``levels`` levels are enough for 3 ** levels nodes.
+    """
+    out = []
+    for k in range(levels):
+        out.append(f"{name}{k + 1} AS (SELECT {key}, pos // 3 AS pos, CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {name}{k}) GROUP BY {key}, n, pos // 3)")
+        out.append(f"{name}_s{k} AS (SELECT x.{key}, x.pos, coalesce(string_agg(y.d, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS b, coalesce(string_agg(y.d, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS a, max(x.n) > 1 AS run FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {name}{k}) x JOIN {name}{k} y ON x.{key} = y.{key} AND x.pos // 3 = y.pos // 3 GROUP BY x.{key}, x.pos)")
+    ups = ", ".join(f"s{k}.run AS r{k}, s{k}.b AS b{k}, s{k}.a AS a{k}" for k in range(levels))
+    joins = " ".join(f"JOIN {name}_s{k} s{k} ON s{k}.{key} = x.{key} AND s{k}.pos = x.pos // {3**k}" for k in range(levels))
+    out.append(f"{name}_up AS (SELECT x.{key}, x.pos, {ups} FROM {name}0 x {joins})")
+    return ", ".join(out)
+
+
+def _fold_steps(start: str, name: str, levels: int) -> str:
+    """DuckDB SQL: one subquery a level, as a digest that stood twice in one expression would double it at each level."""
+    sql = start
+    for k in range(levels):
+        sql = f"SELECT * REPLACE (CASE WHEN {name}_r{k} THEN sha256({name}_b{k} || f || {name}_a{k}) ELSE f END AS f) FROM ({sql})"
+    return sql
+
+
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+        lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)), lambda p, q: CASE WHEN p % 2 = 1 THEN xor(p // 2, 3988292384::BIGINT) ELSE p // 2 END)))"""
+_FIELDS = " || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+_LEAF = "sha256({0} || coalesce(octet_length(encode({1})) || ':' || {1}, '-'))"
+_LEVELS, _SOURCE_LEVELS = 8, 4
+
+
+def _merkle_sql() -> str:
+    steps = [("l", k) for k in range(_LEVELS)] + [("s", k) for k in range(_SOURCE_LEVELS)]
+    columns = ", ".join(f"{n}.r{k} AS {n}_r{k}, {n}.b{k} AS {n}_b{k}, {n}.a{k} AS {n}_a{k}" for n, k in steps)
+    proof = " || ".join(f"{n}_b{k} || {n}_a{k}" for n, k in steps)
+    start = f"SELECT d.doc_id, d.leaf, t.d AS subroot, r.d AS root, d.tampered AS f, {columns} FROM d JOIN l_up l ON l.src = d.src AND l.pos = d.pos JOIN l{_LEVELS} t ON t.src = d.src JOIN s0 ON s0.src = d.src JOIN s_up s ON s.pos = s0.pos CROSS JOIN s{_SOURCE_LEVELS} r"
+    folded = _fold_steps(_fold_steps(start, "l", _LEVELS), "s", _SOURCE_LEVELS)
+    return f"""
+        WITH h AS (SELECT doc_id, coalesce('1' || source, '0') AS src, {_LEAF.format(_FIELDS, "text")} AS leaf,
+                          CASE WHEN doc_id IS NOT NULL AND {_CRC} % 2 = 0 THEN {_LEAF.format(_FIELDS, "replace(text, chr(10), '')")} ELSE {_LEAF.format(_FIELDS, "text")} END AS tampered FROM documents),
+        d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM h),
+        l0 AS (SELECT src, pos, leaf AS d FROM d), {_climb("l", "src", _LEVELS)},
+        s0 AS (SELECT 0 AS one, src, row_number() OVER (ORDER BY src) - 1 AS pos, d FROM l{_LEVELS}), {_climb("s", "one", _SOURCE_LEVELS)}
+        SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, f AS folded_root, f = root AS verified FROM ({folded})"""
+
+
 ORACLE_SQL = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op7_site_lines": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1), '')) AS host,
                           string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10)) AS lines FROM pages),
