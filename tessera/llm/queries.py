@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, kneser_ney, merkle, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
+from tessera.llm import collocations, decontaminate, html_text, kneser_ney, merkle, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
 from tessera.llm.common import read
 
 
@@ -61,6 +61,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_repeated_passages": op2_repeated_passages,
@@ -73,6 +77,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_perplexity": op10_perplexity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
 
 def _climb(name: str, key: str, levels: int) -> str:
@@ -121,6 +126,21 @@ def _merkle_sql() -> str:
 
 
 ORACLE_SQL = {
+    "op13_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM d),
+        total AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+        s AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k),
+        f AS (SELECT lang, words[i : i + k - 1] AS p, count(*) AS f FROM s GROUP BY ALL HAVING count(*) >= 100),
+        c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1),
+        part AS (SELECT lang, p, a, k, unnest(range(1, len(p) - k + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS k) WHERE len(p) > k),
+        held AS (SELECT lang, p[i : i + k - 1] AS p, max(a) AS longer FROM part GROUP BY ALL),
+        kept AS (SELECT c.* FROM c LEFT JOIN held h ON h.lang = c.lang AND h.p = c.p WHERE longer IS NULL OR 100 * longer < 100 * a),
+        cut AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM kept),
+        score AS (SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cut c JOIN total t ON t.lang = c.lang
+                  JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1 :]),
+        low AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM score QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM low QUALIFY rank <= 2000""",
     "op11_merkle_manifest": _merkle_sql(),
     "op7_site_lines": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1), '')) AS host,
