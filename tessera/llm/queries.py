@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import collocations, decontaminate, html_text, kneser_ney, merkle, mixing, passages, quality_rules, simhash, site_lines, token_counts, token_files
+from tessera.llm import collocations, decontaminate, html_text, kneser_ney, merkle, mixing, passages, quality_rules, repeated_bytes, simhash, site_lines, token_counts, token_files
 from tessera.llm.common import read
 
 
@@ -61,6 +61,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(read(spark, sf_dir, "documents"))
 
 
+def op12_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.digests(read(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_perplexity": op10_perplexity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_repeated_bytes": op12_repeated_bytes,
     "op13_collocations": op13_collocations,
 }
 
