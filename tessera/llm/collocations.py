@@ -38,18 +38,16 @@ MAX_WORDS, MAX_PAIRS = 1_000_000, 4_000_000
 #: What follows the last word of a piece.
 PAD = -1
 NO_LANG = "und"
-BREAK = r"[.,;:!?\x0A-\x0D]"
+BREAK = b".,;:!?\n\v\f\r"
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + BREAK, b"abcdefghijklmnopqrstuvwxyz " + b"." * len(BREAK))
 
 Batches = Iterator[pa.RecordBatch]
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
     """The words of all texts in a row, as codes of the distinct ones; ``PAD`` stands between pieces and between texts."""
-    t = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
-    t = pc.replace_substring_regex(t, BREAK, " . ")
-    t = pc.replace_substring(t, "\t", " ")
-    whole = " . ".join(t.to_pylist())
-    found = pc.dictionary_encode(pc.split_pattern(pa.array([whole], pa.large_string()), " ").flatten())
+    whole = " . ".join(pc.fill_null(texts, "").to_pylist()).encode().translate(_PLAIN).replace(b".", b" . ")
+    found = pc.dictionary_encode(pc.split_pattern(pa.array([whole], pa.large_binary()).cast(pa.large_string()), " ").flatten())
     words = found.dictionary.to_pylist()
     codes = found.indices.to_numpy().astype(np.int64)
     kind = np.arange(len(words), dtype=np.int64)

@@ -147,6 +147,18 @@ ORACLE_SQL = {
         low AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM score QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM low QUALIFY rank <= 2000""",
     "op11_merkle_manifest": _merkle_sql(),
+    "op12_repeated_bytes": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+        w AS (SELECT rid, doc_id, k, t[k + 1 : k + 50] AS w FROM (SELECT *, unnest(range(octet_length(t) - 49)) AS k FROM d)),
+        least AS (SELECT w, min(doc_id) AS least FROM w GROUP BY w),
+        hit AS (SELECT rid, k FROM w JOIN least USING (w) WHERE least < doc_id),
+        run AS (SELECT rid, k, sum(fresh) OVER (PARTITION BY rid ORDER BY k) AS span FROM (SELECT rid, k, CASE WHEN k - lag(k) OVER (PARTITION BY rid ORDER BY k) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit)),
+        span AS (SELECT rid, min(k) AS start, max(k) + 50 AS stop FROM run GROUP BY rid, span),
+        per AS (SELECT rid, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY rid),
+        edge AS (SELECT rid, stop AS lo, lead(start) OVER (PARTITION BY rid ORDER BY start) AS hi FROM (SELECT * FROM span UNION ALL SELECT rid, -1, 0 FROM d)),
+        kept AS (SELECT e.rid, string_agg(hex(t[lo + 1 : coalesce(hi, octet_length(t))]), '' ORDER BY lo) AS kept FROM edge e JOIN d USING (rid) GROUP BY e.rid)
+        SELECT doc_id, octet_length(t) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+        FROM d LEFT JOIN per USING (rid) JOIN kept USING (rid)""",
     "op7_site_lines": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1), '')) AS host,
                           string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10)) AS lines FROM pages),
