@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import similarity as sim
+from tessera.operators.edits import edit_classes
 from tessera.operators.search import nearest
 from tessera.operators.work import saved
 from tessera.plans.base import query, table
@@ -241,3 +242,19 @@ def method_overlap(spark, sf_dir):
     a = sim.greedy_kept(wm, sim.jaccard_links(wd, WORD_THRESHOLD)).where("not kept").select("id", F.lit(True).alias("a"))
     b = sim.greedy_kept(nm, sim.cosine_links(saved(sim.tfidf(nd), "weights"), 0.85)).where("not kept").select("id", F.lit(True).alias("b"))
     return a.join(b, "id", "full").agg(F.count_if(F.col("b").isNull()).alias("only_words"), F.count_if(F.col("a").isNull()).alias("only_tfidf"), F.count_if(F.col("a") & F.col("b")).alias("both"))
+
+
+#: Texts as strings of one byte a letter (s), as DuckDB compares bytes: each letter of the table is a number below 128, or two texts could not be told apart.
+_LETTERS = """letter AS (SELECT ch, chr(row_number() OVER (ORDER BY ch)::INT) AS k FROM (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents)),
+spelled AS (SELECT doc_id, i, k FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS i FROM documents WHERE text <> '') JOIN letter USING (ch)),
+st AS (SELECT doc_id, string_agg(k, '' ORDER BY i) AS s, count(*) AS n FROM spelled GROUP BY doc_id UNION ALL SELECT doc_id, '', 0 FROM documents WHERE text = '')"""
+
+
+@query(f"""WITH RECURSIVE {_LETTERS}, u AS (SELECT s, n, min(doc_id) AS u FROM st GROUP BY s, n), gram AS (SELECT u, n, g, count(*) AS c FROM (SELECT u, n, substr(s, unnest(range(1, n - 6)), 8) AS g FROM u WHERE n >= 8) GROUP BY ALL),
+shared AS (SELECT x.u AS a, y.u AS b, x.n AS n, sum(least(x.c, y.c)) AS shared FROM gram x JOIN gram y ON x.g = y.g AND x.u <> y.u AND (x.n > y.n OR x.n = y.n AND x.u < y.u) AND y.n >= x.n - x.n * 5 // 100 GROUP BY ALL),
+near AS (SELECT a, b FROM shared JOIN u p ON p.u = a JOIN u q ON q.u = b WHERE shared >= p.n - 7 - 8 * (p.n * 5 // 100) AND 100 * levenshtein(p.s, q.s) <= 5 * p.n),
+edge AS (SELECT a, b FROM near UNION SELECT b, a FROM near UNION SELECT u, u FROM u), own AS (SELECT doc_id, u.u FROM st JOIN u USING (s)),
+linkse AS (SELECT x.doc_id AS a, y.doc_id AS b FROM own x JOIN edge e ON e.a = x.u JOIN own y ON y.u = e.b AND x.doc_id <> y.doc_id), idse AS (SELECT doc_id AS a FROM st), {_reached('idse', 'linkse')}""")
+def edit_distance_classes(spark, sf_dir):
+    """Documents whose texts differ in at most 5 % of the longer one's letters; in the SQL, two such texts of 12 letters and more share grams of eight."""
+    return edit_classes(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
