@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import similarity as sim
+from tessera.operators.charsets import character_classes
 from tessera.operators.edits import edit_classes
 from tessera.operators.search import nearest
 from tessera.operators.work import saved
@@ -258,3 +259,14 @@ linkse AS (SELECT x.doc_id AS a, y.doc_id AS b FROM own x JOIN edge e ON e.a = x
 def edit_distance_classes(spark, sf_dir):
     """Documents whose texts differ in at most 5 % of the longer one's letters; in the SQL, two such texts of 12 letters and more share grams of eight."""
     return edit_classes(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+
+
+@query(rf"""WITH RECURSIVE st AS (SELECT doc_id, list_sort(list_distinct(list_filter(string_split(lower(regexp_replace(text, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')), ''), lambda x: x <> ''))) AS f FROM documents WHERE text IS NOT NULL),
+u AS (SELECT min(doc_id) AS u, f, len(f) AS n FROM st GROUP BY f), near AS (SELECT x.u AS a, y.u AS b FROM u x JOIN u y ON x.u < y.u AND 100 * x.n >= 85 * y.n AND 100 * y.n >= 85 * x.n WHERE 100 * len(list_intersect(x.f, y.f)) >= 85 * (x.n + y.n - len(list_intersect(x.f, y.f)))),
+edge AS (SELECT a, b FROM near UNION SELECT b, a FROM near UNION SELECT u, u FROM u), own AS (SELECT doc_id, u.u FROM st JOIN u USING (f)), n AS (SELECT u, count(*) AS n FROM own GROUP BY u),
+count AS (SELECT e.a AS u, sum(n.n) - 1 AS n_links FROM edge e JOIN n ON n.u = e.b GROUP BY e.a),
+walk AS (SELECT 0 AS step, u, u AS least FROM u UNION ALL SELECT step + 1, u, least FROM (SELECT w.step, e.a AS u, min(w.least) AS least FROM walk w JOIN edge e ON e.b = w.u WHERE w.step < 12 GROUP BY w.step, e.a))
+SELECT own.doc_id AS id, w.least AS class_id, c.n_links::BIGINT AS n_links FROM own JOIN count c USING (u) JOIN walk w ON w.u = own.u AND w.step = 12""")
+def character_set_classes(spark, sf_dir):
+    """Documents linked by the Jaccard similarity of their sets of characters; the SQL follows links for 12 steps."""
+    return character_classes(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
