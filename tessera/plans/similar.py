@@ -8,6 +8,7 @@ from tessera.operators import similarity as sim
 from tessera.operators.charsets import character_classes
 from tessera.operators.edits import edit_classes
 from tessera.operators.search import nearest
+from tessera.operators.vectors import cosine_classes
 from tessera.operators.work import saved
 from tessera.plans.base import query, table
 from tessera.plans.re2 import SPACE, WORD
@@ -270,3 +271,12 @@ SELECT own.doc_id AS id, w.least AS class_id, c.n_links::BIGINT AS n_links FROM
 def character_set_classes(spark, sf_dir):
     """Documents linked by the Jaccard similarity of their sets of characters; the SQL follows links for 12 steps."""
     return character_classes(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+
+
+@query("""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), near AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE round(list_cosine_similarity(x.v, y.v), 9) >= 0.4),
+edge AS (SELECT a, b FROM near UNION SELECT b, a FROM near UNION SELECT vec_id, vec_id FROM e), count AS (SELECT a, count(*) - 1 AS n_links FROM edge GROUP BY a),
+walk AS (SELECT 0 AS step, vec_id AS u, vec_id AS least FROM e UNION ALL SELECT step + 1, u, least FROM (SELECT w.step, e.a AS u, min(w.least) AS least FROM walk w JOIN edge e ON e.b = w.u WHERE w.step < 40 GROUP BY w.step, e.a))
+SELECT w.u AS id, w.least AS class_id, n_links FROM walk w JOIN count c ON c.a = w.u WHERE w.step = 40""".replace("WITH e", "WITH RECURSIVE e", 1))
+def embedding_classes(spark, sf_dir):
+    """Vectors with a cosine of 0.4 or more, which few of the given ones have; the SQL follows links for 40 steps."""
+    return cosine_classes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.4)[0]
