@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +37,16 @@ from tessera.llm.suffix_array import least_holders
 WIDTH = 50
 ANCHOR = 16
 BLOCK_BYTES = 2_000_000
-SHARD_BYTES = 2_000_000
+SHARD_BYTES = 4_000_000
 #: Text in one bucket of anchors.
 BUCKET_BYTES = 32_000_000
 HOT = 4096
 #: Windows that are looked at together, and of one string at most.
-CHUNK, RUN = 1 << 17, 1 << 10
+CHUNK, RUN = 1 << 17, 1 << 10  # a string has less than 2 ** 16 bytes
 LAST = np.iinfo(np.int64).max
 
-_SHARED = "block long, bucket int, mask binary, n long"
-_STRINGS = "shard int, block long, sid array<int>, size array<int>, holder array<long>, z binary"
+_SHARED = "block long, bucket int, mask binary, n long, n_hot long"
+_STRINGS = "shard int, block long, sid binary, size binary, holder binary, z binary"
 _FOUND = "block long, sid array<int>, at array<int>, holder array<long>"
 _Z = pa.Codec("zstd")
 
@@ -148,30 +149,45 @@ class _Block:
         self.rank = np.array([LAST if i is None else i for i in ids], np.int64)
         self.doc = np.searchsorted(self.ends, self.place, side="right")
 
-    def cut(self, mask: np.ndarray) -> None:
-        """Numbers the distinct strings of shared anchors, each window of a hot one being a string of its own; ``mask`` goes with the distinct anchors in order."""
-        kind = mask[np.unique(self.anchor, return_inverse=True)[1]] if len(self.anchor) else np.zeros(0, np.uint8)
-        normal, hot = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
-        place = np.repeat(self.place[hot], self.count[hot])
-        within = np.arange(len(place)) - np.repeat(np.cumsum(self.count[hot]) - self.count[hot], self.count[hot])
-        self.at = np.concatenate([self.place[normal], place + within])
-        self.windows = np.concatenate([self.count[normal], np.ones(len(place), np.int64)])
-        self.owner = self.rank[np.concatenate([self.doc[normal], np.repeat(self.doc[hot], self.count[hot])])]
-        known: dict[tuple[bool, bytes], int] = {}
-        raw, sid = self.data.tobytes(), []
-        self.strings: list[bytes] = []
-        for k, (a, n) in enumerate(zip(self.at.tolist(), (self.windows + self.width - 1).tolist(), strict=True)):
-            s = raw[a : a + n]
-            sid.append(known.setdefault((k < len(normal), s), len(known)))
-            if sid[-1] == len(self.strings):
-                self.strings.append(s)
+    def cut(self, mask: np.ndarray, kind: int) -> _Part:
+        """The strings of anchors that ``mask``, which goes with the distinct anchors in order, calls normal (1) or hot (2); of hot ones each window is a string."""
+        kinds = mask[np.unique(self.anchor, return_inverse=True)[1]] if len(self.anchor) else np.zeros(0, np.uint8)
+        runs = np.flatnonzero(kinds == kind)
+        place, count = self.place[runs], self.count[runs]
+        if kind == 2:
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            runs, place = np.repeat(runs, count), np.repeat(place, count) + within
+            count = np.ones(len(place), np.int64)
+        return _Part(self.data, place, count, self.rank[self.doc[runs]], self.anchor[runs], self.width)
+
+
+class _Part:
+    """Strings of a block by their places, and the distinct ones by number, with the least id that has each."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, windows: np.ndarray, owner: np.ndarray, anchor: np.ndarray, width: int):
+        self.at, self.windows, self.owner = at, windows, owner
+        raw, known = data.tobytes(), {}
+        sid = [known.setdefault(raw[a : a + n], len(known)) for a, n in zip(at.tolist(), (windows + width - 1).tolist(), strict=True)]
+        self.strings: list[bytes] = list(known)
         self.sid = np.array(sid, np.int64)
-        first = np.unique(self.sid, return_index=True)[1] if sid else np.zeros(0, np.int64)
-        self.is_hot = first >= len(normal)
-        self.shard = np.append(self.anchor[normal], np.zeros(len(place), np.uint64))[first]
-        self.holder = np.full(len(self.strings), LAST, np.int64)
-        np.minimum.at(self.holder, self.sid, self.owner)
-        self.n_windows = self.windows[first]
+        first = np.unique(self.sid, return_index=True)[1]
+        self.anchor, self.n_windows = anchor[first], windows[first]
+        self.holder = np.full(len(known), LAST, np.int64)
+        np.minimum.at(self.holder, self.sid, owner)
+
+    def hits(self, sid: np.ndarray, at: np.ndarray, holder: np.ndarray) -> np.ndarray:
+        """The places of windows that a smaller id than their owner's has, by news of where the least holder of a string changes."""
+        if not len(self.at):
+            return self.at
+        base = np.cumsum(self.n_windows) - self.n_windows
+        value = np.repeat(self.holder, self.n_windows)
+        known = np.zeros(len(value), bool)
+        known[base] = True
+        value[base[sid] + at], known[base[sid] + at] = holder, True
+        value = value[np.maximum.accumulate(np.where(known, np.arange(len(value)), 0))]
+        step = np.arange(self.windows.sum()) - np.repeat(np.cumsum(self.windows) - self.windows, self.windows)
+        smaller = value[np.repeat(base[self.sid], self.windows) + step] < np.repeat(self.owner, self.windows)
+        return (np.repeat(self.at, self.windows) + step)[smaller]
 
 
 def _anchors(width: int, bits: int):
@@ -210,38 +226,51 @@ def _sharing(hot: int):
         mask[order] = np.repeat(kind, size)
         ends = np.cumsum([len(x) for x in lows]).tolist()
         parts = [(mask[e - len(x) : e], times[e - len(x) : e]) for e, x in zip(ends, lows, strict=True)]
-        return pa.table({"block": table["block"], "bucket": table["bucket"], "mask": pa.array([_squeezed(m) for m, _ in parts], pa.binary()), "n": pa.array([int(t[m == 1].sum()) for m, t in parts], pa.int64())})
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "mask": pa.array([_squeezed(m) for m, _ in parts], pa.binary()), "n": pa.array([int(t[m == 1].sum()) for m, t in parts], pa.int64()), "n_hot": pa.array([int((m == 2).sum()) for m, _ in parts], pa.int64())})
 
     return work
 
 
-def _block_of(left: pa.Table, right: pa.Table, width: int) -> _Block:
+def _block_of(left: pa.Table, right: pa.Table, width: int) -> tuple[_Block, np.ndarray]:
     r = left.to_pylist()[0]
-    x = _Block(r["ids"], r["sizes"], r["z"], width)
-    masks = right.filter(pa.compute.is_valid(right["bucket"])).sort_by("bucket")["mask"].to_pylist()
-    x.cut(np.concatenate([np.zeros(0, np.uint8), *map(_restored, masks)]))
-    return x
+    masks = right.filter(pc.is_valid(right["bucket"])).sort_by("bucket")["mask"].to_pylist()
+    return _Block(r["ids"], r["sizes"], r["z"], width), np.concatenate([np.zeros(0, np.uint8), *map(_restored, masks)])
 
 
 def _strings(width: int, shards: int):
+    """The distinct strings of a block's shared anchors, by shard."""
+
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"shard": [], "block": [], "sid": [], "size": [], "holder": [], "z": []}
         if left.num_rows:
-            x = _block_of(left, right, width)
-            shard = np.where(x.is_hot, -1, (x.shard % np.uint64(shards)).astype(np.int64))
+            block, mask = _block_of(left, right, width)
+            x = block.cut(mask, 1)
+            shard = (x.anchor % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             names, first = np.unique(shard[order], return_index=True)
             for k, at in zip(names.tolist(), np.split(order, first[1:]), strict=False):
                 own = [x.strings[i] for i in at.tolist()]
-                row = (None if k < 0 else k, left["block"][0].as_py(), at.tolist(), [len(s) for s in own], x.holder[at].tolist(), _squeezed(b"".join(own)))
+                row = (k, left["block"][0].as_py(), _squeezed(np.diff(at.astype(np.int32), prepend=np.int32(0))), _squeezed((x.n_windows[at] + width - 1).astype(np.uint16)), _squeezed(x.holder[at]), _squeezed(b"".join(own)))
                 for c, v in zip(out, row, strict=True):
                     out[c].append(v)
-        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
     return work
 
 
+def _hot_windows(width: int):
+    """The distinct windows of a block's hot anchors, one a row."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        block, mask = _block_of(left, right, width)
+        x = block.cut(mask, 2)
+        n = len(x.strings)
+        return pa.table({"w": pa.array(x.strings, pa.binary()), "block": pa.array(np.full(n, left["block"][0].as_py(), np.int64)), "sid": pa.array(np.arange(n, dtype=np.int32)), "holder": pa.array(x.holder)})
+
+    return work
+
+
 def _news(block: list[int], sid: list, at: list, holder: list) -> pa.Table:
     return pa.table({"block": pa.array(block, pa.int64()), "sid": pa.array(sid, pa.list_(pa.int32())), "at": pa.array(at, pa.list_(pa.int32())), "holder": pa.array(holder, pa.list_(pa.int64()))})
 
@@ -250,33 +279,29 @@ def _shard(width: int):
     """The suffix array of a shard; for each block, where the least holder of a string's windows changes, if it isn't the block's own."""
 
     def work(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        sizes = np.array([n for r in rows for n in r["size"]], np.int64)
-        holders = np.array([h for r in rows for h in r["holder"]], np.int64)
-        data = np.concatenate([_restored(r["z"]) for r in rows])
-        least, starts = least_holders(data, sizes, holders, width)
-        n = sizes - width + 1
+        column = lambda c, kind: [_restored(z, kind) for z in table[c].to_pylist()]
+        blocks, rows = table["block"].to_pylist(), [np.cumsum(x) for x in column("sid", np.int32)]
+        n_rows, sids, raw = [len(x) for x in rows], np.concatenate(rows), np.concatenate(column("z", np.uint8)).tobytes()
+        size, holder = np.concatenate(column("size", np.uint16)).astype(np.int64), np.concatenate(column("holder", np.int64))
+        known: dict[bytes, int] = {}
+        ends = np.cumsum(size).tolist()
+        content = np.array([known.setdefault(raw[b - n : b], len(known)) for b, n in zip(ends, size.tolist(), strict=True)], np.int64)  # equal strings of several blocks once
+        sizes = np.array([len(s) for s in known], np.int64)
+        holders = np.full(len(known), LAST, np.int64)
+        np.minimum.at(holders, content, holder)
+        least, starts = least_holders(np.frombuffer(b"".join(known), np.uint8), sizes, holders, width)
+        n = size - width + 1
         string = np.repeat(np.arange(len(n)), n)
         at = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
-        value = least[starts[string] + at]
+        value = least[starts[content[string]] + at]
         before = np.append(LAST, value[:-1])
-        before[at == 0] = holders
+        before[at == 0] = holder
         change = np.flatnonzero(value != before)
-        ends = np.searchsorted(string[change], np.cumsum([len(r["sid"]) for r in rows]))
-        sids = np.concatenate([np.array(r["sid"], np.int64) for r in rows])[string[change]]
+        ends = np.searchsorted(string[change], np.cumsum(n_rows))
         cut = [slice(a, b) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         some = [k for k, c in enumerate(cut) if c.stop > c.start]
-        return _news([rows[k]["block"] for k in some], [sids[cut[k]] for k in some], [at[change[cut[k]]] for k in some], [value[change[cut[k]]] for k in some])
-
-    return work
-
-
-def _exploded(width: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                raw = _restored(r["z"]).tobytes()
-                yield pa.RecordBatch.from_pydict({"w": pa.array([raw[k : k + width] for k in range(0, len(raw), width)], pa.binary()), "block": pa.array([r["block"]] * len(r["sid"]), pa.int64()), "sid": pa.array(r["sid"], pa.int32()), "holder": pa.array(r["holder"], pa.int64())})
+        sids = sids[string[change]]
+        return _news([blocks[k] for k in some], [sids[cut[k]] for k in some], [at[change[cut[k]]] for k in some], [value[change[cut[k]]] for k in some])
 
     return work
 
@@ -285,18 +310,13 @@ def _removal(width: int):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}
         if left.num_rows:
-            x = _block_of(left, right, width)
-            base = np.cumsum(x.n_windows) - x.n_windows
-            value = np.repeat(x.holder, x.n_windows)
-            known = np.zeros(len(value), bool)
-            known[base] = True
-            for r in right.filter(pa.compute.is_valid(right["sid"])).select(["sid", "at", "holder"]).to_pylist():
-                at = base[np.array(r["sid"], np.int64)] + np.array(r["at"], np.int64)
-                value[at], known[at] = r["holder"], True
-            value = value[np.maximum.accumulate(np.where(known, np.arange(len(value)), 0))] if len(value) else value
-            step = np.arange(x.windows.sum()) - np.repeat(np.cumsum(x.windows) - x.windows, x.windows)
-            hit = value[np.repeat(base[x.sid], x.windows) + step] < np.repeat(x.owner, x.windows)
-            at = (np.repeat(x.at, x.windows) + step)[hit]
+            x, mask = _block_of(left, right, width)
+            found = []
+            for kind in (1, 2):
+                own = right.filter(pc.equal(right["kind"], kind))
+                sid, at, holder = (own[c].combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("sid", "at", "holder"))
+                found.append(x.cut(mask, kind).hits(sid, at, holder))
+            at = np.concatenate(found)
             delta = np.zeros(len(x.data) + 1, np.int32)
             delta[at] += 1
             delta[at + width] -= 1
@@ -337,13 +357,16 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> Data
     bits = max(0, int(total // BUCKET_BYTES).bit_length())
     told = packed.mapInArrow(_anchors(width, bits), "bucket int, block long, low binary, times binary, twice binary")
     shared = saved(told.groupBy("bucket").applyInArrow(_sharing(hot), _SHARED), "shared-anchors")
-    shards = 1 + (shared.agg(F.sum("n")).first()[0] or 0) * 3 * width // 2 // SHARD_BYTES
-    strings = saved(packed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_strings(width, shards), _STRINGS), "strings")
-    news = strings.where("shard is not null").groupBy("shard").applyInArrow(_shard(width), _FOUND)
-    windows = strings.where("shard is null").mapInArrow(_exploded(width), "w binary, block long, sid int, holder long")
-    least = windows.groupBy("w").agg(F.min("holder").alias("least"))
-    hot_news = windows.join(least, "w").where(F.col("least") < F.col("holder")).select("block", F.array("sid").alias("sid"), F.array(F.lit(0)).alias("at"), F.array("least").alias("holder"))
-    found = saved(news.unionByName(hot_news), "holders")
+    sums = shared.agg(F.sum("n").alias("n"), F.sum("n_hot").alias("n_hot")).first()
+    shards = 1 + (sums["n"] or 0) * 3 * width // 2 // SHARD_BYTES
+    met = lambda work, schema: packed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(work, schema)
+    news = met(_strings(width, shards), _STRINGS).groupBy("shard").applyInArrow(_shard(width), _FOUND).withColumn("kind", F.lit(1))
+    if sums["n_hot"]:
+        windows = saved(met(_hot_windows(width), "w binary, block long, sid int, holder long"), "hot-windows")
+        least = windows.groupBy("w").agg(F.min("holder").alias("least"))
+        told = windows.join(least, "w").where(F.col("least") < F.col("holder"))
+        news = news.unionByName(told.select("block", F.array("sid").alias("sid"), F.array(F.lit(0)).alias("at"), F.array("least").alias("holder"), F.lit(2).alias("kind")))
+    found = saved(news, "holders")
     known = shared.select("block", "bucket", "mask").unionByName(found, allowMissingColumns=True)
     return packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_removal(width), "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
 

@@ -28,7 +28,7 @@ def joined(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _smaller_than_next(text: np.ndarray) -> np.ndarray:
     """True for a suffix that is smaller than the one after it; equal letters follow their right neighbour."""
     n = len(text)
-    differs = np.where(text[:-1] != text[1:], np.arange(n - 1), n)
+    differs = np.where(text[:-1] != text[1:], np.arange(n - 1, dtype=np.int32), np.int32(n))
     at = np.minimum.accumulate(differs[::-1])[::-1]
     out = np.ones(n, bool)
     out[:-1] = (text[:-1] < text[1:])[at]
@@ -49,32 +49,31 @@ def _words(text: np.ndarray) -> np.ndarray:
 class _Buckets:
     def __init__(self, text: np.ndarray, smaller: np.ndarray):
         self.text, self.smaller = text, smaller
-        count = np.bincount(text, minlength=256)
+        count = np.bincount(text, minlength=256).astype(np.int32)
         self.letters = np.flatnonzero(count).tolist()
-        self.end = np.cumsum(count)
+        self.end = np.cumsum(count, dtype=np.int32)
         self.start = self.end - count
 
-    def _dealt(self, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        letters = self.text[before]
-        order = np.argsort(letters, kind="stable")
-        letters = letters[order]
-        count = np.bincount(letters, minlength=256)
-        return before[order], letters, np.arange(len(letters)) - (np.cumsum(count) - count)[letters], count
+    def _dealt(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``places`` by their letters, each letter's in the given order; how many each letter has, and 0, 1, 2, ..."""
+        letters = self.text[places]
+        return places[np.argsort(letters, kind="stable")], np.bincount(letters, minlength=256).astype(np.int32), np.arange(len(places), dtype=np.int32)
 
     def induced(self, seeds: np.ndarray) -> np.ndarray:
         """The suffix array that follows from ``seeds``, the leftmost-smaller places in order (by their first letters at least)."""
-        text, smaller, start, end = self.text, self.smaller, self.start, self.end
-        out = np.zeros(len(text), np.int64)
-        seeds, letters, rank, n_seeds = self._dealt(seeds)
-        out[(end - n_seeds)[letters] + rank] = seeds
+        smaller, start, end = self.smaller, self.start, self.end
+        out = np.zeros(len(self.text), np.int32)
+        seeds, n_seeds, rank = self._dealt(seeds.astype(np.int32))
+        before_seeds = end - n_seeds
+        out[rank + np.repeat(before_seeds - (np.cumsum(n_seeds) - n_seeds), n_seeds)] = seeds
         fill = start.copy()
 
         def larger(at: np.ndarray) -> None:
             before = at[at > 0] - 1
             before = before[~smaller[before]]
             if len(before):
-                before, letters, rank, count = self._dealt(before)
-                out[fill[letters] + rank] = before
+                before, count, rank = self._dealt(before)
+                out[rank + np.repeat(fill - (np.cumsum(count, dtype=np.int32) - count), count)] = before
                 np.add(fill, count, out=fill)
 
         for c in self.letters:
@@ -83,7 +82,7 @@ class _Buckets:
                 hi = fill[c]
                 larger(out[lo:hi])
                 lo = hi
-            larger(out[end[c] - n_seeds[c] : end[c]])
+            larger(out[before_seeds[c] : end[c]])
         tail = end.copy()
         tail[END] -= 1  # the end of the text, which nothing induces
 
@@ -91,8 +90,8 @@ class _Buckets:
             before = at[at > 0] - 1
             before = before[smaller[before]]
             if len(before):
-                before, letters, rank, count = self._dealt(before)
-                out[tail[letters] - 1 - rank] = before
+                before, count, rank = self._dealt(before)
+                out[np.repeat(tail - 1 + (np.cumsum(count, dtype=np.int32) - count), count) - rank] = before
                 np.subtract(tail, count, out=tail)
 
         for c in reversed(self.letters):
@@ -136,24 +135,38 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.arange(len(text))[::-1].copy()
     buckets = _Buckets(text, smaller)
     first = buckets.induced(seeds)
-    number = np.full(len(text), -1, np.int64)
-    number[seeds] = np.arange(len(seeds))
+    number = np.full(len(text), -1, np.int32)
+    number[seeds] = np.arange(len(seeds), dtype=np.int32)
     order = number[first]
     order = order[order >= 0]
     sizes = np.append(np.diff(seeds), 0) + 1
-    rank = np.empty(len(seeds), np.int64)
-    rank[order] = _names(text, seeds[order], sizes[order], _words(text))
-    step, n = 1, len(seeds)
-    while rank.max() < n - 1:
-        key = rank * (n + 1)
-        key[:-step] += rank[step:] + 1
+    names = np.empty(len(seeds), np.int64)
+    names[order] = _names(text, seeds[order], sizes[order], _words(text))
+    return buckets.induced(seeds[_sorted_suffixes(names)])
+
+
+def _sorted_suffixes(names: np.ndarray) -> np.ndarray:
+    """The places of ``names`` in the order of their suffixes. A suffix's rank is the place of its group's first in that order; each round sorts what still shares a rank."""
+    n = len(names)
+    first = np.cumsum(np.bincount(names)) - np.bincount(names)
+    rank = first[names]
+    live = np.flatnonzero(np.bincount(names)[names] > 1)
+    step = 1
+    while len(live):  # all that are equal so far go on: stops have names of their own
+        key = rank[live] * n + rank[live + step]
         order = np.argsort(key)
-        new = np.append(False, key[order][1:] != key[order][:-1])
-        rank[order] = np.cumsum(new)
+        live, key = live[order], key[order]
+        old = rank[live]
+        place = np.arange(len(live))
+        group = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), place, 0))
+        new = np.append(True, key[1:] != key[:-1])
+        lead = np.maximum.accumulate(np.where(new, place, 0))
+        rank[live] = old + lead - group
+        live = live[~(new & np.append(new[1:], True))]
         step *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
-    return buckets.induced(seeds[order])
+    out = np.empty(n, np.int64)
+    out[rank] = np.arange(n)
+    return out
 
 
 def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
@@ -162,16 +175,15 @@ def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     A place whose left neighbours agree shares one letter less than the place to
     its left; only the others are compared, eight letters at a time.
     """
-    n = len(text)
-    before = np.empty(n, np.int64)
+    n, place = len(text), np.arange(len(text), dtype=np.int32)
+    before = np.empty(n, np.int32)
     before[array[1:]] = array[:-1]
     before[array[0]] = n - 1
-    stops = np.flatnonzero(text <= STOP)
-    left = stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)
+    stops = np.flatnonzero(text <= STOP).astype(np.int32)
+    left = np.repeat(stops, np.diff(stops, prepend=-1)) - place
     own = np.ones(n, bool)
-    at = np.arange(1, n)
     other = before[1:]
-    own[1:] = (other == 0) | (text[at - 1] != text[np.maximum(other, 1) - 1]) | (text[at - 1] <= STOP)
+    own[1:] = (other == 0) | (text[:-1] != text[np.maximum(other, 1) - 1]) | (text[:-1] <= STOP)
     words = _words(text)
     at = np.flatnonzero(own)
     other = before[at]
@@ -185,10 +197,10 @@ def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
         step = np.where(differ == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
         shared[live] = np.minimum(done + step, most[live])
         live = live[(differ == 0) & (shared[live] < most[live])]
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     out[at] = shared
-    source = np.maximum.accumulate(np.where(own, np.arange(n), 0))
-    return np.maximum(out[source] - (np.arange(n) - source), 0)
+    source = np.maximum.accumulate(np.where(own, place, 0))
+    return np.maximum(out[source] + source - place, 0)
 
 
 def least_holders(data: np.ndarray, sizes: np.ndarray, holders: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
