@@ -56,7 +56,7 @@ def merge(old: DataFrame, new: DataFrame, key: str, order: str, keep: list[str])
     return out.select(*base[:4], *[F.col(f"_f.{c}").alias(c) for c in [order, *keep]], *scores)
 
 
-#: Parts of a frequency table; a batch reads and writes those that its keys fall into.
+#: Parts of a frequency table, the same for all of its batches; a batch reads and writes those that its keys fall into.
 PARTS = 64
 
 
@@ -92,10 +92,10 @@ def _read_parts(spark: SparkSession, path: str, versions: dict[int, int]) -> Dat
     return spark.read.parquet(*[f"{path}/v{v}/part={p}" for p, v in sorted(versions.items())])
 
 
-def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], score: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], score: Callable[[DataFrame], DataFrame] = lambda df: df, parts: int = PARTS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges a batch into the table at ``path``.
 
-    The table is dealt into ``PARTS`` parts by a hash of the key. Batch n reads
+    The table is dealt into ``parts`` parts by a hash of the key. Batch n reads
     the latest versions before it of the parts that its keys fall into, and
     writes only these, as version n: a repeated batch gives the same table, each
     message counts exactly once, and a batch costs what it touches. ``score``
@@ -106,9 +106,9 @@ def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], sc
 
     def batch(df: DataFrame, n: int) -> None:
         spark = df.sparkSession
-        new = fold(df, key, ts, order, keep).withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")).persist()
+        new = fold(df, key, ts, order, keep).withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).persist()
         try:
-            touched = {r["part"] for r in new.select("part").distinct().collect()}  # PARTS numbers at most
+            touched = {r["part"] for r in new.select("part").distinct().collect()}  # a number for each part at most
             versions = _versions(spark, path, n)
             old = _read_parts(spark, path, {p: v for p, v in versions.items() if p in touched})
             if old is None:
@@ -117,7 +117,7 @@ def frequency_sink(path: str, key: str, ts: str, order: str, keep: list[str], sc
                 known = old.select(key)
                 fresh = score(new.drop("part").join(known, key, "left_anti"))
                 out = merge(old, new.drop("part").join(known, key, "left_semi"), key, order, keep).unionByName(fresh.select(old.columns))
-            out.withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")).write.partitionBy("part").mode("overwrite").parquet(f"{path}/v{n}")
+            out.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).write.partitionBy("part").mode("overwrite").parquet(f"{path}/v{n}")
         finally:
             new.unpersist()
         _drop_before(spark, path, set(_versions(spark, path, n + 1).values()) | set(versions.values()), n)
