@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text
+from tessera.functions.automaton import Entry, replaced_texts
 from tessera.functions.text import let
 
 Entries = list[tuple[str, str]]
@@ -70,11 +71,13 @@ def variant_entries(variants: dict) -> Entries:
 def replaced(c: Column, entries: Entries) -> Column:
     """``c`` after each replacement in order; texts in which none of the patterns is found stay as they are.
 
-    A replacement can make room for a later entry, but not where no entry was found at first.
+    A replacement can make room for a later entry; where no entry is found at first nothing is replaced, so none is made room for.
     """
     if not entries:
         return c
     steps = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(r).alias("r")) for p, r in entries])
+    if any(re.search(r"\\[1-9]", p) for p, _ in entries):  # a back-reference would name another group in a joined pattern
+        return F.aggregate(steps, c, lambda s, e: F.regexp_replace(s, e["p"], e["r"]))
     gate = "|".join(f"(?:{p})" for p, _ in entries)
     return let(c, lambda t: F.when(t.rlike(gate), F.aggregate(steps, t, lambda s, e: F.regexp_replace(s, e["p"], e["r"]))).otherwise(t))
 
@@ -110,3 +113,29 @@ def normalise(c: Column, dictionaries: dict) -> Column:
         t = replaced(t, entries)
     reason = text.rejection(c, tuple(dictionaries.get("telecom_tech", {})))
     return let(reason, lambda r: F.struct(F.when(r.isNull(), text.core_form(t)).alias("text"), r.alias("reason")))
+
+
+def sequence(dictionaries: dict) -> list[Entry]:
+    """All entries of all passes in the order in which they apply, for the automaton."""
+    single = [Entry(k, v) for k, v in dictionaries.get("unicode_arabic", {}).items()]
+    emoji = [Entry(k, f" {v} ") for k, v in _longest_first(dictionaries.get("emojis", {}))]
+    words = lambda names: [Entry(k, v, words=True, case=case) for n, case in names for k, v in _longest_first(dictionaries.get(n, {}))]
+    patterns = lambda name: [Entry(k, v, case=False, regex=True) for k, v in dictionaries.get(name, {}).items()]
+    variants, network = dictionaries.get("network_variants", {}), []
+    parts = [rf"\b(?:{'|'.join(map(re.escape, variants['latin']))})\b"] * bool(variants.get("latin")) + [f"(?:{'|'.join(map(re.escape, variants['arabic']))})"] * bool(variants.get("arabic")) if variants else []
+    if parts:
+        network = [Entry("|".join(parts), variants["normalized_form"].replace("\\", r"\\"), case=False, regex=True)]
+    return [*single, *emoji, *words(WORD_PASSES), *patterns("mixed_ar_fr_regex"), *network, *words(LATER_WORD_PASSES), *patterns("french_corrections_regex")]
+
+
+def normalised(df: DataFrame, text_col: str, dictionaries: dict) -> DataFrame:
+    """``df`` with ``reason`` and ``clean``, as ``normalise`` has them, by one automaton for dictionaries of any size.
+
+    Words and their limits are those of Python's patterns here, in which a
+    combining mark is no part of a word.
+    """
+    stripped = text.strip(F.coalesce(F.col(text_col), F.lit("")))
+    reason = text.rejection(F.col(text_col), tuple(dictionaries.get("telecom_tech", {})))
+    told = df.withColumn("reason", reason).withColumn("_t", F.when(F.col("reason").isNull(), stripped))
+    done = replaced_texts(told, "_t", sequence(dictionaries), "_done")
+    return done.withColumn("clean", text.core_form(F.col("_done"))).drop("_t", "_done")

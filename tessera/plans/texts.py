@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.functions import dates, flags, normaliser, text
+from tessera.functions import automaton, dates, flags, normaliser, text
 from tessera.plans.base import comments, query, table
 from tessera.plans.re2 import SPACE, WORD, found_in, meets
 from tessera.plans.re2 import sql as literal
@@ -197,3 +197,25 @@ def flag_topk(spark, sf_dir):
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(_t(), F.lit(""))), F.lit("([a-z0-9]+)")))
     found = F.filter(words, lambda w: w.rlike(f"^(?:{'|'.join(flags.COMMON_WORDS)})$"))
     return table(spark, sf_dir, "documents").select(F.explode(found).alias("expression")).groupBy("expression").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "expression").limit(20)
+
+
+#: A dictionary of 625 entries by a rule: two consonants with vowels, which become one with the vowels around it.
+SYLLABLES = {a + u + b + v: u + a + v for a in "rtlsn" for u in "aeiou" for b in "dmcpb" for v in "aeiou"}
+_ORDERED = "text"
+for _k, _v in SYLLABLES.items():
+    _ORDERED = f"replace({_ORDERED}, '{_k}', '{_v}')"
+
+
+@query(f"SELECT doc_id, {_ORDERED} AS translated FROM documents")
+def translate_in_order(spark, sf_dir):
+    """A whole dictionary's expressions replaced in its order, each in what the ones before it left."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return automaton.replaced_texts(d, "text", [automaton.Entry(k, v) for k, v in SYLLABLES.items()], "translated").drop("text")
+
+
+@query(f"""WITH t AS (SELECT unnest([{', '.join(f"'{k}'" for k in SYLLABLES)}]) AS term), o AS (SELECT doc_id, term, (length(low) - length(replace(low, term, ''))) // 4 AS n FROM (SELECT doc_id, lower(coalesce(text, '')) AS low FROM documents) JOIN t ON contains(low, term))
+SELECT term, count(*) AS documents, sum(n)::BIGINT AS occurrences FROM o GROUP BY term""")
+def dictionary_terms(spark, sf_dir):
+    """How many documents hold each term of a whole dictionary, and how often; no term overlaps itself."""
+    found = automaton.terms_of(table(spark, sf_dir, "documents"), "doc_id", "text", [k for k in SYLLABLES])
+    return found.groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
