@@ -168,7 +168,7 @@ bw AS (SELECT coalesce(p.a, q.a) AS a, coalesce(p.b, q.b) AS b, coalesce(p.n, 0)
 cs AS (SELECT a, b FROM bw GROUP BY a, b HAVING sum(n * w * m * w) / (sqrt(sum(n * w * n * w)) * sqrt(sum(m * w * m * w))) >= 0.85 - 1e-9), sure AS (SELECT a, b FROM cs UNION ALL SELECT b, a FROM cs)"""
 
 
-@query(f"WITH RECURSIVE {WORD_LINKS}, {PRODUCTION}, {greedy_sql('g', 'ids', 'sure')} SELECT a AS id, list_contains((SELECT kept FROM g), a) AS kept FROM ids")
+@query(f"WITH RECURSIVE {WORD_LINKS}, {PRODUCTION}, {greedy_sql('g', 'sure')} SELECT a AS id, a NOT IN (SELECT id FROM g) AS kept FROM ids")
 def production_fusion(spark, sf_dir):
     """Word sets first, then the pair's own cosine over words with repeats, then greedy removal of what both call copies."""
     d = table(spark, sf_dir, "documents")

@@ -45,11 +45,11 @@ def _reached(ids: str, links: str) -> str:
 SELECT i.a AS id, (SELECT min(node) FROM reach r WHERE r.id = i.a) AS class_id, (SELECT count(*) FROM {links} l WHERE l.a = i.a) AS n_links FROM {ids} i"""
 
 
-def greedy_sql(name: str, ids: str, links: str) -> str:
-    """DuckDB SQL of ``sim.greedy_kept``: one row a step, with the list of those kept so far; ``name`` has the last."""
-    return f"""n_{name} AS (SELECT i.a AS id, row_number() OVER (ORDER BY i.a) AS k, coalesce(list(l.b) FILTER (l.b < i.a), []) AS before FROM {ids} i LEFT JOIN {links} l ON l.a = i.a GROUP BY i.a),
+def greedy_sql(name: str, links: str) -> str:
+    """DuckDB SQL of ``sim.greedy_kept``: ``name`` has the ids that go. Only ids with links are gone through, one row a step, with the list of those kept so far."""
+    return f"""e_{name} AS MATERIALIZED (SELECT DISTINCT a, b FROM {links}), n_{name} AS MATERIALIZED (SELECT a AS id, row_number() OVER (ORDER BY a) AS k, coalesce(list(b) FILTER (b < a), []) AS before FROM e_{name} GROUP BY a),
 s_{name} AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT n.k, CASE WHEN list_has_any(n.before, s.kept) THEN s.kept ELSE list_append(s.kept, n.id) END FROM s_{name} s JOIN n_{name} n ON n.k = s.k + 1),
-{name} AS (SELECT kept FROM s_{name} ORDER BY k DESC LIMIT 1)"""
+{name} AS MATERIALIZED (SELECT id FROM n_{name} WHERE NOT list_contains((SELECT kept FROM s_{name} ORDER BY k DESC LIMIT 1), id))"""
 
 
 @query(f"WITH RECURSIVE {WORD_LINKS}, {_reached('ids', 'links')}")
@@ -58,15 +58,15 @@ def jaccard_word_links(spark, sf_dir):
     return sim.classes(members, saved(sim.jaccard_links(distinct, WORD_THRESHOLD), "word-links"))
 
 
-@query(f"WITH RECURSIVE {WORD_LINKS}, {greedy_sql('g', 'ids', 'links')} SELECT a AS id, list_contains((SELECT kept FROM g), a) AS kept FROM ids")
+@query(f"WITH RECURSIVE {WORD_LINKS}, {greedy_sql('g', 'links')} SELECT a AS id, a NOT IN (SELECT id FROM g) AS kept FROM ids")
 def greedy_dedup(spark, sf_dir):
     members, distinct = _word_sets(spark, sf_dir)
     return sim.greedy_kept(members, sim.jaccard_links(distinct, WORD_THRESHOLD))
 
 
 SWEEP = (70, 75, 80, 85, 90, 95)
-_SWEPT = ", ".join(f"l{t} AS (SELECT a, b FROM scores WHERE score >= {t / 100} - 1e-12), {greedy_sql(f'g{t}', 'ids', f'l{t}')}" for t in SWEEP)
-_KEPT = " UNION ALL ".join(f"SELECT {t} AS threshold, (SELECT len(kept) FROM g{t}) AS kept, (SELECT count(*) FROM ids) AS total" for t in SWEEP)
+_SWEPT = ", ".join(f"l{t} AS (SELECT a, b FROM scores WHERE score >= {t / 100} - 1e-12), {greedy_sql(f'g{t}', f'l{t}')}" for t in SWEEP)
+_KEPT = " UNION ALL ".join(f"SELECT {t} AS threshold, (SELECT count(*) FROM ids) - (SELECT count(*) FROM g{t}) AS kept, (SELECT count(*) FROM ids) AS total" for t in SWEEP)
 
 
 @query(f"""WITH RECURSIVE {WORD_SCORES}, {_SWEPT}, k AS ({_KEPT}), o AS (SELECT threshold, kept, total - kept AS removed, round(100.0::DOUBLE * (total - kept) / total, 2) AS pct_removed FROM k)
@@ -234,8 +234,8 @@ def method_confusion(spark, sf_dir):
     return out.select("tp", "fp", "fn", F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)), 6).alias("f1"))
 
 
-@query(f"""WITH RECURSIVE {WORD_LINKS}, {VECTOR_SCORES}, {greedy_sql('by_words', 'ids', 'links')}, {greedy_sql('by_vectors', 'idst', 'linkst')},
-x AS (SELECT a FROM ids WHERE NOT list_contains((SELECT kept FROM by_words), a)), y AS (SELECT a FROM idst WHERE NOT list_contains((SELECT kept FROM by_vectors), a))
+@query(f"""WITH RECURSIVE {WORD_LINKS}, {VECTOR_SCORES}, {greedy_sql('by_words', 'links')}, {greedy_sql('by_vectors', 'linkst')},
+x AS (SELECT id AS a FROM by_words), y AS (SELECT id AS a FROM by_vectors)
 SELECT count(*) FILTER (y.a IS NULL) AS only_words, count(*) FILTER (x.a IS NULL) AS only_tfidf, count(*) FILTER (x.a = y.a) AS "both" FROM x FULL JOIN y ON x.a = y.a""")
 def method_overlap(spark, sf_dir):
     """Documents that greedy removal by word sets, by TF-IDF vectors, or by both takes away."""
