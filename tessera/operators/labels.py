@@ -28,12 +28,30 @@ def kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
 KAPPA_LEVELS = ((0.0, "mauvais"), (0.2, "faible"), (0.4, "modere"), (0.6, "bon"), (0.8, "excellent"))
 
 
-def kappa_level(k: Column) -> Column:
-    """The name of the level that a kappa reaches."""
+#: The levels that two annotators are told.
+ANNOTATOR_LEVELS = ((0.0, "Très faible"), (0.2, "Faible"), (0.4, "Modérée"), (0.6, "Forte"), (0.8, "Presque parfaite"))
+ANNOTATOR_BELOW = "Très faible (désaccord)"
+
+
+def kappa_level(k: Column, levels: tuple[tuple[float, str], ...] = KAPPA_LEVELS, below: str = "mauvais") -> Column:
+    """The name of the level that a kappa reaches; ``below`` for one under zero."""
     out = F.lit(None).cast("string")
-    for low, name in KAPPA_LEVELS:
+    for low, name in levels:
         out = F.when(k >= low, F.lit(name)).otherwise(out)
-    return F.when(k < 0, "mauvais").otherwise(out)
+    return F.when(k < 0, below).otherwise(out)
+
+
+def compare_judges(df: DataFrame, judge: str, verdict: Column, latency: Column, truth: Column) -> DataFrame:
+    """One row a judge: rows, failures (no verdict), share of right verdicts where there is a truth, and mean, median and 95 % latency.
+
+    Quantiles are exact, from counts of equal latencies.
+    """
+    rows = df.select(F.col(judge).alias("judge"), verdict.alias("v"), latency.cast("double").alias("s"), truth.alias("t"))
+    both = F.col("v").isNotNull() & F.col("t").isNotNull()
+    return rows.groupBy("judge").agg(
+        F.count("*").alias("n"), F.count_if(F.col("v").isNull()).alias("failures"), F.try_divide(F.count_if(both & (F.col("v") == F.col("t"))).cast("double"), F.count_if(both)).alias("agreement"),
+        F.avg("s").alias("mean_latency"), F.percentile("s", 0.5).alias("p50"), F.percentile("s", 0.95).alias("p95"),
+    )
 
 
 def class_report(pairs: DataFrame, predicted: str, actual: str) -> DataFrame:

@@ -69,8 +69,11 @@ _SWEPT = ", ".join(f"l{t} AS (SELECT a, b FROM scores WHERE score >= {t / 100} -
 _KEPT = " UNION ALL ".join(f"SELECT {t} AS threshold, (SELECT count(*) FROM ids) - (SELECT count(*) FROM g{t}) AS kept, (SELECT count(*) FROM ids) AS total" for t in SWEEP)
 
 
-@query(f"""WITH RECURSIVE {WORD_SCORES}, {_SWEPT}, k AS ({_KEPT}), o AS (SELECT threshold, kept, total - kept AS removed, round(100.0::DOUBLE * (total - kept) / total, 2) AS pct_removed FROM k)
-SELECT *, round(pct_removed - lag(pct_removed) OVER (ORDER BY threshold), 2) AS gain FROM o""")
+_SWEEP = f"""WITH RECURSIVE {WORD_SCORES}, {_SWEPT}, k AS ({_KEPT}), o AS (SELECT threshold, kept, total - kept AS removed, round(100.0::DOUBLE * (total - kept) / total, 2) AS pct_removed FROM k)
+SELECT *, round(pct_removed - lag(pct_removed) OVER (ORDER BY threshold), 2) AS gain FROM o"""
+
+
+@query(_SWEEP)
 def threshold_sweep(spark, sf_dir):
     """How many documents greedy removal keeps at each threshold; links are sought once, at the lowest."""
     members, distinct = _word_sets(spark, sf_dir)
@@ -85,6 +88,13 @@ def threshold_sweep(spark, sf_dir):
     return out.withColumn("gain", F.round(F.col("pct_removed") - before, 2))
 
 
+@query(f"SELECT min(threshold) AS threshold, arg_min(removed, threshold) AS removed FROM ({_SWEEP}) WHERE gain < 5")
+def threshold_choice(spark, sf_dir):
+    """The first threshold that gains less than five points over the one before it, and what it removes."""
+    swept = threshold_sweep(spark, sf_dir).where(F.col("gain") < 5)
+    return swept.agg(F.min("threshold").alias("threshold"), F.min_by("removed", "threshold").alias("removed"))
+
+
 def _ngram_contents(spark, sf_dir):
     """Documents of equal prepared texts as one content, with word 1- and 2-grams, repeats included."""
     words = F.regexp_extract_all(text.clean_words(F.col("text")), F.lit(r"(?U)(\b\w\w+\b)"))
