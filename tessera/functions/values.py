@@ -25,8 +25,7 @@ def split_valid(df: DataFrame, **checks: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def load_json(c: Column, schema: str, default: Column | None = None) -> Column:
-    """The value that a JSON text spells, or ``default`` where it is missing, damaged or of another kind."""
-    # a damaged text gives a row of nulls as a struct; the whole as one string tells it from an object without values
+    """The value that a JSON text spells, or ``default`` where it is missing, damaged or of another kind; a field of another kind is null."""
     whole = F.try_variant_get(F.try_parse_json(c), "$", schema)
     return whole if default is None else F.coalesce(whole, default)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import similarity as sim
+from tessera.operators.balls import ball_classes, jaccard_balls
 from tessera.operators.charsets import character_classes
 from tessera.operators.edits import edit_classes
 from tessera.operators.search import nearest
@@ -55,7 +56,7 @@ s_{name} AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT n.k, C
 @query(f"WITH RECURSIVE {WORD_LINKS}, {_reached('ids', 'links')}")
 def jaccard_word_links(spark, sf_dir):
     members, distinct = _word_sets(spark, sf_dir)
-    return sim.classes(members, saved(sim.jaccard_links(distinct, WORD_THRESHOLD), "word-links"))
+    return ball_classes(members, *jaccard_balls(distinct, WORD_THRESHOLD))
 
 
 @query(f"WITH RECURSIVE {WORD_LINKS}, {greedy_sql('g', 'links')} SELECT a AS id, a NOT IN (SELECT id FROM g) AS kept FROM ids")

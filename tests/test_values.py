@@ -21,7 +21,7 @@ def test_each_row_is_in_one_part(spark):
 def test_damaged_json(spark):
     df = spark.createDataFrame([('{"k": 1}',), ('{"k": "x"}',), ("{",), (None,), ('{"j": 2}',), ("[1]",)], "t string")
     default = F.struct(F.lit(-1).cast("long").alias("k"))
-    assert [r.v.k for r in df.select(values.load_json(F.col("t"), "struct<k: bigint>", default).alias("v")).collect()] == [1, -1, -1, -1, None, -1]
+    assert [r.v.k for r in df.select(values.load_json(F.col("t"), "struct<k: bigint>", default).alias("v")).collect()] == [1, None, -1, -1, None, -1]
     assert df.select(values.dump_json(F.struct(F.lit(None).cast("int").alias("a"), F.lit(1).alias("b")))).first()[0] == '{"a":null,"b":1}'
 
 
