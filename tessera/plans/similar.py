@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
+from tessera.operators import classify
 from tessera.operators import similarity as sim
 from tessera.operators.balls import ball_classes, jaccard_balls
 from tessera.operators.charsets import character_classes
@@ -291,3 +292,11 @@ SELECT w.u AS id, w.least AS class_id, n_links FROM walk w JOIN count c ON c.a =
 def embedding_classes(spark, sf_dir):
     """Vectors with a cosine of 0.4 or more, which few of the given ones have; the SQL follows links for 40 steps."""
     return cosine_classes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.4)[0]
+
+
+@query()
+def linear_probabilities(spark, sf_dir):
+    """The probability of good quality of every document, by hashed TF-IDF and a linear model of the labelled ones; held against a plain version in tests."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "text", "quality")
+    words = text.tokens(F.lower("text"))
+    return classify.probabilities(classify.fit(d, words, F.col("quality")), d, "doc_id", words)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.work import new_folder
 from tessera.plans.base import query, table
-from tessera.sources import bson, readers, writers
+from tessera.sources import bson, readers, workbooks, writers
 
 
 @query("SELECT lower(lpad(printf('%x', doc_id), 24, '0')) AS _id, doc_id, source, n_chars, text FROM documents WHERE doc_id >= 100 AND lang <> 'en' AND source IS NOT NULL")
@@ -66,3 +66,11 @@ def appended_once(spark, sf_dir):
     for batch in (c.where("c_custkey % 3 < 2"), c.where("c_custkey % 3 > 0"), c):
         writers.append_new(batch, f"{folder}/table", "c_custkey")
     return spark.read.parquet(f"{folder}/table")
+
+
+@query("SELECT conv_id, turn, role, text, role AS sheet FROM conversations WHERE text <> ''")
+def workbook_round_trip(spark, sf_dir):
+    """Conversations as workbooks with a sheet for each role, and all sheets read again."""
+    folder, c = new_folder(spark, "books"), table(spark, sf_dir, "conversations").where("text <> ''")
+    workbooks.write_workbook(c.withColumn("feuille", F.col("role")).repartition(2), f"{folder}/books", sheet_column="feuille")
+    return workbooks.read_workbook(spark, f"{folder}/books", "conv_id long, turn long, role string, text string, _sheet string").withColumnRenamed("_sheet", "sheet")
