@@ -12,6 +12,8 @@ from tessera.operators.work import components
 
 #: Least Jaccard similarity of a link, as a fraction.
 SIMILARITY = (4, 5)
+#: Words of 64 bits in a sketch, a power of two.
+SKETCH = 16
 
 
 def may_be_similar(x: Column, y: Column) -> Column:
@@ -29,11 +31,11 @@ def may_be_similar(x: Column, y: Column) -> Column:
 def may_be_similar_sets(x: Column, y: Column) -> Column:
     """``may_be_similar`` for the places of ``prefix_members``, and whether the sets' sketches allow it.
 
-    A sketch has a bit for each of 256 classes of shingles. Sets that differ in d
+    A sketch has a bit for each of ``64 * SKETCH`` classes of shingles. Sets that differ in d
     shingles differ in d bits at most, and similar ones in a ninth of the sum of
     their sizes, so no similar pair is barred.
     """
-    differing = sum((F.bit_count(x[f"k{i}"].bitwiseXOR(y[f"k{i}"])) for i in range(1, 4)), F.bit_count(x["k0"].bitwiseXOR(y["k0"])))
+    differing = sum((F.bit_count(x[f"k{i}"].bitwiseXOR(y[f"k{i}"])) for i in range(1, SKETCH)), F.bit_count(x["k0"].bitwiseXOR(y["k0"])))
     sizes = x["p"].bitwiseAND(F.lit(0x7FFFFFFF)) + y["p"].bitwiseAND(F.lit(0x7FFFFFFF))
     return may_be_similar(x["p"], y["p"]) & (differing * sum(SIMILARITY) <= sizes * (SIMILARITY[1] - SIMILARITY[0]))
 
@@ -55,11 +57,11 @@ def prefix_members(sets: DataFrame) -> DataFrame:
     tokens = saved(sets.select("content", F.size("s").alias("n"), F.explode("s").alias("t")), "tokens")
     often = tokens.groupBy("t").agg(F.count("*").alias("often"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t").bitwiseAND(F.lit(63)).cast("int"))
-    of = F.shiftrightunsigned("t", 6).bitwiseAND(F.lit(3))
-    sketch = [F.bit_or(F.when(of == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"k{i}") for i in range(4)]
+    of = F.shiftrightunsigned("t", 6).bitwiseAND(F.lit(SKETCH - 1))
+    sketch = [F.bit_or(F.when(of == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"k{i}") for i in range(SKETCH)]
     ordered = tokens.join(often, "t").groupBy("content", "n").agg(F.array_sort(F.collect_list(F.struct("often", "t"))).alias("ts"), *sketch)
     keep = F.col("n") - F.ceil(F.col("n") * SIMILARITY[0] / SIMILARITY[1] - 1e-9) + 1
-    sketch = [f"k{i}" for i in range(4)]
+    sketch = [f"k{i}" for i in range(SKETCH)]
     prefix = ordered.select("content", "n", *sketch, F.posexplode(F.slice("ts", F.lit(1), keep.cast("int"))).alias("at", "x")).where("x.often > 1")
     return several(prefix.select(F.col("x.t").alias("s"), "content", F.struct((F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")).alias("p"), *sketch).alias("place")))
 
