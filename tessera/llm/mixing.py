@@ -22,7 +22,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
     stopping each at ``max_copies`` times its size gives what repeated resharing
     gives: sources are taken by cap/weight, and the level is what is left of the
     total over what is left of the weights. The windows run over one row for
-    each source.
+    each source. Sources are distinct, a null one included; one whose size is 0 has the target 0,
+    and an empty table gives no rows.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(order) - 1) % len(weights)

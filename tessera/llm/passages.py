@@ -210,7 +210,8 @@ def removals(docs: DataFrame) -> DataFrame:
 
     What a document is the first to hold is not cut from it, even where a span
     that others hold earlier overlaps it: such a span ends before it, or begins
-    after it. So each class keeps one whole occurrence.
+    after it. So each class keeps one whole occurrence. Rows without an id are
+    left out, rows that share one are one document, and an empty table gives no rows.
     """
     rows = repeated_passages(docs).select("doc_id", F.col("at").cast("long").alias("at"), (F.col("at") + F.col("n_words")).alias("end"), "removed")
     spans = lambda removed: F.array_sort(F.collect_list(F.when(F.col("removed") == removed, F.struct("at", "end"))))
