@@ -83,6 +83,14 @@ def json_values(spark, sf_dir):
     return e.select("event_id", F.coalesce(k, F.lit(-1)).alias("k"), values.dump_json(F.struct(k.alias("k"), F.col("event_type").alias("type"))).alias("written"))
 
 
+@query("SELECT l_orderkey AS item, count(DISTINCT flag) AS labels FROM (SELECT l_orderkey, l_suppkey, max(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2) GROUP BY 1")
+def labels_of_maps(spark, sf_dir):
+    """Validations as a map from annotator to label, and how many labels it holds."""
+    given = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.max("l_returnflag").alias("flag"))
+    maps = given.groupBy(F.col("l_orderkey").alias("item")).agg(F.map_from_entries(F.collect_list(F.struct("l_suppkey", "flag"))).alias("validations"))
+    return maps.select("item", F.size(F.array_distinct(F.map_values("validations"))).cast("long").alias("labels"))
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY md5('7-' || CAST(doc_id AS VARCHAR)), doc_id) AS place FROM documents")
 def shuffled_rows(spark, sf_dir):
     return values.shuffled(_docs(spark, sf_dir).select("doc_id"), "doc_id", 7)
