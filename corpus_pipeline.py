@@ -22,7 +22,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word Jaccard similarity of 0.8 or more) the document with the smallest id stays."""
+    """Of each group of near copies (by SimHash of five-word shingles, and an exact way for what lies beyond its radius; Jaccard similarity of 0.8 or more) the document with the smallest id stays."""
     return near_copies.keep_one_each(docs)
 
 

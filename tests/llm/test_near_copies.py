@@ -76,3 +76,22 @@ def test_edited_copies_and_common_passages(spark):
     rng.shuffle(rows)
     rows = list(enumerate(rows))
     assert plain(near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_simhash_brings_pairs(spark, monkeypatch):
+    """Copies with one changed word in a long text meet by their fingerprints alone; so do equal fingerprints; each pair is verified."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(4000)]
+    near = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (100, 1000, 2000)]
+    rows = list(enumerate([" ".join(base), *near, "another text", "and one more"]))
+    fps = [near_copies._fingerprint(near_copies.shingles(t.encode())) for _, t in rows]
+    contents = spark.createDataFrame(list(zip(fps, range(len(rows)), strict=True)), "fp long, content long")
+    got = {frozenset((r.a, r.b)) for r in near_copies._simhash_pairs(contents).collect()}
+    assert {i for p in got for i in p} <= {0, 1, 2, 3} and all((fps[a] ^ fps[b]).bit_count() <= 2 for a, b in map(tuple, got))
+    assert any(got)
+    assert near_copies._fingerprint(near_copies.EMPTY) == 0
+    seen = []
+    links = near_copies.simhash.links
+    monkeypatch.setattr(near_copies.simhash, "links", lambda fps: seen.append(fps.count()) or links(fps))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert plain(near_copies.near_copies(docs)) == brute(rows) and seen
