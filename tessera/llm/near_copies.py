@@ -53,13 +53,14 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(b.column("text")):
             yield b.slice(at, len(part))
             at += len(part)
+        pa.default_memory_pool().release_unused()  # else each worker keeps its largest batch for good
 
 
 def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several different texts of a batch share, and about how often (as a power of two), ordered by shingle."""
+    """Shingles that several different texts of a slice share, and about how often (as a power of two), ordered by shingle."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _small(batches):
             sets = [shingles(t) for t in set(_texts(b))]
             found, n = np.unique(np.concatenate([EMPTY, *sets]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1])], ["s", "n"])
