@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import new_folder
-from tessera.llm.pieces import Pieces, slices
+from tessera.llm.pieces import Pieces, gathered, slices
 
 LIMIT = 4096
 SPACE = "▁"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 64
+NONE = np.zeros(0, np.int32)
 
 
 class PrefixCounter:
@@ -26,10 +27,11 @@ class PrefixCounter:
     Where no piece of the vocabulary has a mark after another character, no
     token spans the place before a mark that follows one, so the text falls into
     words. Let ``count[k]`` be the exact token count of the prefix that ends with
-    word k: ``count[k] = count[k-1] + tokens(word k)``, where each distinct word
-    is encoded once. Storing these answers any question of length: the last is
-    the count of the whole text, and a cut inside a word needs that word's own
-    table (``word``), filled by the same recurrence over its characters.
+    word k: ``count[k] = count[k-1] + tokens(word k)``. A word's tokens, and the
+    counts of all prefixes that end inside it, are in that word's own table,
+    which the recurrence over its characters fills (``word``), once for each
+    distinct word. Storing the counts of all prefixes answers any question of
+    length: the last is the count of the whole text.
     """
 
     def __init__(self, model_file: str):
@@ -40,9 +42,15 @@ class PrefixCounter:
         pieces = [self.sp.id_to_piece(i) for i in range(n) if not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_byte(i))]
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece of this vocabulary spans words")
-        self.pieces, self.longest = set(pieces), max(map(len, pieces))
+        self.pieces = set(pieces)
+        sizes: dict[str, set[int]] = {}
+        for p in pieces:
+            if len(p) > 2:
+                sizes.setdefault(p[-3:], set()).add(len(p))
+        #: How long the pieces are that end with three characters, longest first; pieces of one and two characters come last.
+        self.sizes = {tail: (*sorted(n, reverse=True), 2, 1) for tail, n in sizes.items()}
         self.apart: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, int] = {"": 1}
+        self.cache: dict[str, bytes] = {}
 
     def _tokens(self, marked: str) -> list[str]:
         """The tokens of a string as it is encoded inside a text."""
@@ -55,31 +63,56 @@ class PrefixCounter:
     def _stay_apart(self, a: str, b: str) -> bool:
         """Whether tokens a, b (or b alone, if a is empty) are what their joined text is encoded as."""
         key = a, b
-        if (known := self.apart.get(key)) is None:
-            if len(self.apart) > CACHE_WORDS:
-                self.apart.clear()
-            known = self.apart[key] = self._tokens(a + b) == ([a, b] if a else [b])
+        if len(self.apart) > CACHE_WORDS:
+            self.apart.clear()
+        self.apart[key] = known = self._tokens(a + b) == ([a, b] if a else [b])
         return known
 
-    def word(self, marked: str) -> list[int]:
-        """Token counts of the prefixes of 1, 2, ... characters of one marked word.
+    def _extend(self, marked: str, last: list[str], count: list[int]) -> None:
+        """Fills the tables of one marked word from where they end.
 
         The encoding of a prefix is that of a shorter prefix and one more token:
         the one which the encoder leaves standing beside the shorter one's last.
         """
-        last, count = [""], [0]
-        for i in range(1, len(marked) + 1):
-            for j in range(max(0, i - self.longest), i):
-                token = marked[j:i]
-                if token in self.pieces and self._stay_apart(last[j], token):
+        sizes, pieces, apart = self.sizes, self.pieces, self.apart
+        for i in range(len(count), len(marked) + 1):
+            for n in sizes.get(marked[i - 3 : i] if i > 2 else "", (2, 1)):
+                if (j := i - n) < 0 or (token := marked[j:i]) not in pieces:
+                    continue
+                known = apart.get((last[j], token))
+                if self._stay_apart(last[j], token) if known is None else known:
                     last.append(token)
                     count.append(count[j] + 1)
                     break
             else:  # a character that no piece has: one token for each byte, which join with nothing
                 last.append("")
                 count.append(count[i - 1] + len(marked[i - 1].encode()))
+
+    def word(self, marked: str) -> list[int]:
+        """Token counts of the prefixes of 1, 2, ... characters of one marked word."""
+        last, count = [""], [0]
+        self._extend(marked, last, count)
         return count[1:]
 
+    def tables(self, words: list[str]) -> list[bytes]:
+        """``word`` of the mark and each word, as 32-bit numbers. New words are taken in order: what one has in common with the one before is filled once."""
+        found = list(map(self.cache.get, words))
+        if None not in found:
+            return found
+        own, before, last, count = {}, "", [""], [0]
+        for w in sorted({w for w, t in zip(words, found, strict=True) if t is None}):
+            marked = SPACE + w.replace(" ", SPACE)
+            same, most = 0, min(len(before), len(marked))
+            while same < most and before[same] == marked[same]:
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            self._extend(marked, last, count)
+            own[w], before = array("i", count[1:]).tobytes(), marked
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        self.cache |= {w: t for w, t in own.items() if len(w) <= CACHE_CHARS}
+        return [own[w] if t is None else t for w, t in zip(words, found, strict=True)]
+
     def _words(self, text: str) -> list[str]:
         """What follows the first mark in each word; further marks of a run are spaces in front of it."""
         parts = text.split(" ")
@@ -97,49 +130,42 @@ class PrefixCounter:
             out.append(" " * (spaces - 1))
         return out
 
+    def _whole(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The counts at the end of each word, and at the end of each character."""
+        if not text:
+            return NONE, NONE
+        tables = [np.frombuffer(t, np.int32) for t in self.tables(self._words(text))]
+        ends = np.cumsum([t[-1] for t in tables], dtype=np.int32)
+        chars = np.concatenate([t + e - t[-1] for t, e in zip(tables, ends, strict=True)])
+        return ends, chars[1:]  # the first mark is no character of the text
+
     def at_words(self, text: str | None) -> list[int]:
         """The count at the end of each word."""
-        if not text:
-            return []
-        words = self._words(text)
-        counts = list(map(self.cache.get, words))
-        if None in counts:
-            new = list({w for w, n in zip(words, counts, strict=True) if n is None})
-            own = dict(zip(new, map(len, self.sp.encode(new, num_threads=1)), strict=True))
-            counts = [own[w] if n is None else n for w, n in zip(words, counts, strict=True)]
-            if len(self.cache) > CACHE_WORDS:
-                self.cache = {"": 1}
-            self.cache |= {w: n for w, n in own.items() if len(w) <= CACHE_CHARS}
-        return list(accumulate(counts))
-
-    def at_words_of(self, texts: pa.Array) -> list[np.ndarray]:
-        """``at_words`` of each text. Where words are simply what stands between spaces, distinct words of all texts are counted once."""
+        return self._whole(text)[0].tolist()
+
+    def tables_of(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the counts at the end of each word and of each character. Where words are simply what stands between spaces, distinct words of all texts are looked up once."""
         pieces = Pieces(texts)
-        counts = list(map(self.cache.get, pieces.distinct))
         odd = np.array([not w or SPACE in w for w in pieces.distinct], bool)
-        new = [k for k, n in enumerate(counts) if n is None and not odd[k]]
-        for k, ids in zip(new, self.sp.encode([pieces.distinct[k] for k in new], num_threads=1) if new else [], strict=True):
-            counts[k] = len(ids)
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": 1}
-        self.cache |= {pieces.distinct[k]: counts[k] for k in new if len(pieces.distinct[k]) <= CACHE_CHARS}
-        sums = np.array([n or 0 for n in counts], np.int64)[pieces.codes].cumsum()
+        tables = self.tables([w for w, o in zip(pieces.distinct, odd.tolist(), strict=True) if not o])
+        flat, sizes = np.frombuffer(b"".join(tables), np.int32), np.zeros(len(odd), np.int64)
+        sizes[~odd] = [len(t) // 4 for t in tables]
+        ends, totals = np.cumsum(sizes), np.zeros(len(odd), np.int64)
+        totals[~odd] = flat[ends[~odd] - 1]
+        sums = totals[pieces.codes].cumsum()
         before = np.concatenate([[0], sums])[pieces.starts]
-        out = [(sums[a:b] - c).astype(np.int32) for a, b, c in zip(pieces.starts.tolist(), pieces.ends.tolist(), before.tolist(), strict=True)]
+        words = (sums - np.repeat(before, pieces.sizes)).astype(np.int32)
+        chars, n = gathered(flat, ends, pieces.codes)
+        chars = chars + np.repeat(words - totals[pieces.codes].astype(np.int32), n)
+        stops = np.cumsum(n)[pieces.ends - 1].tolist()
+        out = [(words[a:b], chars[c + 1 : d]) for a, b, c, d in zip(pieces.starts.tolist(), pieces.ends.tolist(), [0, *stops], stops, strict=False)]
         for k in pieces.texts_with(odd).tolist():
-            out[k] = np.array(self.at_words(texts[k].as_py()), np.int32)
+            out[k] = self._whole(texts[k].as_py())
         return out
 
     def at_prefixes(self, text: str | None) -> list[int]:
         """The token count of each prefix of the text, from 0 to all of its characters."""
-        if not text:
-            return [0]
-        out, base = [0], 0
-        for k, w in enumerate(self._words(text)):
-            counts = self.word(SPACE + w.replace(" ", SPACE))
-            out += [base + c for c in (counts if k else counts[1:])]
-            base += counts[-1]
-        return out
+        return [0, *self._whole(text)[1].tolist()]
 
     def longest_prefix(self, text: str | None, budget: int) -> int:
         """How many characters of the text fit into ``budget`` tokens; only words near the cut get a table of their own."""
@@ -168,25 +194,32 @@ def _counter(model_file: str) -> PrefixCounter:
     return _COUNTERS[model_file]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate([NONE, *arrays])))
+
+
 def prefix_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_bytes, counts), one per row of ``docs``: the token count of the prefix that ends with each space-separated word.
+    """Rows (doc_id, n_bytes, counts, prefixes), one per row of ``docs``: the token counts of the prefixes that end with each space-separated word, and of all prefixes of 1, 2, ... characters.
 
     A null or empty text has no counts. Rows stand for themselves, repeated ids
-    and null ids included; an empty table gives no rows. Distinct words of many
-    texts are encoded once, whole texts however long.
+    and null ids included; an empty table gives no rows. Tables of distinct words
+    of many texts are filled once, whole texts however long.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(model_file)
         for b in batches:
-            counts = [c for texts in slices(b.column(2)) for c in counter.at_words_of(texts)]
-            ends = np.cumsum([0, *map(len, counts)])
-            rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *counts])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), rows], ["doc_id", "n_bytes", "counts"])
+            at = 0
+            for texts in slices(b.column(2)):
+                words, chars = zip(*counter.tables_of(texts), strict=True)
+                part = b.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _lists(words), _lists(chars)], ["doc_id", "n_bytes", "counts", "prefixes"])
+                at += len(texts)
+            pa.default_memory_pool().release_unused()  # else each worker keeps its largest batch for good
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    return rows.mapInArrow(of, "doc_id long, n_bytes long, counts array<int>")
+    return rows.mapInArrow(of, "doc_id long, n_bytes long, counts array<int>, prefixes array<int>")
 
 
 def stored_prefix_counts(docs: DataFrame, model_file: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,7 +232,7 @@ def stored_prefix_counts(docs: DataFrame, model_file: str, path: str, id_col: st
 def within_budget(table: DataFrame, budget: int) -> DataFrame:
     """``table`` with n_tokens, and fit_words and fit_tokens: how many words of the text fit into ``budget`` tokens, and the tokens that these take. No text is encoded. A row without tokens, of a null or empty text, has zeros; an empty table stays empty."""
     fit = F.size(F.filter("counts", lambda c: c <= budget))
-    n = F.coalesce(F.try_element_at("counts", F.lit(-1)), F.lit(0)).cast("long")
+    n = F.coalesce(F.try_element_at("prefixes", F.lit(-1)), F.lit(0)).cast("long")
     return table.withColumn("n_tokens", n).withColumn("fit_words", fit.cast("long")).withColumn("fit_tokens", F.coalesce(F.try_element_at("counts", F.nullif("fit_words", F.lit(0)).cast("int")), F.lit(0)).cast("long"))
 
 

@@ -97,3 +97,16 @@ def test_random_access(spark, tmp_path):
             ids, mask = reader.sequence_and_mask(row)
             k = row * reader.sequence - r["at"]
             assert len(ids) == len(mask) == reader.sequence and all(mask.to_pylist()) and ids.to_pylist() == want[k : k + len(ids)]
+
+
+def test_all_prefixes_are_stored(spark, sf):
+    """The table has the library's count at every character, filled by the recurrence and not by encoding whole words."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [*ODD[:30], *MORE, *[r[1][-60:] for r in table(sf, "documents")[:20]]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in token_counts.prefix_counts(df, PIECES).collect():
+        text = texts[r.doc_id] or ""
+        if len(text) < 2000:
+            assert r.prefixes == [len(sp.encode(text[: k + 1])) for k in range(len(text))], text
+        else:
+            assert len(r.prefixes) == len(text) and r.prefixes[-1] == len(sp.encode(text))
