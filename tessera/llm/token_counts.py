@@ -16,6 +16,7 @@ from tessera.llm.pieces import Pieces, gathered, slices
 LIMIT = 4096
 SPACE = "▁"
 CACHE_WORDS = 200_000
+CACHE_PAIRS = 400_000
 CACHE_CHARS = 64
 NONE = np.zeros(0, np.int32)
 
@@ -39,33 +40,30 @@ class PrefixCounter:
 
         self.sp = SentencePieceProcessor(model_file=model_file)
         n = self.sp.get_piece_size()
-        pieces = [self.sp.id_to_piece(i) for i in range(n) if not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_byte(i))]
+        pieces = {self.sp.id_to_piece(i): i for i in range(n) if not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_byte(i))}
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece of this vocabulary spans words")
-        self.pieces = set(pieces)
+        self.pieces = pieces
         sizes: dict[str, set[int]] = {}
         for p in pieces:
             if len(p) > 2:
                 sizes.setdefault(p[-3:], set()).add(len(p))
         #: How long the pieces are that end with three characters, longest first; pieces of one and two characters come last.
         self.sizes = {tail: (*sorted(n, reverse=True), 2, 1) for tail, n in sizes.items()}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[str, bool] = {}
         self.cache: dict[str, bytes] = {}
 
-    def _tokens(self, marked: str) -> list[str]:
-        """The tokens of a string as it is encoded inside a text."""
-        if marked == SPACE:
-            return [SPACE]
+    def _tokens(self, marked: str) -> list[int]:
+        """The tokens of a string, longer than one mark, as it is encoded inside a text."""
         if marked[0] == SPACE:  # the library adds the first mark itself
-            return self.sp.encode(marked[1:], out_type=str)
-        return self.sp.encode("\n" + marked, out_type=str)[2:]  # the mark and the line feed join with nothing
+            return self.sp.encode(marked[1:])
+        return self.sp.encode("\n" + marked)[2:]  # the mark and the line feed join with nothing
 
     def _stay_apart(self, a: str, b: str) -> bool:
         """Whether tokens a, b (or b alone, if a is empty) are what their joined text is encoded as."""
-        key = a, b
-        if len(self.apart) > CACHE_WORDS:
+        if len(self.apart) > CACHE_PAIRS:
             self.apart.clear()
-        self.apart[key] = known = self._tokens(a + b) == ([a, b] if a else [b])
+        self.apart[f"{a}\n{b}"] = known = (marked := a + b) == SPACE or self._tokens(marked) == [self.pieces[x] for x in (a, b) if x]
         return known
 
     def _extend(self, marked: str, last: list[str], count: list[int]) -> None:
@@ -79,7 +77,7 @@ class PrefixCounter:
             for n in sizes.get(marked[i - 3 : i] if i > 2 else "", (2, 1)):
                 if (j := i - n) < 0 or (token := marked[j:i]) not in pieces:
                     continue
-                known = apart.get((last[j], token))
+                known = apart.get(f"{last[j]}\n{token}")
                 if self._stay_apart(last[j], token) if known is None else known:
                     last.append(token)
                     count.append(count[j] + 1)
@@ -102,8 +100,10 @@ class PrefixCounter:
         own, before, last, count = {}, "", [""], [0]
         for w in sorted({w for w, t in zip(words, found, strict=True) if t is None}):
             marked = SPACE + w.replace(" ", SPACE)
-            same, most = 0, min(len(before), len(marked))
-            while same < most and before[same] == marked[same]:
+            same = 0
+            for x, y in zip(before, marked, strict=False):
+                if x != y:
+                    break
                 same += 1
             del last[same + 1 :], count[same + 1 :]
             self._extend(marked, last, count)
