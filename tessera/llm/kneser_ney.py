@@ -1,31 +1,43 @@
-"""Perplexity under an interpolated modified Kneser-Ney model, as a quality classifier (operator 10)."""
+"""Perplexity under an interpolated modified Kneser-Ney model, as a quality classifier (operator 10).
+
+Model and documents both grow with the input, so no task holds the whole of
+either. Texts are packed as numbers of words; each pack asks the shards of the
+model for its distinct n-grams, and is scored with the part of the model that
+comes back. The same way packs learn which words the model knows, before the
+training texts among them are counted.
+"""
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import new_folder, saved
+from tessera.llm.common import broadcast_if_small, saved
 
-#: The model is fitted on trusted texts of about so many words in all; this bounds its size (about 5 rows of 13 bytes a word).
-MAX_TRAIN_WORDS = 2_000_000
+#: The share of trusted documents that the model is fitted on; the others are held out.
+TRAIN_SHARE = 0.8
 MIN_WORD_COUNT = 2
 #: A document is kept up to this quantile of the perplexity of held-out trusted texts in its language.
 QUANTILE = 0.995
 #: Languages with fewer held-out trusted texts take the threshold of all languages together.
 MIN_HELD_OUT = 100
 SHARDS = 16
-#: So many of the most frequent words are broadcast where trigrams meet the vocabulary.
-FREQUENT_WORDS = 1000
+#: Trusted ids are broadcast up to so many.
+MAX_TRUSTED = 1_000_000
+#: Text in a pack, and tokens of all packs to one shard of what they ask.
+PACK_BYTES, SHARD_TOKENS = 4_000_000, 8_000_000
 CACHE_WORDS = 400_000
 #: Tokens that are scored at once.
 STRETCH = 1 << 18
@@ -35,7 +47,15 @@ TOKEN = re.compile(r"\w+|[^\w\s]+")
 UNKNOWN, START = 0, 1
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 #: Kinds of model rows: log10 p of seen n-grams of order 1 to 3, log10 backoff weight of contexts of 1 and 2 words, and the unseen word.
-P1, P2, P3, B1, B2, UNSEEN = 1, 2, 3, 4, 5, 6
+P1, P2, P3, B1, B2, UNSEEN, KNOWN = 1, 2, 3, 4, 5, 6, 7
+#: What is asked together: known words first; then words, bigrams and trigrams, each with the kinds of model rows that it asks.
+ASKED = {0: (KNOWN,), 1: (P1, B1), 2: (P2, B2), 3: (P3,)}
+NONE, TRAIN, HELD = 0, 1, 2
+_Z = pa.Codec("zstd")
+_PACK = "block long, part array<int>, lang array<string>, size array<long>, words binary, codes binary"
+_ASKED = "shard int, level int, block long, n int, keys binary"
+_TOLD = "block long, kind int, shard int, n int, found binary, value binary"
+
 
 def word_id(word: str) -> int:
     """The 64-bit number of a token."""
@@ -55,50 +75,218 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, max_words: int = MAX_TRAIN_WORDS) -> DataFrame:
-    """Rows (doc_id, lang, text, part): trusted texts, part ``train`` or ``held`` (at least a fifth).
+def _squeezed(a: np.ndarray) -> bytes:
+    """The bytes of ``a``, compressed, those of one weight together."""
+    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+    return len(a).to_bytes(8, "little") + _Z.compress(raw, asbytes=True)
 
-    Trusted are documents labelled quality 1 and not toxic. Which go into
-    training is decided by a hash of the id against the share that ``max_words``
-    allows, so that reruns agree and no table meets in one task.
-    """
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    texts = docs.select("doc_id", "lang", "text").where("text is not null").join(good, "doc_id", "left_semi")
-    texts = saved(texts, "trusted")
-    words = texts.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(r"\w+|[^\w\s]+"))), F.lit(0))).first()[0]
-    share = min(0.8, max_words / max(words, 1))
-    return texts.withColumn("part", F.when(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(1_000_000)) < int(share * 1e6), "train").otherwise("held"))
 
+def _restored(z: bytes, dtype: type) -> np.ndarray:
+    n, size = int.from_bytes(z[:8], "little"), np.dtype(dtype).itemsize
+    raw = _Z.decompress(z[8:], n * size, asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).reshape(-1).view(dtype)
 
-def trigram_counts(texts: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (w1, w2, w3, n): counts of word trigrams, and how many distinct words are rare.
 
-    A text begins with two start marks. Words seen once are one unknown word.
+def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``part``: ``TRAIN`` or ``HELD`` for trusted texts, else ``NONE``.
 
-    Python only numbers the words and counts within its batch; counts are added
-    up, and joined with the vocabulary, by Spark.
+    Trusted are documents labelled quality 1 and not toxic. Of these a hash of
+    the id puts ``TRAIN_SHARE`` into training, however many there are, so that
+    reruns agree and no table meets in one task.
     """
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id", F.lit(True).alias("good")).distinct()
+    train = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(1_000_000)) < int(TRAIN_SHARE * 1e6)
+    rows = docs.join(broadcast_if_small(good, good.count(), MAX_TRUSTED), "doc_id", "left")
+    return rows.withColumn("part", F.when(F.col("good").isNull() | F.col("text").isNull(), NONE).when(train, TRAIN).otherwise(HELD)).drop("good")
+
+
+def packs(rows: DataFrame) -> DataFrame:
+    """Rows (block, doc_id, part, lang, size, words, codes): the texts of ``rows`` (doc_id, lang, text, part) in packs of about ``PACK_BYTES``, as the numbers of their distinct words and a code for each token."""
+    kind = dict(rows.dtypes)["doc_id"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, k, held = TaskContext.get().partitionId(), 0, 0
+        meta, size, codes, known = [], [], [], defaultdict(count().__next__)
+
+        def row() -> pa.RecordBatch:
+            t = pa.Table.from_batches(meta)
+            words = np.array([word_id(w) for w in known], np.uint64)
+            stream = np.concatenate([*codes, np.zeros(0, np.uint32)])
+            one = {c: pa.array([t[c].to_pylist()], pa.list_(t.schema.field(c).type)) for c in t.column_names}
+            one |= {"block": pa.array([(task << 32) + k], pa.int64()), "size": pa.array([size], pa.list_(pa.int64())), "words": pa.array([_squeezed(words)], pa.binary()), "codes": pa.array([_squeezed(stream)], pa.binary())}
+            return pa.RecordBatch.from_pydict({c: one[c] for c in ("block", "doc_id", "part", "lang", "size", "words", "codes")})
+
+        for b in batches:
+            first = 0
+            for i, text in enumerate(b["text"].to_pylist()):
+                words = TOKEN.findall((text or "").lower())
+                codes.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+                size.append(len(words))
+                held += len(text or "")
+                if held >= PACK_BYTES:
+                    meta.append(b.select(["doc_id", "part", "lang"]).slice(first, i + 1 - first))
+                    yield row()
+                    k, held, first = k + 1, 0, i + 1
+                    meta, size, codes, known = [], [], [], defaultdict(count().__next__)
+            if first < b.num_rows:
+                meta.append(b.select(["doc_id", "part", "lang"]).slice(first))
+        if size:
+            yield row()
+
+    return rows.select("doc_id", F.col("part").cast("int").alias("part"), "lang", "text").mapInArrow(of, _PACK.replace("part", f"doc_id array<{kind}>, part", 1))
+
+
+class _Pack:
+    """One pack's tokens."""
+
+    def __init__(self, r: dict):
+        self.size = np.array(r["size"], np.int64)
+        self.words, self.codes = _restored(r["words"], np.uint64), _restored(r["codes"], np.uint32)
+
+    def numbers(self, told: pa.Table, shards: int) -> np.ndarray:
+        """The numbers of the distinct words as the model knows them."""
+        keys = mixed(self.words)
+        known = _told(told, 0, np.unique(keys), shards)[KNOWN][0]
+        return np.where(np.isin(keys, known), self.words, np.uint64(UNKNOWN))
+
+    def stream(self, numbers: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
+        """The numbers of all tokens, two start marks before each text; of the texts in ``only`` where given."""
+        size, codes = self.size, self.codes
+        if only is not None:
+            codes, size = codes[np.repeat(only, size)], size[only]
+        out = np.full(len(codes) + 2 * len(size), START, np.uint64)
+        out[np.arange(len(codes)) + 2 * (np.repeat(np.arange(len(size)), size) + 1)] = numbers[codes]
+        return out
+
+    def keys(self, numbers: np.ndarray) -> dict[int, np.ndarray]:
+        """The distinct keys of words, bigrams and trigrams, in order."""
+        w = self.stream(numbers)
+        at = np.flatnonzero(w[2:] != START)
+        a, b, c = w[at], w[at + 1], w[at + 2]
+        return {1: np.unique(mixed(np.append(np.unique(numbers), np.uint64(START)))), 2: np.unique(np.append(mixed(a, b), mixed(b, c))), 3: np.unique(mixed(a, b, c))}
+
+
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of keys, so keys in order are in order of shards."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
+
+
+def _questions(block: int, keys: dict[int, np.ndarray], shards: int) -> pa.Table:
+    out: dict[str, list] = {"shard": [], "level": [], "block": [], "n": [], "keys": []}
+    for level, k in keys.items():
+        names, first = np.unique(_shard(k, shards), return_index=True)
+        for name, part in zip(names.tolist(), np.split(k, first[1:]), strict=False):
+            for c, v in zip(out, (name, level, block, len(part), _squeezed(np.diff(part, prepend=np.uint64(0)))), strict=True):
+                out[c].append(v)
+    return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)})
+
+
+def _answers(left: pa.Table, right: pa.Table) -> pa.Table:
+    """What a shard's rows (kind, key, value) say to each pack that asks it: which of its keys there are, and their values."""
+    kinds = right["kind"].to_numpy()
+    tables = {}
+    for kind in np.unique(kinds).tolist():
+        own = kinds == kind
+        key, value = right["key"].to_numpy()[own].view(np.uint64), right["value"].to_numpy()[own]
+        order = np.argsort(key, kind="stable")
+        tables[kind] = key[order], value[order]
+    out: dict[str, list] = {"block": [], "kind": [], "shard": [], "n": [], "found": [], "value": []}
+    for shard, level, block, z in zip(*(left[c].to_pylist() for c in ("shard", "level", "block", "keys")), strict=True):
+        asked = np.cumsum(_restored(z, np.uint64), dtype=np.uint64)
+        for kind in ASKED[level]:
+            if kind not in tables:
+                continue
+            key, value = tables[kind]
+            at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+            found = key[at] == asked
+            for c, v in zip(out, (block, kind, shard, len(asked), _squeezed(np.packbits(found)), _squeezed(value[at[found]])), strict=True):
+                out[c].append(v)
+    return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 2), strict=True)})
+
+
+def _told(told: pa.Table, level: int, keys: np.ndarray, shards: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The keys of ``keys``, which was asked in order, that there are, with their values, by kind."""
+    out = {}
+    shard = _shard(keys, shards)
+    for kind in ASKED[level]:
+        own = told.filter(pc.equal(told["kind"], kind))
+        ks, vs = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
+        for name, found, value in zip(*(own[c].to_pylist() for c in ("shard", "found", "value")), strict=True):
+            part = keys[np.searchsorted(shard, name) : np.searchsorted(shard, name, side="right")]
+            ks.append(part[np.unpackbits(_restored(found, np.uint8), count=len(part)).astype(bool)])
+            vs.append(_restored(value, np.float32))
+        out[kind] = np.concatenate(ks), np.concatenate(vs)
+    return out
+
+
+def _asked(questions: DataFrame, table: DataFrame, shards: int) -> DataFrame:
+    """The answers of ``table`` (kind, key, value), dealt out to shards by ranges of keys."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts: Counter = Counter()
-            for text in b.column(0).to_pylist():
-                w = _signed(np.array([START, START, *map(word_id, TOKEN.findall(text.lower()))], np.uint64)).tolist()
-                counts.update(zip(w, w[1:], w[2:], strict=False))
-            cols = list(zip(*counts, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(list(counts.values()), pa.int64())], ["w1", "w2", "w3", "n"])
-
-    raw = saved(texts.select("text").mapInArrow(of, "w1 long, w2 long, w3 long, n long"), "raw-trigrams")
-    words = saved(raw.groupBy(F.col("w3").alias("w")).agg(F.sum("n").alias("n")), "word-counts")
-    known = words.where(F.col("n") >= MIN_WORD_COUNT).select("w").unionByName(texts.sparkSession.range(START, START + 1).select(F.col("id").alias("w")))
-    # the most frequent words are known, so their rows are dealt out by the whole trigram instead of meeting in one task
-    top = words.where(F.col("n") >= MIN_WORD_COUNT).orderBy(F.desc("n"), "w").limit(FREQUENT_WORDS).select("w").unionByName(known.where(F.col("w") == START)).distinct()
-    top = saved(top.select(F.col("w").alias("f")), "frequent-words")
-    for c in ("w1", "w2", "w3"):
-        marked = raw.join(F.broadcast(top), F.col(c) == F.col("f"), "left").withColumn("key", F.when(F.col("f").isNotNull(), F.xxhash64("w1", "w2", "w3")).otherwise(F.col(c)))
-        joined = marked.join(known.withColumnRenamed("w", "k"), F.col("key") == F.col("k"), "left")
-        raw = joined.withColumn(c, F.when(F.col("f").isNotNull() | F.col("k").isNotNull(), F.col(c)).otherwise(F.lit(UNKNOWN).cast("long"))).select("w1", "w2", "w3", "n")
-    return raw.groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n")), words.where(F.col("n") < MIN_WORD_COUNT).count()
+            yield pa.RecordBatch.from_arrays([pa.array(_shard(b["key"].to_numpy().view(np.uint64), shards)), *b.columns], ["shard", *b.schema.names])
+
+    dealt = table.mapInArrow(deal, "shard int, kind int, key long, value float")
+    return questions.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_answers, _TOLD)
+
+
+def _shards(packed: DataFrame) -> int:
+    tokens = packed.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
+    return 1 + tokens // SHARD_TOKENS
+
+
+def word_counts(packed: DataFrame) -> DataFrame:
+    """Rows (w, n): the words of training texts, by number."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.select(["part", "size", "words", "codes"]).to_pylist():
+                p = _Pack(r)
+                n = np.bincount(p.codes[np.repeat(np.array(r["part"]) == TRAIN, p.size)], minlength=len(p.words))
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(p.words[at])), pa.array(n[at], pa.int64())], ["w", "n"])
+
+    return packed.mapInArrow(of, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def known_words(packed: DataFrame, words: DataFrame, shards: int) -> DataFrame:
+    """Answers to each pack, which of its words come ``MIN_WORD_COUNT`` times or more in training."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, z in zip(b["block"].to_pylist(), b["words"].to_pylist(), strict=True):
+                yield from _questions(block, {0: np.unique(mixed(_restored(z, np.uint64)))}, shards).to_batches()
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, KNOWN, np.int32)), pa.array(_signed(mixed(b["w"].to_numpy().view(np.uint64)))), pa.array(np.ones(n, np.float32))], ["kind", "key", "value"])
+
+    table = words.where(F.col("n") >= MIN_WORD_COUNT).select("w").mapInArrow(key, "kind int, key long, value float")
+    return _asked(packed.select("block", "words").mapInArrow(ask, _ASKED), table, shards)
+
+
+def trigram_counts(packed: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """Rows (w1, w2, w3, n): counts of word trigrams of training texts.
+
+    A text begins with two start marks. Words seen once are one unknown word.
+
+    Python only counts within its pack; counts are added up by Spark.
+    """
+
+    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+        cols, n = [np.zeros(0, np.uint64)] * 3, np.zeros(0, np.int64)
+        if left.num_rows:
+            r = left.to_pylist()[0]
+            p = _Pack(r)
+            w = p.stream(p.numbers(right, shards), np.array(r["part"]) == TRAIN)
+            at = np.flatnonzero(w[2:] != START)
+            _, first, n = np.unique(mixed(w[at], w[at + 1], w[at + 2]), return_index=True, return_counts=True)
+            cols = [w[at[first] + k] for k in range(3)]
+        return pa.table({f"w{k + 1}": pa.array(_signed(c)) for k, c in enumerate(cols)} | {"n": pa.array(n, pa.int64())})
+
+    some = packed.where(F.array_contains("part", TRAIN)).select("block", "part", "size", "words", "codes")
+    return some.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(of, "w1 long, w2 long, w3 long, n long").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -109,14 +297,26 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.01), k + 0.99) for k, d in enumerate(found)]
 
 
+def learned(packed: DataFrame, shards: int) -> tuple[DataFrame, DataFrame, tuple[float, float]]:
+    """What each pack has to know of the vocabulary, and the model's rows and numbers (see ``fit``) from the training texts in packs."""
+    words = saved(word_counts(packed), "word-counts")
+    known = saved(known_words(packed, words, shards), "known-words")
+    return known, *interpolated(trigram_counts(packed, known, shards), words.where(F.col("n") < MIN_WORD_COUNT).count())
+
+
 def fit(texts: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
-    """The model's rows (kind, key parts, value) from training texts, with log10 p of the unseen unknown word, and log10 of its share for one of the rare words it stands for.
+    """The model of all of ``texts`` (text), see ``interpolated``."""
+    packed = saved(packs(texts.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), "text", F.lit(TRAIN).alias("part"))), "packs")
+    return learned(packed, _shards(packed))[1:]
+
+
+def interpolated(c3: DataFrame, rare: int) -> tuple[DataFrame, tuple[float, float]]:
+    """The model's rows (kind, key parts, value) from counts of trigrams, with log10 p of the unseen unknown word, and log10 of its share for one of the rare words it stands for.
 
     Order 3 uses counts, lower orders the number of distinct words to the left
     (at the start of a text, where there are none, counts). Each order is
     interpolated with the one below by joins on the shorter n-gram.
     """
-    c3, rare = trigram_counts(texts)
     c3 = saved(c3, "trigrams")
     start = F.col("w2") == START
     c2 = saved(c3.groupBy("w2", "w3").agg(F.when(F.first("w2") == START, F.sum("n")).otherwise(F.count("*")).alias("n")), "bigrams")
@@ -177,9 +377,15 @@ class KeyTable:
 
 
 class Model:
-    """The model's shards in memory, one for each Python worker; ``MAX_TRAIN_WORDS`` bounds them."""
+    """A model in memory: one pack's part of it, as keys and values by kind, or a small one as a whole, from the files of ``save_model``."""
 
-    def __init__(self, uri: str, unseen: tuple[float, float]):
+    def __init__(self, source: str | dict[int, tuple[np.ndarray, np.ndarray]], unseen: tuple[float, float]):
+        tables = self._read(source) if isinstance(source, str) else source
+        (self.unseen, self.rare), self.words = unseen, {}
+        self.table = {k: KeyTable(*tables[k]) for k in (P1, P2, P3, B1, B2)}
+
+    @staticmethod
+    def _read(uri: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         where, path = fs.FileSystem.from_uri(uri)
         keys: dict[int, list] = {k: [] for k in (P1, P2, P3, B1, B2)}
         values: dict[int, list] = {k: [] for k in keys}
@@ -190,8 +396,7 @@ class Model:
                 for k in keys:
                     keys[k].append(t["key"].to_numpy()[kind == k].view(np.uint64))
                     values[k].append(t["value"].to_numpy()[kind == k])
-        (self.unseen, self.rare), self.words = unseen, {}
-        self.table = {k: KeyTable(np.concatenate([*keys[k], np.zeros(0, np.uint64)]), np.concatenate([*values[k], np.zeros(0, np.float32)])) for k in keys}
+        return {k: (np.concatenate([*keys[k], np.zeros(0, np.uint64)]), np.concatenate([*values[k], np.zeros(0, np.float32)])) for k in keys}
 
     def ids(self, text: str) -> np.ndarray:
         """Word numbers as the model knows them: ``UNKNOWN`` for words without a count of their own."""
@@ -230,11 +435,12 @@ class Model:
             held.append(self.ids(text or ""))
             size += len(held[-1])
             if size >= STRETCH:
-                yield from self._scored(held)
+                yield from self.scored(held)
                 held, size = [], 0
-        yield from self._scored(held)
+        yield from self.scored(held)
 
-    def _scored(self, held: list[np.ndarray]) -> Iterator[tuple[int, float | None]]:
+    def scored(self, held: list[np.ndarray]) -> Iterator[tuple[int, float | None]]:
+        """``perplexities`` of texts as numbers of words."""
         if not held:
             return
         marks = np.full(2, START, np.uint64)
@@ -247,11 +453,8 @@ class Model:
             at += n + 2
 
 
-_MODELS: dict[str, Model] = {}
-
-
-def save_model(rows: DataFrame, path: str) -> str:
-    """Writes the model's rows as ``SHARDS`` Parquet shards by key; word runs become one 64-bit key."""
+def _keyed(rows: DataFrame) -> DataFrame:
+    """The model's rows as (kind, key, value): word runs become one 64-bit key."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -260,28 +463,46 @@ def save_model(rows: DataFrame, path: str) -> str:
             key = np.where(np.isin(kind, (P1, B1)), mixed(k[0]), np.where(np.isin(kind, (P2, B2)), mixed(k[0], k[1]), mixed(*k)))
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(_signed(key)), b.column("value").cast(pa.float32())], ["kind", "key", "value"])
 
-    rows.repartition(SHARDS, "kind", "k0", "k1", "k2").mapInArrow(of, "kind int, key long, value float").write.parquet(path)
-    return path
-
-
-def scores(texts: DataFrame, model: str, unseen: tuple[float, float]) -> DataFrame:
-    """``texts`` (doc_id, lang, text, ...) without text, with n_tokens and perplexity, by look-up of each n-gram in the model's tables."""
-    others = [c for c in texts.columns if c != "text"]
-    schema = ", ".join(f"`{c}` {dict(texts.dtypes)[c]}" for c in others) + ", n_tokens long, perplexity double"
+    return rows.mapInArrow(of, "kind int, key long, value float")
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model not in _MODELS:
-            _MODELS.clear()
-            _MODELS[model] = Model(model, unseen)
-        m = _MODELS[model]
-        for b in batches:
-            found = list(m.perplexities(b.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), pa.array([n for n, _ in found], pa.int64()), pa.array([p for _, p in found], pa.float64())], [*others, "n_tokens", "perplexity"])
 
-    return texts.mapInArrow(of, schema)
+def save_model(rows: DataFrame, path: str) -> str:
+    """Writes the model's rows as ``SHARDS`` Parquet shards by key."""
+    _keyed(rows.repartition(SHARDS, "kind", "k0", "k1", "k2")).write.parquet(path)
+    return path
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train_words: int = MAX_TRAIN_WORDS, quantile: float = QUANTILE) -> DataFrame:
+def scores(packed: DataFrame, known: DataFrame, rows: DataFrame, unseen: tuple[float, float], shards: int) -> DataFrame:
+    """Rows (doc_id, lang, part, n_tokens, perplexity), one for each text of ``packed``: each pack's distinct n-grams are looked up in the model's shards."""
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _questions(0, {}, shards)
+        r = left.to_pylist()[0]
+        p = _Pack(r)
+        return _questions(r["block"], p.keys(p.numbers(right, shards)), shards)
+
+    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in zip(names, (left.schema.field("doc_id").type.value_type, pa.string(), pa.int32(), pa.int64(), pa.float64()), strict=True)})
+        p = _Pack(left.select(["size", "words", "codes"]).to_pylist()[0])
+        numbers = p.numbers(right, shards)
+        tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for level, keys in p.keys(numbers).items():
+            tables |= _told(right, level, keys, shards)
+        ids = np.split(numbers[p.codes], np.cumsum(p.size)[:-1])
+        found = list(Model(tables, unseen).scored(ids))
+        meta = [left[c].combine_chunks().flatten() for c in names[:3]]
+        return pa.table([*meta, pa.array([n for n, _ in found], pa.int64()), pa.array([x for _, x in found], pa.float64())], names)
+
+    names = ["doc_id", "lang", "part", "n_tokens", "perplexity"]
+    asked = packed.select("block", "size", "words", "codes").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask, _ASKED)
+    told = saved(_asked(asked, _keyed(rows), shards), "answers").unionByName(known)
+    kind = dict(packed.dtypes)["doc_id"][len("array<") : -1]
+    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(of, f"doc_id {kind}, lang string, part int, n_tokens long, perplexity double")
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Rows (doc_id, lang, n_tokens, perplexity, threshold, kept), one per row of ``docs``.
 
     ``kept`` is true up to the threshold of the document's language. Texts that
@@ -293,13 +514,13 @@ def classify(docs: DataFrame, labels: DataFrame, max_train_words: int = MAX_TRAI
     without an id count for none; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    texts = trusted_texts(rows, labels, max_train_words)
-    model_rows, unseen = fit(texts.where("part = 'train'"))
-    model = save_model(model_rows, new_folder(docs.sparkSession, "kneser-ney"))
-    held = saved(scores(texts.where("part = 'held'").select("lang", "text"), model, unseen).where("perplexity is not null"), "held-out")
+    packed = saved(packs(trusted(rows, labels)), "packs")
+    shards = _shards(packed)
+    known, model, unseen = learned(packed, shards)
+    scored = saved(scores(packed, known, model, unseen, shards), "scores")
+    held = scored.where((F.col("part") == HELD) & F.col("perplexity").isNotNull())
     per = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n"))
     per = saved(per.where(f"n >= {MIN_HELD_OUT} and lang is not null").select(F.col("lang").alias("t_lang"), "threshold").unionByName(held.agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")).select(F.lit(None).cast("string").alias("t_lang"), "threshold")), "thresholds")
     everywhere = per.where("t_lang is null").first()["threshold"]
-    scored = scores(rows, model, unseen)
     out = scored.join(per.where("t_lang is not null"), F.col("lang") == F.col("t_lang"), "left").withColumn("threshold", F.coalesce("threshold", F.lit(everywhere).cast("double")))
     return out.select("doc_id", "lang", "n_tokens", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.col("perplexity").isNotNull()).alias("kept"))

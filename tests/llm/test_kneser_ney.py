@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import kneser_ney as kn
 
@@ -92,3 +93,29 @@ def test_odd_rows(spark):
     none = kn.classify(odd(spark), labels.limit(0)).collect()
     assert all(r.kept == (r.n_tokens > 0) for r in none)
     assert kn.classify(empty(spark), labels).count() == 0
+
+
+def test_all_trusted_texts_are_learnt(spark):
+    """Of 3 million words of trusted texts four fifths are learnt: the words of so many texts are known."""
+    text = F.concat_ws(" ", F.array_repeat(F.lit("so it goes on and on"), 500), F.array_repeat(F.concat(F.lit("w"), "doc_id"), 100))
+    docs = spark.range(0, 1000, 1, 4).select(F.col("id").alias("doc_id")).select("doc_id", F.lit("en").alias("lang"), text.alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = [r.perplexity for r in kn.classify(docs, labels).collect()]
+    known = sum(p < (min(got) + max(got)) / 2 for p in got)
+    assert len(got) == 1000 and 760 <= known <= 840, known
+
+
+def test_packs_and_shards_do_not_matter(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet").limit(300), spark.read.parquet(f"{d}/labels.parquet")
+    want = {r.doc_id: r for r in kn.classify(docs.coalesce(1), labels).collect()}
+    whole = kn.SHARD_TOKENS
+    try:
+        kn.SHARD_TOKENS = 3000
+        got = kn.classify(docs.repartition(7), labels).collect()
+    finally:
+        kn.SHARD_TOKENS = whole
+    assert len(got) == len(want) == 300
+    for r in got:
+        x = want[r.doc_id]
+        assert (r.n_tokens, r.kept) == (x.n_tokens, x.kept) and math.isclose(r.perplexity or 0, x.perplexity or 0, rel_tol=1e-5)
