@@ -91,3 +91,21 @@ def test_many_blocks(spark):
         assert digests(rb.without_repeats(docs, hot=hot)) == brute(rows)
     wide = 20
     assert digests(rb.without_repeats(docs, width=wide)) == brute(rows, wide)
+
+
+def test_common_anchors_make_few_rows(spark):
+    """Around an anchor that every text has, texts differ: their windows don't become rows, and a repeated one among them is found."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    common, again = "\x01\x02\x03 common anchor \x03\x02\x01", word(60)
+    rows = [(i, "".join(word(60) + common for _ in range(6)) + (again + common if i in (7, 300) else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made, whole = [], rb.saved
+    rb.saved = lambda df, name: made.append((name, whole(df, name))) or made[-1][1]
+    try:
+        got = digests(rb.without_repeats(docs, hot=50))
+    finally:
+        rb.saved = whole
+    assert got == brute(rows) and next(r[2] for r in got if r[0] == 300) >= 60
+    assert sum(df.count() for name, df in made if name == "hot-windows") < 1000
