@@ -4,15 +4,17 @@ Each word is the first of one window of ``longest`` words, padded where its
 piece of text ends. Only these windows are counted, once for all orders: a
 ROLLUP over the windows' columns sums them over ever shorter prefixes, and the
 sum of a prefix without padding is the count of that phrase. No shorter n-grams
-are made from the text.
+are made from the text for it.
 
 Windows also end before what no candidate can hold: a word, or two successive
 words, seen less than ``least`` times, since a phrase is never more frequent
 than its parts. Both sets are small (at most one in ``least`` of the words can
 be the first of its kind to count) and go to the workers as dictionaries where
-they are within ``MAX_WORDS`` and ``MAX_PAIRS``; beyond, the windows are whole
-and words go by numbers of 64 bits that are proven to be distinct. The result
-is the same.
+they are within ``MAX_WORDS`` and ``MAX_PAIRS``. Words and pairs have been
+counted for the dictionaries, so a window of one word or two tells nothing new:
+only windows of three words and more become rows, and the ROLLUP goes down to
+three. Beyond these bounds, windows are whole, whatever their size, and words go
+by numbers of 64 bits that are proven to be distinct. The result is the same.
 """
 
 from __future__ import annotations
@@ -103,10 +105,10 @@ class Dictionary:
 
 
 def vocabulary(counts: DataFrame, least: int, limit: int) -> tuple[DataFrame, Dictionary]:
-    """Rows (id, lang, word) of the words seen ``least`` times or more, and their dictionary for the workers."""
+    """Rows (id, lang, word, f) of the words seen ``least`` times or more, and their dictionary for the workers."""
     spark, often = counts.sparkSession, counts.where(F.col("f") >= least)
     if often.count() <= limit:
-        ranked = global_rank(often, [F.desc("f"), F.col("lang"), F.col("word")], "id").select((F.col("id") - 1).alias("id"), "lang", "word")
+        ranked = global_rank(often, [F.desc("f"), F.col("lang"), F.col("word")], "id").select((F.col("id") - 1).alias("id"), "lang", "word", "f")
         known = saved(ranked, "vocabulary")
         t = known.toArrow()
         return known, Dictionary(spark.sparkContext.broadcast(tuple(t[c].combine_chunks() for c in ("id", "lang", "word"))), None)
@@ -120,7 +122,7 @@ def vocabulary(counts: DataFrame, least: int, limit: int) -> tuple[DataFrame, Di
 
         named = saved(counts.select("lang", "word", "f").mapInArrow(name, "id long, lang string, word string, f long"), "vocabulary")
         if named.select("id").distinct().count() == n:  # no two words share a number
-            return named.where(F.col("f") >= least).select("id", "lang", "word"), Dictionary(None, seed)
+            return named.where(F.col("f") >= least), Dictionary(None, seed)
         seed += 1
 
 
@@ -129,9 +131,9 @@ def _pack(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def frequent_pairs(docs: DataFrame, known: Dictionary, least: int, limit: int):
-    """The pairs of successive words seen ``least`` times or more, packed and in order, for the workers; None if words have no small numbers or the pairs are too many."""
+    """Rows (pair, c) of the pairs of successive words seen ``least`` times or more, packed, and the same pairs in order for the workers; None twice if words have no small numbers or the pairs are too many."""
     if known.seed is not None:
-        return None
+        return None, None
 
     def count(batches: Batches) -> Batches:
         for lang, codes, words in _by_language(batches):
@@ -141,27 +143,15 @@ def frequent_pairs(docs: DataFrame, known: Dictionary, least: int, limit: int):
             pair, c = np.unique(_pack(a[ok], b[ok]), return_counts=True)
             yield pa.RecordBatch.from_pydict({"pair": pa.array(pair, pa.int64()), "c": pa.array(c, pa.int64())})
 
-    often = docs.mapInArrow(count, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("pair")
+    often = docs.mapInArrow(count, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
     often = saved(often, "pairs")
     if often.count() > limit:
-        return None
-    return docs.sparkSession.sparkContext.broadcast(np.sort(often.toArrow()["pair"].to_numpy()))
+        return None, None
+    return often, docs.sparkSession.sparkContext.broadcast(np.sort(often.select("pair").toArrow()["pair"].to_numpy()))
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of ``columns``, and how often each comes."""
-    n = len(columns[0])
-    if not n:
-        return columns, np.zeros(0, np.int64)
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(n, bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    first = np.flatnonzero(new)
-    return [c[first] for c in columns], np.diff(np.append(first, n))
-
-
-def _windows(longest: int, known: Dictionary, pairs) -> Callable[[Batches], Batches]:
+def _windows(longest: int, shortest: int, known: Dictionary, pairs) -> Callable[[Batches], Batches]:
+    """Windows of ``shortest`` words and more, a row each; Spark counts them, combined before the shuffle."""
     names = [f"w{k + 1}" for k in range(longest)]
 
     def work(batches: Batches) -> Batches:
@@ -176,26 +166,40 @@ def _windows(longest: int, known: Dictionary, pairs) -> Callable[[Batches], Batc
                 place = np.searchsorted(often, packed)
                 on[at] = often[np.minimum(place, len(often) - 1)] == packed if len(often) else False
             starts = np.flatnonzero(ids >= 0)
+            for k in range(shortest - 1):
+                starts = starts[on[starts + k]]
             lead, go = [ids[starts]], np.ones(len(starts), bool)
             for k in range(1, longest):
                 at = np.minimum(starts + k, len(ids) - 1)
                 go &= on[at - 1] & (starts + k < len(ids))
                 lead.append(np.where(go, ids[at], PAD))
-            alone = lead[1] == PAD if longest > 1 else np.ones(len(starts), bool)
-            for part in (alone, ~alone):
-                rows, c = _counted([w[part] for w in lead])
-                yield pa.RecordBatch.from_pydict({n: pa.array(w, pa.int64()) for n, w in zip(names, rows, strict=True)} | {"c": pa.array(c, pa.int64())})
+            yield pa.RecordBatch.from_pydict({n: pa.array(w, pa.int64()) for n, w in zip(names, lead, strict=True)})
 
     return work
 
 
-def phrases(docs: DataFrame, known: Dictionary, pairs, least: int, longest: int) -> DataFrame:
+def windows(docs: DataFrame, known: Dictionary, pairs, longest: int, shortest: int) -> DataFrame:
+    """Rows (w1, w2, ...): the windows of ``shortest`` words and more."""
+    return docs.mapInArrow(_windows(longest, shortest, known, pairs), ", ".join(f"w{k + 1} long" for k in range(longest)))
+
+
+def phrases(docs: DataFrame, words: DataFrame, known: Dictionary, often: DataFrame | None, pairs, least: int, longest: int) -> DataFrame:
     """Rows (p, f): phrases of 1 to ``longest`` word numbers that come ``least`` times or more."""
+    shortest = 1 if often is None else 3
     names = [f"w{k + 1}" for k in range(longest)]
-    windows = docs.mapInArrow(_windows(longest, known, pairs), ", ".join(f"{n} long" for n in names) + ", c long")
-    sums = windows.rollup(*names).agg(F.sum("c").alias("f")).where((F.col("f") >= least) & F.col("w1").isNotNull())
-    last = F.coalesce(*[F.col(n) for n in reversed(names)])
-    return sums.where(last != PAD).select(F.filter(F.array(*names), lambda w: w.isNotNull()).alias("p"), "f")
+    found = None
+    if often is not None:
+        found = words.select(F.array("id").alias("p"), "f")
+        if longest > 1:
+            two = F.array(F.shiftright("pair", 32), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
+            found = found.unionByName(often.select(two.alias("p"), F.col("c").alias("f")))
+    if longest < shortest:
+        return found
+    rows = windows(docs, known, pairs, longest, shortest).select(F.struct(*names[:shortest]).alias("head"), *names[shortest:])
+    sums = rows.rollup("head", *names[shortest:]).agg(F.count("*").alias("f")).where((F.col("f") >= least) & F.col("head").isNotNull())
+    columns = [*[F.col(f"head.{n}") for n in names[:shortest]], *[F.col(n) for n in names[shortest:]]]
+    sums = sums.where(F.coalesce(*reversed(columns)) != PAD).select(F.filter(F.array(*columns), lambda w: w.isNotNull()).alias("p"), "f")
+    return sums if found is None else found.unionByName(sums)
 
 
 def _parts(p: str, at: str, n: str) -> F.Column:
@@ -213,8 +217,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     docs = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counts = saved(word_counts(docs), "word-counts")
     words, known = vocabulary(counts, least, max_words)
-    pairs = frequent_pairs(docs, known, least, max_pairs)
-    found = saved(phrases(docs, known, pairs, least, longest), "phrases")
+    often, pairs = frequent_pairs(docs, known, least, max_pairs)
+    found = saved(phrases(docs, words, known, often, pairs, least, longest), "phrases")
     n_words = words.count()
 
     candidates = found.where(F.size("p") > 1)
@@ -227,7 +231,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     cuts = kept.select("p", "a", F.explode(F.expr("sequence(1, size(p) - 1)")).alias("k"))
     cuts = cuts.select("p", "a", "k", _parts("p", "1", "k").alias("first"), _parts("p", "k + 1", "size(p) - k").alias("rest"))
     cuts = cuts.join(found.select(F.col("p").alias("first"), F.col("f").alias("l")), "first").join(found.select(F.col("p").alias("rest"), F.col("f").alias("r")), "rest")
-    spoken = kept.select("p", F.posexplode("p").alias("i", "id")).join(broadcast_if_small(words, n_words, 200_000), "id")
+    spoken = kept.select("p", F.posexplode("p").alias("i", "id")).join(broadcast_if_small(words.drop("f"), n_words, 200_000), "id")
     spoken = spoken.groupBy("p").agg(F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda s: s["word"])).alias("phrase"), F.first("lang").alias("lang"))
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     scored = cuts.join(spoken, "p").join(totals, "lang")

@@ -63,3 +63,21 @@ def test_exact_beyond_64_bits(spark):
     row = spark.createDataFrame([(a, n, le, r)], "a long, n long, l long, r long")
     got = row.select(F.expr("cast((cast(1000 as decimal(38, 0)) * a * n) div (cast(l as decimal(38, 0)) * r) as bigint)")).first()[0]
     assert got == 1000 * a * n // (le * r)
+
+
+def test_rows_of_windows(spark):
+    """Words and pairs that the dictionaries have counted make no rows; the rows of windows grow as the text."""
+    text = "a b x1 b c. x2 a b, c d e f! g h x3"
+    rows = [("en", text.replace("x", f"x{k}")) for k in range(20)]
+    made = []
+    for times in (1, 5):
+        docs = spark.createDataFrame(rows * times, "lang string, text string").coalesce(1)
+        _, known = co.vocabulary(co.word_counts(docs), 10, 1000)
+        often, pairs = co.frequent_pairs(docs, known, 10, 1000)
+        assert often.count() == 6
+        made.append(co.windows(docs, known, pairs, 5, 3).count())
+        assert plain(co.collocations(docs, least=10)) == brute(rows * times, 10)
+    assert made == [40, 200]  # c d e f and d e f, where there were rows of one word and of two as well
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    for longest in (1, 2, 3):
+        assert plain(co.collocations(docs, least=10, longest=longest)) == brute(rows, 10, longest)
