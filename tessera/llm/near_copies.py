@@ -137,10 +137,11 @@ def _simhash_pairs(contents: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, r1, r2, root), one for each row of ``keyed`` documents."""
     rows = docs.select(F.col("row.doc_id").cast("long").alias("doc_id"), "r1", "r2", F.col("row.text").cast("string").alias("text"))
-    found = saved(_prefixes(rows), "prefixes")
-    contents = saved(found.groupBy("content").agg(F.min("r1").alias("first_r1"), F.min("size").alias("size"), F.min("rank").alias("rank"), F.min("fp").alias("fp"), F.first("prefix").alias("prefix")), "contents")
+    found = saved(_prefixes(rows).withColumn("number", F.monotonically_increasing_id()), "prefixes")
+    contents = saved(found.groupBy("content").agg(F.min("r1").alias("first_r1"), F.min("number").alias("number"), F.min("fp").alias("fp")), "contents")
+    firsts = found.join(broadcast_if_small(contents.select("number"), contents.count(), MAX_IDS), "number", "left_semi")  # prefixes, the largest part, are written once
     bucket = Window.partitionBy("s")
-    entries = contents.select("content", "size", "rank", F.posexplode("prefix").alias("at", "s")).select("s", "content", "rank", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("size")).alias("place"))
+    entries = firsts.select("content", "size", "rank", F.posexplode("prefix").alias("at", "s")).select("s", "content", "rank", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("size")).alias("place"))
     members = entries.withColumn("hub", F.min(F.struct("rank", "content", "place")).over(bucket)).withColumn("n", F.count("*").over(bucket))
     members = saved(members.where("n > 1").select("s", "content", "place", F.col("hub.content").alias("hub"), F.col("hub.place").alias("hub_place")), "buckets")
     hubs = most_met(members.where(may_be_similar(F.col("place"), F.col("hub_place"))).select("content", "hub"))

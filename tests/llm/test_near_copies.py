@@ -95,3 +95,12 @@ def test_simhash_brings_pairs(spark, monkeypatch):
     monkeypatch.setattr(near_copies.simhash, "links", lambda fps: seen.append(fps.count()) or links(fps))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert plain(near_copies.near_copies(docs)) == brute(rows) and seen
+
+
+def test_prefixes_are_written_once(spark, monkeypatch):
+    """Rows that are equal in every column are one content, and prefixes go to no second table."""
+    rows = [(1, PASSAGE)] * 3 + [(2, PASSAGE), (3, PASSAGE + " and more"), (4, "another text"), (4, "another text")]
+    seen, save = [], near_copies.saved
+    monkeypatch.setattr(near_copies, "saved", lambda df, name: seen.append((name, df.columns)) or save(df, name))
+    assert plain(near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert [name for name, columns in seen if "prefix" in columns] == ["prefixes"]
