@@ -1,30 +1,37 @@
 """Perplexity under an interpolated modified Kneser-Ney model, as a quality classifier (operator 10).
 
 Model and documents both grow with the input, so no task holds the whole of
-either. Texts are packed as numbers of words; each pack asks the shards of the
-model for its distinct n-grams, and is scored with the part of the model that
-comes back. The same way packs learn which words the model knows, before the
-training texts among them are counted.
+either. Texts are packs of word numbers; a pack sends its distinct trigrams,
+each with its count in training texts, to shards by their middle word. There a
+trigram's counts, those of its bigram and of both contexts meet, since they all
+share that word, and the pack gets them back: whole numbers, small ones mostly,
+from which it works out probabilities. No model is written. Packs lie in
+buckets, so they are never shuffled themselves.
+
+``fit`` makes the same model as a table of its own, to be kept for later texts.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import broadcast_if_small, saved
+from tessera.llm.common import broadcast_if_small, new_folder, saved
+from tessera.operators.ranking import global_rank
 
 #: The share of trusted documents that the model is fitted on; the others are held out.
 TRAIN_SHARE = 0.8
@@ -36,8 +43,14 @@ MIN_HELD_OUT = 100
 SHARDS = 16
 #: Trusted ids are broadcast up to so many.
 MAX_TRUSTED = 1_000_000
+#: Known words are sent to the workers up to so many; beyond, packs ask for theirs by joins.
+MAX_WORDS = 1_000_000
 #: Text in a pack, and tokens of all packs to one shard of what they ask.
 PACK_BYTES, SHARD_TOKENS = 4_000_000, 8_000_000
+#: Packs ask in so many rounds, each time a part of the shards, so that only these questions lie on disk.
+ROUNDS = 2
+#: Texts that a task has in Python at once.
+SLICE = 1024
 CACHE_WORDS = 400_000
 #: Tokens that are scored at once.
 STRETCH = 1 << 18
@@ -46,15 +59,15 @@ STRETCH = 1 << 18
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 UNKNOWN, START = 0, 1
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-#: Kinds of model rows: log10 p of seen n-grams of order 1 to 3, log10 backoff weight of contexts of 1 and 2 words, and the unseen word.
-P1, P2, P3, B1, B2, UNSEEN, KNOWN = 1, 2, 3, 4, 5, 6, 7
-#: What is asked together: known words first; then words, bigrams and trigrams, each with the kinds of model rows that it asks.
-ASKED = {0: (KNOWN,), 1: (P1, B1), 2: (P2, B2), 3: (P3,)}
+#: Kinds of model rows: log10 p of seen n-grams of order 1 to 3, and log10 backoff weight of contexts of 1 and 2 words.
+P1, P2, P3, B1, B2 = 1, 2, 3, 4, 5
 NONE, TRAIN, HELD = 0, 1, 2
 _Z = pa.Codec("zstd")
-_PACK = "block long, part array<int>, lang array<string>, size array<long>, words binary, codes binary"
-_ASKED = "shard int, level int, block long, n int, keys binary"
-_TOLD = "block long, kind int, shard int, n int, found binary, value binary"
+_LOW = np.uint64(0xFFFFFFFF)
+_WORD, _SHORT = np.uint64(32), np.uint64(21)
+_PACK = "block long, part array<int>, lang array<string>, size array<long>, "
+_ASKED = "shard int, block long, b binary, c binary, many binary, a binary, n binary, more binary"
+_TOLD = "block long, shard int, n3 binary, n2 binary, t3 binary, t2 binary, of_counts array<long>, id array<long>, n array<long>"
 
 
 def word_id(word: str) -> int:
@@ -100,214 +113,165 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.withColumn("part", F.when(F.col("good").isNull() | F.col("text").isNull(), NONE).when(train, TRAIN).otherwise(HELD)).drop("good")
 
 
-def packs(rows: DataFrame) -> DataFrame:
-    """Rows (block, doc_id, part, lang, size, words, codes): the texts of ``rows`` (doc_id, lang, text, part) in packs of about ``PACK_BYTES``, as the numbers of their distinct words and a code for each token."""
-    kind = dict(rows.dtypes)["doc_id"]
+def _pack_schema(kind: str, rest: str) -> str:
+    return _PACK.replace("part", f"doc_id array<{kind}>, part", 1) + rest
+
+
+def _ids(words: np.ndarray, codes: np.ndarray, size: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> tuple[bytes, list[int], list[int]]:
+    """The tokens of a pack as the ids of their words (``keys``, in order, with ``ids``), ``UNKNOWN`` for others, and those that are a thousandth of all and more, start marks included, with their counts."""
+    own = np.full(len(words), UNKNOWN, np.uint64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+        own = np.where(keys[at] == words, ids[at], own)
+    n = np.bincount(codes, minlength=len(words))
+    often, which = np.unique(np.append(own, np.uint64(START)), return_inverse=True)
+    n = np.bincount(which, np.append(n, 2 * len(size))).astype(np.int64)
+    common = np.flatnonzero(n * 1000 >= n.sum())
+    return _squeezed(own[codes]), _signed(often[common]).tolist(), n[common].tolist()
+
+
+def _packed(rows: DataFrame, made: Callable[[dict, np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``made`` makes of the texts of ``rows`` (doc_id, lang, text, part) in packs of about ``PACK_BYTES``: of a pack's columns, its distinct words by number, and the place among them of each token."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, k, held = TaskContext.get().partitionId(), 0, 0
-        meta, size, codes, known = [], [], [], defaultdict(count().__next__)
+        meta, size, codes, seen = [], [], [], defaultdict(count().__next__)
 
         def row() -> pa.RecordBatch:
             t = pa.Table.from_batches(meta)
-            words = np.array([word_id(w) for w in known], np.uint64)
-            stream = np.concatenate([*codes, np.zeros(0, np.uint32)])
-            one = {c: pa.array([t[c].to_pylist()], pa.list_(t.schema.field(c).type)) for c in t.column_names}
-            one |= {"block": pa.array([(task << 32) + k], pa.int64()), "size": pa.array([size], pa.list_(pa.int64())), "words": pa.array([_squeezed(words)], pa.binary()), "codes": pa.array([_squeezed(stream)], pa.binary())}
-            return pa.RecordBatch.from_pydict({c: one[c] for c in ("block", "doc_id", "part", "lang", "size", "words", "codes")})
+            one = {"block": pa.array([(task << 32) + k], pa.int64())}
+            one |= {c: pa.array([t[c].to_pylist()], pa.list_(t.schema.field(c).type)) for c in t.column_names}
+            one |= {"size": pa.array([size], pa.list_(pa.int64()))}
+            return made(one, np.array([word_id(w) for w in seen], np.uint64), np.concatenate([*codes, np.zeros(0, np.uint32)]))
 
-        for b in batches:
+        for b in (x.slice(at, SLICE) for x in batches for at in range(0, x.num_rows, SLICE)):
             first = 0
             for i, text in enumerate(b["text"].to_pylist()):
                 words = TOKEN.findall((text or "").lower())
-                codes.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+                codes.append(np.fromiter(map(seen.__getitem__, words), np.uint32, len(words)))
                 size.append(len(words))
                 held += len(text or "")
                 if held >= PACK_BYTES:
                     meta.append(b.select(["doc_id", "part", "lang"]).slice(first, i + 1 - first))
                     yield row()
                     k, held, first = k + 1, 0, i + 1
-                    meta, size, codes, known = [], [], [], defaultdict(count().__next__)
+                    meta, size, codes, seen = [], [], [], defaultdict(count().__next__)
             if first < b.num_rows:
                 meta.append(b.select(["doc_id", "part", "lang"]).slice(first))
         if size:
             yield row()
 
-    return rows.select("doc_id", F.col("part").cast("int").alias("part"), "lang", "text").mapInArrow(of, _PACK.replace("part", f"doc_id array<{kind}>, part", 1))
-
-
-class _Pack:
-    """One pack's tokens."""
-
-    def __init__(self, r: dict):
-        self.size = np.array(r["size"], np.int64)
-        self.words, self.codes = _restored(r["words"], np.uint64), _restored(r["codes"], np.uint32)
+    return rows.select("doc_id", F.col("part").cast("int").alias("part"), "lang", "text").mapInArrow(of, schema)
 
-    def numbers(self, told: pa.Table, shards: int) -> np.ndarray:
-        """The numbers of the distinct words as the model knows them."""
-        keys = mixed(self.words)
-        known = _told(told, 0, np.unique(keys), shards)[KNOWN][0]
-        return np.where(np.isin(keys, known), self.words, np.uint64(UNKNOWN))
 
-    def stream(self, numbers: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
-        """The numbers of all tokens, two start marks before each text; of the texts in ``only`` where given."""
-        size, codes = self.size, self.codes
-        if only is not None:
-            codes, size = codes[np.repeat(only, size)], size[only]
-        out = np.full(len(codes) + 2 * len(size), START, np.uint64)
-        out[np.arange(len(codes)) + 2 * (np.repeat(np.arange(len(size)), size) + 1)] = numbers[codes]
-        return out
+def word_counts(rows: DataFrame) -> DataFrame:
+    """Rows (w, n): the words of all texts of ``rows``, by number."""
 
-    def keys(self, numbers: np.ndarray) -> dict[int, np.ndarray]:
-        """The distinct keys of words, bigrams and trigrams, in order."""
-        w = self.stream(numbers)
-        at = np.flatnonzero(w[2:] != START)
-        a, b, c = w[at], w[at + 1], w[at + 2]
-        return {1: np.unique(mixed(np.append(np.unique(numbers), np.uint64(START)))), 2: np.unique(np.append(mixed(a, b), mixed(b, c))), 3: np.unique(mixed(a, b, c))}
-
-
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shards are ranges of keys, so keys in order are in order of shards."""
-    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
-
-
-def _questions(block: int, keys: dict[int, np.ndarray], shards: int) -> pa.Table:
-    out: dict[str, list] = {"shard": [], "level": [], "block": [], "n": [], "keys": []}
-    for level, k in keys.items():
-        names, first = np.unique(_shard(k, shards), return_index=True)
-        for name, part in zip(names.tolist(), np.split(k, first[1:]), strict=False):
-            for c, v in zip(out, (name, level, block, len(part), _squeezed(np.diff(part, prepend=np.uint64(0)))), strict=True):
-                out[c].append(v)
-    return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)})
-
-
-def _answers(left: pa.Table, right: pa.Table) -> pa.Table:
-    """What a shard's rows (kind, key, value) say to each pack that asks it: which of its keys there are, and their values."""
-    kinds = right["kind"].to_numpy()
-    tables = {}
-    for kind in np.unique(kinds).tolist():
-        own = kinds == kind
-        key, value = right["key"].to_numpy()[own].view(np.uint64), right["value"].to_numpy()[own]
-        order = np.argsort(key, kind="stable")
-        tables[kind] = key[order], value[order]
-    out: dict[str, list] = {"block": [], "kind": [], "shard": [], "n": [], "found": [], "value": []}
-    for shard, level, block, z in zip(*(left[c].to_pylist() for c in ("shard", "level", "block", "keys")), strict=True):
-        asked = np.cumsum(_restored(z, np.uint64), dtype=np.uint64)
-        for kind in ASKED[level]:
-            if kind not in tables:
-                continue
-            key, value = tables[kind]
-            at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
-            found = key[at] == asked
-            for c, v in zip(out, (block, kind, shard, len(asked), _squeezed(np.packbits(found)), _squeezed(value[at[found]])), strict=True):
-                out[c].append(v)
-    return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 2), strict=True)})
-
-
-def _told(told: pa.Table, level: int, keys: np.ndarray, shards: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """The keys of ``keys``, which was asked in order, that there are, with their values, by kind."""
-    out = {}
-    shard = _shard(keys, shards)
-    for kind in ASKED[level]:
-        own = told.filter(pc.equal(told["kind"], kind))
-        ks, vs = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
-        for name, found, value in zip(*(own[c].to_pylist() for c in ("shard", "found", "value")), strict=True):
-            part = keys[np.searchsorted(shard, name) : np.searchsorted(shard, name, side="right")]
-            ks.append(part[np.unpackbits(_restored(found, np.uint8), count=len(part)).astype(bool)])
-            vs.append(_restored(value, np.float32))
-        out[kind] = np.concatenate(ks), np.concatenate(vs)
-    return out
+    def made(pack: dict, words: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(_signed(words)), pa.array(np.bincount(codes, minlength=len(words)), pa.int64())], ["w", "n"])
 
+    return _packed(rows, made, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
-def _asked(questions: DataFrame, table: DataFrame, shards: int) -> DataFrame:
-    """The answers of ``table`` (kind, key, value), dealt out to shards by ranges of keys."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_shard(b["key"].to_numpy().view(np.uint64), shards)), *b.columns], ["shard", *b.schema.names])
+def learnt_words(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (w, n) for the words that come ``MIN_WORD_COUNT`` times or more, and how many others there are."""
+    known = F.when(F.col("n") >= MIN_WORD_COUNT, F.col("w"))
+    words = saved(word_counts(rows).groupBy(known.alias("w")).agg(F.sum("n").alias("n"), F.count("*").alias("words")), "words")
+    rare = words.where("w is null").first()
+    return words.where("w is not null").select("w", "n"), rare["words"] if rare else 0
 
-    dealt = table.mapInArrow(deal, "shard int, kind int, key long, value float")
-    return questions.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_answers, _TOLD)
 
+def numbered(rows: DataFrame, known: DataFrame, size: int) -> DataFrame:
+    """Rows (block, doc_id, part, lang, size, ids, common, times): the texts of ``rows`` (doc_id, lang, text, part) in packs, their tokens as the ids of the ``size`` words in ``known`` (w, id), and the ids that are common with their counts."""
+    spark, lists = rows.sparkSession, pa.list_(pa.int64())
+    kind = dict(rows.dtypes)["doc_id"]
+    schema = _pack_schema(kind, "ids binary, common array<long>, times array<long>")
+    if size <= MAX_WORDS:
+        t = known.toArrow()
+        keys, ids = (t[c].to_numpy().view(np.uint64) for c in ("w", "id"))
+        order = np.argsort(keys)
+        sent = spark.sparkContext.broadcast((keys[order], ids[order].astype(np.uint32 if size and ids.max() <= _LOW else np.uint64)))
 
-def _shards(packed: DataFrame) -> int:
-    tokens = packed.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
-    return 1 + tokens // SHARD_TOKENS
+        def made(pack: dict, words: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+            ids, common, times = _ids(words, codes, pack["size"].values.to_numpy(), *sent.value)
+            return pa.RecordBatch.from_pydict(pack | {"ids": pa.array([ids], pa.binary()), "common": pa.array([common], lists), "times": pa.array([times], lists)})
 
+        return _packed(rows, made, schema)
 
-def word_counts(packed: DataFrame) -> DataFrame:
-    """Rows (w, n): the words of training texts, by number."""
+    def apart(pack: dict, words: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(pack | {"words": pa.array([_squeezed(words)], pa.binary()), "codes": pa.array([_squeezed(codes)], pa.binary())})
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.select(["part", "size", "words", "codes"]).to_pylist():
-                p = _Pack(r)
-                n = np.bincount(p.codes[np.repeat(np.array(r["part"]) == TRAIN, p.size)], minlength=len(p.words))
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(p.words[at])), pa.array(n[at], pa.int64())], ["w", "n"])
+            for block, z in zip(b["block"].to_pylist(), b["words"].to_pylist(), strict=True):
+                w = _signed(_restored(z, np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), pa.array(w)], ["block", "w"])
 
-    return packed.mapInArrow(of, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, ids = (right[c].to_numpy().view(np.uint64) for c in ("w", "id"))
+        order = np.argsort(keys)
+        found = []
+        for r in left.select(["words", "codes", "size"]).to_pylist():
+            found.append(_ids(_restored(r["words"], np.uint64), _restored(r["codes"], np.uint32), np.array(r["size"]), keys[order], ids[order]))
+        out = left.drop_columns(["words", "codes"])
+        for c, kind, v in zip(("ids", "common", "times"), (pa.binary(), lists, lists), zip(*found, strict=True) if found else ([], [], []), strict=True):
+            out = out.append_column(c, pa.array(list(v), kind))
+        return out
 
+    packed = saved(_packed(rows, apart, _pack_schema(kind, "words binary, codes binary")), "packs-of-words")
+    told = packed.select("block", "words").mapInArrow(words, "block long, w long").join(known, "w").select("block", "w", "id")
+    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(of, schema)
 
-def known_words(packed: DataFrame, words: DataFrame, shards: int) -> DataFrame:
-    """Answers to each pack, which of its words come ``MIN_WORD_COUNT`` times or more in training."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block, z in zip(b["block"].to_pylist(), b["words"].to_pylist(), strict=True):
-                yield from _questions(block, {0: np.unique(mixed(_restored(z, np.uint64)))}, shards).to_batches()
+def _stream(ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ids of all tokens, two start marks before each text."""
+    out = np.full(len(ids) + 2 * len(size), START, np.uint64)
+    out[np.arange(len(ids)) + 2 * (np.repeat(np.arange(len(size)), size) + 1)] = ids
+    return out
 
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, KNOWN, np.int32)), pa.array(_signed(mixed(b["w"].to_numpy().view(np.uint64)))), pa.array(np.ones(n, np.float32))], ["kind", "key", "value"])
 
-    table = words.where(F.col("n") >= MIN_WORD_COUNT).select("w").mapInArrow(key, "kind int, key long, value float")
-    return _asked(packed.select("block", "words").mapInArrow(ask, _ASKED), table, shards)
+def _trigrams(ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each token with the two before it."""
+    w = _stream(ids, size)
+    at = np.flatnonzero(w[2:] != START)
+    return w[at], w[at + 1], w[at + 2]
 
 
-def trigram_counts(packed: DataFrame, known: DataFrame, shards: int) -> DataFrame:
-    """Rows (w1, w2, w3, n): counts of word trigrams of training texts.
+def trigram_counts(packed: DataFrame) -> DataFrame:
+    """Rows (w1, w2, w3, n): counts of word trigrams of all texts in packs.
 
     A text begins with two start marks. Words seen once are one unknown word.
 
     Python only counts within its pack; counts are added up by Spark.
     """
 
-    def of(left: pa.Table, right: pa.Table) -> pa.Table:
-        cols, n = [np.zeros(0, np.uint64)] * 3, np.zeros(0, np.int64)
-        if left.num_rows:
-            r = left.to_pylist()[0]
-            p = _Pack(r)
-            w = p.stream(p.numbers(right, shards), np.array(r["part"]) == TRAIN)
-            at = np.flatnonzero(w[2:] != START)
-            _, first, n = np.unique(mixed(w[at], w[at + 1], w[at + 2]), return_index=True, return_counts=True)
-            cols = [w[at[first] + k] for k in range(3)]
-        return pa.table({f"w{k + 1}": pa.array(_signed(c)) for k, c in enumerate(cols)} | {"n": pa.array(n, pa.int64())})
-
-    some = packed.where(F.array_contains("part", TRAIN)).select("block", "part", "size", "words", "codes")
-    return some.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(of, "w1 long, w2 long, w3 long, n long").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more, by counts of counts."""
-    n = [float(x or 0) for x in counts.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first()]
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for size, ids in zip(b["size"].to_pylist(), b["ids"].to_pylist(), strict=True):
+                w = _trigrams(_restored(ids, np.uint64), np.array(size, np.int64))
+                _, first, n = np.unique(mixed(*w), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*[pa.array(_signed(x[first])) for x in w], pa.array(n, pa.int64())], ["w1", "w2", "w3", "n"])
+
+    return packed.select("size", "ids").mapInArrow(of, "w1 long, w2 long, w3 long, n long").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
+
+
+def _discount(counts: list[int | None]) -> list[float]:
+    """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more, by how many counts are 1, 2, 3 and 4."""
+    n = [float(x or 0) for x in counts]
     y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
     found = [k + 1 - (k + 2) * y * n[k + 1] / n[k] if n[k] else y for k in range(3)]
     return [min(max(d, 0.01), k + 0.99) for k, d in enumerate(found)]
 
 
-def learned(packed: DataFrame, shards: int) -> tuple[DataFrame, DataFrame, tuple[float, float]]:
-    """What each pack has to know of the vocabulary, and the model's rows and numbers (see ``fit``) from the training texts in packs."""
-    words = saved(word_counts(packed), "word-counts")
-    known = saved(known_words(packed, words, shards), "known-words")
-    return known, *interpolated(trigram_counts(packed, known, shards), words.where(F.col("n") < MIN_WORD_COUNT).count())
+def _of_counts(counts: DataFrame) -> list[int]:
+    return list(counts.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first())
 
 
 def fit(texts: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
     """The model of all of ``texts`` (text), see ``interpolated``."""
-    packed = saved(packs(texts.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), "text", F.lit(TRAIN).alias("part"))), "packs")
-    return learned(packed, _shards(packed))[1:]
+    rows = texts.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), "text", F.lit(TRAIN).alias("part"))
+    words, rare = learnt_words(rows)
+    return interpolated(trigram_counts(numbered(rows, words.select("w", F.col("w").alias("id")), words.count())), rare)
 
 
 def interpolated(c3: DataFrame, rare: int) -> tuple[DataFrame, tuple[float, float]]:
@@ -323,7 +287,7 @@ def interpolated(c3: DataFrame, rare: int) -> tuple[DataFrame, tuple[float, floa
     c1 = saved(c2.where(~start).groupBy("w3").agg(F.count("*").alias("n")), "unigrams")
 
     def levels(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-        d = _discounts(counts)
+        d = _discount(_of_counts(counts))
         less = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         sums = counts.groupBy(*context).agg(F.sum("n").alias("total"), F.sum(less).alias("given"))
         seen = counts.join(sums, context) if context else counts.crossJoin(F.broadcast(sums))
@@ -472,34 +436,265 @@ def save_model(rows: DataFrame, path: str) -> str:
     return path
 
 
-def scores(packed: DataFrame, known: DataFrame, rows: DataFrame, unseen: tuple[float, float], shards: int) -> DataFrame:
-    """Rows (doc_id, lang, part, n_tokens, perplexity), one for each text of ``packed``: each pack's distinct n-grams are looked up in the model's shards."""
+def _distinct(bc: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ``bc`` in order; for each distinct pair (bc, a), in order, the place of its ``bc``, and its ``a``; for each row the place of its pair."""
+    b, c = bc >> _WORD, bc & _LOW
+    if not len(bc) or max(x.max() for x in (a, b, c)) >> _SHORT:
+        two, i = np.unique(bc, return_inverse=True)
+        pairs, of = np.unique(i.astype(np.uint64) << _WORD | a, return_inverse=True)
+        return two, (pairs >> _WORD).astype(np.int64), pairs & _LOW, of
+    low = (np.uint64(1) << _SHORT) - np.uint64(1)
+    pairs, of = np.unique((b << _SHORT | c) << _SHORT | a, return_inverse=True)
+    two = pairs >> _SHORT
+    new = _changes(two)
+    return two[new] >> _SHORT << _WORD | two[new] & low, np.cumsum(new) - 1, pairs & low, of
+
+
+class _Grams:
+    """The distinct trigrams of a pack, ordered by their middle word, last word and first word, and what they ask of shards."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray):
+        a, b, c = _trigrams(ids, size)
+        #: Bigrams of the last two words; for each trigram the place of its bigram and its first word; for each token its trigram.
+        self.bc, self.i, self.a, self.of = _distinct(b << _WORD | c, a)
+        self.ba = self.bc[self.i] >> _WORD << _WORD | self.a
+
+    def parts(self, shards: range, often: np.ndarray, pieces: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each of ``shards`` (of as many as its end) its bigrams and trigrams, by places, and contexts (middle word, first word) of which it has a piece besides.
+
+        A middle word in ``often`` is dealt out by its last words into
+        ``pieces`` pieces, as it would be too much for one shard; all of them
+        are asked for its contexts, and what they tell is added up.
+        """
+        b = self.bc >> _WORD
+        k = np.ones(len(b), np.uint64)
+        more: dict[int, list] = defaultdict(list)
+        contexts = np.unique(self.ba)
+        for word, n in zip(often, pieces, strict=True):
+            k[b == word] = n
+            own = contexts[np.searchsorted(contexts, word << _WORD) : np.searchsorted(contexts, word << _WORD | _LOW, side="right")]
+            for s in np.unique(_shard(np.full(int(n), word), np.arange(int(n), dtype=np.uint64), shards.stop)).tolist() if len(own) else ():
+                more[s].append(own)
+        two = _shard(b, (self.bc & _LOW) % k, shards.stop)
+        three = two[self.i]
+        for s in sorted({*np.unique(two).tolist(), *more} & {*shards}):
+            yield s, np.flatnonzero(two == s), np.flatnonzero(three == s), np.unique(np.concatenate([np.zeros(0, np.uint64), *more[s]]))
+
+
+def _shard(word: np.ndarray, piece: np.ndarray, shards: int) -> np.ndarray:
+    return ((mixed(word, piece) >> _WORD) * np.uint64(shards) >> _WORD).astype(np.int32)
+
+
+def _steps(x: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Differences of ``x``, which ascends in each run that begins at ``new``; the first of a run as it is."""
+    return np.where(new, x, np.diff(x, prepend=np.uint64(0)))
+
+
+def _summed(steps: np.ndarray, new: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps, dtype=np.uint64)
+    first = np.flatnonzero(new)
+    return total - np.repeat((total - steps)[first], np.diff(np.append(first, len(steps))))
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    return np.append(np.ones(min(len(x), 1), bool), x[1:] != x[:-1])
+
+
+def _asks(r: dict, shards: range, often: np.ndarray, pieces: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A pack's trigrams for each shard, with their counts in training texts."""
+    size = np.array(r["size"], np.int64)
+    g = _Grams(_restored(r["ids"], np.uint64), size)
+    train = np.repeat(np.array(r["part"]) == TRAIN, size)
+    n = np.bincount(g.of[train], minlength=len(g.a)).astype(np.uint32)
+    names = [x.split()[0] for x in _ASKED.split(", ")]
+    for s, two, three, more in g.parts(shards, often, pieces):
+        b, c = g.bc[two] >> _WORD, g.bc[two] & _LOW
+        new = _changes(g.i[three])
+        many = np.diff(np.append(np.flatnonzero(new), len(three)))
+        binary = (_steps(b, np.zeros(len(b), bool)), _steps(c, _changes(b)), many.astype(np.uint32), _steps(g.a[three], new), n[three], _steps(more, np.zeros(len(more), bool)))
+        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([r["block"]], pa.int64()), *[pa.array([_squeezed(x)], pa.binary()) for x in binary]], names)
+
+
+def _asked(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bigrams, the place of each trigram's bigram, its first word, and the contexts besides."""
+    b = np.cumsum(_restored(r["b"], np.uint64), dtype=np.uint64)
+    bc = b << _WORD | _summed(_restored(r["c"], np.uint64), _changes(b))
+    i = np.repeat(np.arange(len(bc)), _restored(r["many"], np.uint32))
+    return bc, i, _summed(_restored(r["a"], np.uint64), _changes(i)), np.cumsum(_restored(r["more"], np.uint64), dtype=np.uint64)
+
+
+def _classes(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``keys``, and four rows of them: the sum of their ``n``, less 1, 2 and 3 for those that are 1, 2, and 3 or more, and how many of these there are."""
+    own, which = np.unique(keys, return_inverse=True)
+    return own, np.stack([np.bincount(which, w, len(own)) for w in (n - np.minimum(n, 3), n == 1, n == 2, n > 2)]).astype(np.uint32)
+
+
+def _found(keys: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The ``values`` of ``keys``, which are in order, for ``asked``; 0 for others."""
+    if not len(keys):
+        return np.zeros((*values.shape[:-1], len(asked)), values.dtype)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[..., at], 0).astype(values.dtype)
+
+
+def _contexts(bc: np.ndarray, i: np.ndarray, a: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of two words and of one that a pack asks one shard."""
+    two = np.unique(np.append(bc[i] >> _WORD << _WORD | a, more))
+    return two, np.unique(two >> _WORD)
+
+
+def _counts(key: tuple, asked: pa.Table) -> pa.Table:
+    """One shard: tells each pack its counts of trigrams, bigrams (words to the left) and contexts, and has a row without a pack of how many counts are 1 to 4, of trigrams and of bigrams, and the words' counts of words to the left."""
+    rows = asked.to_pylist()
+    trained = []
+    for r in rows:
+        n = _restored(r["n"], np.uint32)
+        at = np.flatnonzero(n)
+        if len(at):
+            bc, i, a, _ = _asked(r)
+            trained.append((bc[i[at]], a[at], n[at]))
+    bc, a, n = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip((np.uint64, np.uint64, np.uint32), zip(*trained, strict=True) if trained else ((), (), ()), strict=True))
+    del trained
+    two, i, a, of = _distinct(bc, a)
+    n3 = np.bincount(of, n, len(a)).astype(np.uint32)
+    del bc, of, n
+    three = i.astype(np.uint64) << _WORD | a
+    start = two >> _WORD == START
+    n2 = np.where(start, np.bincount(i, n3, len(two)), np.bincount(i, minlength=len(two))).astype(np.uint32)
+    c3, t3 = _classes(two[i] >> _WORD << _WORD | a, n3)
+    c2, t2 = _classes(two >> _WORD, n2)
+    word, left = np.unique(two[~start] & _LOW, return_counts=True)
+    out: dict[str, list] = {c.split()[0]: [] for c in _TOLD.split(", ")}
+    told = [None, key[0].as_py(), *[None] * 4, [int((x == k).sum()) for x in (n3, n2) for k in (1, 2, 3, 4)], word.astype(np.int64).tolist(), left.tolist()]
+    for c, v in zip(out, told, strict=True):
+        out[c].append(v)
+    for r in rows:
+        bc, i, a, more = _asked(r)
+        at = np.minimum(np.searchsorted(two, bc), max(len(two) - 1, 0))
+        known = two[at] == bc if len(two) else np.zeros(len(bc), bool)
+        own = np.where(known[i], _found(three, at[i].astype(np.uint64) << _WORD | a, n3), 0).astype(np.uint32)
+        both, one = _contexts(bc, i, a, more)
+        told = [r["block"], r["shard"], _squeezed(own), _squeezed(_found(two, bc, n2)), _squeezed(_found(c3, both, t3).reshape(-1)), _squeezed(_found(c2, one, t2).reshape(-1)), None, None, None]
+        for c, v in zip(out, told, strict=True):
+            out[c].append(v)
+    lists = pa.list_(pa.int64())
+    return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), pa.int32(), *[pa.binary()] * 4, *[lists] * 3), strict=True)})
+
+
+def _share(n: np.ndarray, classes: np.ndarray, d: list[float], lower: np.ndarray | float) -> np.ndarray:
+    """p by counts ``n`` in contexts with ``classes``, interpolated with ``lower``; ``lower`` alone in contexts that training does not have."""
+    all_n = classes[0] + classes[1] + 2 * classes[2] + 3 * classes[3]
+    total = np.maximum(all_n, 1).astype(float)
+    less = np.array([0.0, *d])[np.minimum(n, 3)]
+    gamma = (d[0] * classes[1] + d[1] * classes[2] + d[2] * classes[3]) / total
+    return np.where(all_n > 0, np.maximum(n - less, 0.0) / total + gamma * lower, lower)
+
+
+def _in_blocks(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in buckets by ``block``, which joins by block read as they are."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", new_folder(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+def scores(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, lang, part, n_tokens, perplexity), one for each of ``rows`` (doc_id, lang, text, part), by the model of the texts whose part is ``TRAIN``."""
+    spark, kind = rows.sparkSession, dict(rows.dtypes)["doc_id"]
+    words, rare = learnt_words(rows.where(F.col("part") == TRAIN))
+    unknown = -float(np.log10(rare + 1))
+    # frequent words have small ids, which take little room
+    known = saved(global_rank(words, [F.col("n").desc(), F.col("w")], "id").select("w", (F.col("id") + START).cast("long").alias("id")), "vocabulary")
+    packed = _in_blocks(numbered(rows, known, known.count()), "packs")
+    tokens = packed.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
+    shards, half = 1 + tokens // SHARD_TOKENS, SHARD_TOKENS // 2
+    hot = packed.select(F.explode(F.arrays_zip("common", "times")).alias("x")).groupBy("x.common").agg(F.sum("x.times").alias("n")).where(F.col("n") > half).orderBy("common").collect()
+    often, pieces = np.array([r[0] for r in hot], np.uint64), np.array([1 + r[1] // half for r in hot], np.uint64)
+
+    def told_by(some: range) -> DataFrame:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for r in b.to_pylist():
+                    yield from _asks(r, some, often, pieces)
+
+        return packed.select("block", "part", "size", "ids").mapInArrow(ask, _ASKED).groupBy("shard").applyInArrow(_counts, _TOLD)
+
+    told = reduce(DataFrame.unionByName, [saved(told_by(range(k, shards, ROUNDS)), "counts") for k in range(min(ROUNDS, shards))])
+    of_counts = told.where("block is null").agg(*[F.sum(F.col("of_counts")[k]) for k in range(8)]).first()
+    d3, d2 = _discount(list(of_counts)[:4]), _discount(list(of_counts)[4:])
+    left = saved(told.where("block is null").select(F.explode(F.arrays_zip("id", "n")).alias("x")).groupBy("x.id").agg(F.sum("x.n").alias("n")), "unigrams")
+    n1 = _of_counts(left)
+    d1 = _discount(n1)
+    size, total = left.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    gamma1 = (d1[0] * n1[0] + d1[1] * n1[1] + d1[2] * (size - n1[0] - n1[1])) / total if total else 1.0
+    unseen = gamma1 / (size + 1)
+    answers = told.where("block is not null").select("block", "shard", "n3", "n2", "t3", "t2", F.lit(None).cast("array<long>").alias("id"), F.lit(None).cast("array<long>").alias("n"))
+    sent = None
+    if size <= MAX_WORDS:
+        t = left.toArrow()
+        every = np.zeros(known.count() + 2, np.uint32)
+        every[t["id"].to_numpy()] = t["n"].to_numpy()
+        sent = spark.sparkContext.broadcast(every)
+    else:
+
+        def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for block, z in zip(b["block"].to_pylist(), b["ids"].to_pylist(), strict=True):
+                    own = _signed(np.unique(_restored(z, np.uint64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array(own)], ["block", "id"])
+
+        asked = packed.select("block", "ids").mapInArrow(last, "block long, id long").join(left, "id").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("x"))
+        none = [F.lit(None).cast("binary").alias(c) for c in ("n3", "n2", "t3", "t2")]
+        answers = answers.unionByName(asked.select("block", F.lit(None).cast("int").alias("shard"), *none, F.col("x.id").alias("id"), F.col("x.n").alias("n")))
+    names = ["doc_id", "lang", "part", "n_tokens", "perplexity"]
 
-    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _questions(0, {}, shards)
-        r = left.to_pylist()[0]
-        p = _Pack(r)
-        return _questions(r["block"], p.keys(p.numbers(right, shards)), shards)
-
-    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({c: pa.array([], t) for c, t in zip(names, (left.schema.field("doc_id").type.value_type, pa.string(), pa.int32(), pa.int64(), pa.float64()), strict=True)})
-        p = _Pack(left.select(["size", "words", "codes"]).to_pylist()[0])
-        numbers = p.numbers(right, shards)
-        tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for level, keys in p.keys(numbers).items():
-            tables |= _told(right, level, keys, shards)
-        ids = np.split(numbers[p.codes], np.cumsum(p.size)[:-1])
-        found = list(Model(tables, unseen).scored(ids))
+        r = left.select(["size", "ids"]).to_pylist()[0]
+        texts, ids = np.array(r["size"], np.int64), _restored(r["ids"], np.uint64)
+        g = _Grams(ids, texts)
+        both = np.unique(g.ba)
+        one = np.unique(both >> _WORD)
+        n3, n2 = np.zeros(len(g.a), np.uint32), np.zeros(len(g.bc), np.uint32)
+        t3, t2 = np.zeros((4, len(both)), np.uint32), np.zeros((4, len(one)), np.uint32)
+        rows = {x["shard"]: x for x in right.to_pylist()}
+        for s, two, three, more in g.parts(range(shards), often, pieces):
+            x = rows[s]
+            n3[three], n2[two] = _restored(x["n3"], np.uint32), _restored(x["n2"], np.uint32)
+            own, own1 = _contexts(g.bc, g.i[three], g.a[three], more)
+            t3[:, np.searchsorted(both, own)] += _restored(x["t3"], np.uint32).reshape(4, -1)
+            t2[:, np.searchsorted(one, own1)] += _restored(x["t2"], np.uint32).reshape(4, -1)
+        last = g.bc & _LOW
+        if sent:
+            k = sent.value[last.astype(np.int64)]
+        else:
+            own = rows.get(None, {"id": [], "n": []})
+            k = _found(np.array(own["id"], np.uint64), last, np.array(own["n"], np.int64))
+        p1 = unseen + np.maximum(k - np.array([0.0, *d1])[np.minimum(k, 3)], 0.0) / max(total, 1)
+        p2 = _share(n2, t2[:, np.searchsorted(one, g.bc >> _WORD)], d2, p1)
+        p3 = _share(n3, t3[:, np.searchsorted(both, g.ba)], d3, p2[g.i])
+        log = np.log10(p3) + np.where(last[g.i] == UNKNOWN, unknown, 0.0)
+        sums = np.bincount(np.repeat(np.arange(len(texts)), texts), log[g.of], len(texts))
+        ppl = np.full(len(texts), np.nan)
+        np.power(10.0, -sums / np.maximum(texts, 1), out=ppl, where=texts > 0)
         meta = [left[c].combine_chunks().flatten() for c in names[:3]]
-        return pa.table([*meta, pa.array([n for n, _ in found], pa.int64()), pa.array([x for _, x in found], pa.float64())], names)
+        return pa.table([*meta, pa.array(texts), pa.array(ppl, pa.float64(), mask=texts == 0)], names)
 
-    names = ["doc_id", "lang", "part", "n_tokens", "perplexity"]
-    asked = packed.select("block", "size", "words", "codes").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask, _ASKED)
-    told = saved(_asked(asked, _keyed(rows), shards), "answers").unionByName(known)
-    kind = dict(packed.dtypes)["doc_id"][len("array<") : -1]
-    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(of, f"doc_id {kind}, lang string, part int, n_tokens long, perplexity double")
+    packed = packed.select("block", "doc_id", "part", "lang", "size", "ids")
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"doc_id {kind}, lang string, part int, n_tokens long, perplexity double")
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of each query at its end, which else stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -514,10 +709,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     without an id count for none; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    packed = saved(packs(trusted(rows, labels)), "packs")
-    shards = _shards(packed)
-    known, model, unseen = learned(packed, shards)
-    scored = saved(scores(packed, known, model, unseen, shards), "scores")
+    with _shuffles_dropped(docs.sparkSession):
+        scored = saved(scores(trusted(rows, labels)), "scores")
     held = scored.where((F.col("part") == HELD) & F.col("perplexity").isNotNull())
     per = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n"))
     per = saved(per.where(f"n >= {MIN_HELD_OUT} and lang is not null").select(F.col("lang").alias("t_lang"), "threshold").unionByName(held.agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")).select(F.lit(None).cast("string").alias("t_lang"), "threshold")), "thresholds")

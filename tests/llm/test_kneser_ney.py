@@ -1,10 +1,12 @@
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import kneser_ney as kn
+from tessera.operators.work import shared_folder
 
 from .cases import empty, odd, odd_rows
 
@@ -119,3 +121,41 @@ def test_packs_and_shards_do_not_matter(spark):
     for r in got:
         x = want[r.doc_id]
         assert (r.n_tokens, r.kept) == (x.n_tokens, x.kept) and math.isclose(r.perplexity or 0, x.perplexity or 0, rel_tol=1e-5)
+
+
+def test_scores_against_the_definition(spark, monkeypatch):
+    """Perplexities by counts from shards, also with common words in several pieces, packs of a text or two, and words by joins."""
+    other = ["the dog sat on the zebra", "never seen words here", "mat the", ".", "", None, "the the the cat"]
+    rows = [(k, "en", t, kn.TRAIN) for k, t in enumerate(TEXTS)] + [(100 + k, None, t, kn.NONE) for k, t in enumerate(other)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string, part int").coalesce(2)
+    log10_p = brute(TEXTS)
+    want = {}
+    for i, _, t, _ in rows:
+        w = ["<s>", "<s>", *kn.TOKEN.findall((t or "").lower())]
+        want[i] = 10 ** -np.mean([log10_p(*w[k : k + 3]) for k in range(len(w) - 2)]) if len(w) > 2 else None
+    for change in ({}, {"SHARD_TOKENS": 6}, {"SHARD_TOKENS": 6, "PACK_BYTES": 30, "ROUNDS": 3}, {"MAX_WORDS": 0, "PACK_BYTES": 30}):
+        with monkeypatch.context() as m:
+            for name, value in change.items():
+                m.setattr(kn, name, value)
+            got = {r.doc_id: r for r in kn.scores(df).collect()}
+        assert got.keys() == want.keys()
+        for i, p in want.items():
+            assert (got[i].perplexity is None) == (p is None), (change, i)
+            assert p is None or math.isclose(got[i].perplexity, p, rel_tol=1e-9), (change, i)
+
+
+def test_distinct_pairs():
+    bc, a = np.array([7 << 32 | 2, 3 << 32 | 9, 7 << 32 | 2, 3 << 32 | 9], np.uint64), np.array([5, 1, 4, 1], np.uint64)
+    for big in (0, 1 << 30):
+        two, i, first, of = kn._distinct(bc, a + np.uint64(big))
+        assert two.tolist() == [3 << 32 | 9, 7 << 32 | 2] and i.tolist() == [0, 1, 1] and (first - np.uint64(big)).tolist() == [1, 4, 5] and of.tolist() == [2, 0, 1, 0]
+
+
+def test_tables_on_disk(spark):
+    """All that is written in between takes less than 1.5 times the input."""
+    d = "/root/testdata/sf0.1"
+    folder = shared_folder(spark).removeprefix("file://")
+    sizes = lambda: sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+    before = sizes()
+    kn.classify(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    assert sizes() - before < 1.5 * os.path.getsize(f"{d}/documents.parquet")
