@@ -598,12 +598,12 @@ def _share(n: np.ndarray, classes: np.ndarray, d: list[float], lower: np.ndarray
     return np.where(all_n > 0, np.maximum(n - less, 0.0) / total + gamma * lower, lower)
 
 
-def _in_blocks(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once in buckets by ``block``, which joins by block read as they are."""
+def _in_blocks(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once in buckets by ``block``, which joins by block read as they are, and the table's name."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", new_folder(spark, name)).saveAsTable(table)
-    return spark.table(table)
+    return spark.table(table), table
 
 
 def scores(rows: DataFrame) -> DataFrame:
@@ -613,7 +613,8 @@ def scores(rows: DataFrame) -> DataFrame:
     unknown = -float(np.log10(rare + 1))
     # frequent words have small ids, which take little room
     known = saved(global_rank(words, [F.col("n").desc(), F.col("w")], "id").select("w", (F.col("id") + START).cast("long").alias("id")), "vocabulary")
-    packed = _in_blocks(numbered(rows, known, known.count()), "packs")
+    n_known = known.count()
+    packed, table = _in_blocks(numbered(rows, known, n_known), "packs")
     tokens = packed.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
     shards, half = 1 + tokens // SHARD_TOKENS, SHARD_TOKENS // 2
     hot = packed.select(F.explode(F.arrays_zip("common", "times")).alias("x")).groupBy("x.common").agg(F.sum("x.times").alias("n")).where(F.col("n") > half).orderBy("common").collect()
@@ -638,9 +639,9 @@ def scores(rows: DataFrame) -> DataFrame:
     unseen = gamma1 / (size + 1)
     answers = told.where("block is not null").select("block", "shard", "n3", "n2", "t3", "t2", F.lit(None).cast("array<long>").alias("id"), F.lit(None).cast("array<long>").alias("n"))
     sent = None
-    if size <= MAX_WORDS:
+    if n_known <= MAX_WORDS:
         t = left.toArrow()
-        every = np.zeros(known.count() + 2, np.uint32)
+        every = np.zeros(n_known + 2, np.uint32)
         every[t["id"].to_numpy()] = t["n"].to_numpy()
         sent = spark.sparkContext.broadcast(every)
     else:
@@ -693,7 +694,9 @@ def scores(rows: DataFrame) -> DataFrame:
         left = packed.where(some).select("block", "doc_id", "part", "lang", "size", "ids").groupBy("block")
         return left.cogroup(answers.where(some).groupBy("block")).applyInArrow(score, f"doc_id {kind}, lang string, part int, n_tokens long, perplexity double")
 
-    return reduce(DataFrame.unionByName, [saved(scored(k), "scores") for k in range(ROUNDS)])
+    out = reduce(DataFrame.unionByName, [saved(scored(k), "scores") for k in range(ROUNDS)])
+    spark.sql(f"DROP TABLE {table}")  # only its name; the files go with the others
+    return out
 
 
 @contextmanager

@@ -138,7 +138,7 @@ def test_scores_against_the_definition(spark, monkeypatch):
             for name, value in change.items():
                 m.setattr(kn, name, value)
             got = {r.doc_id: r for r in kn.scores(df).collect()}
-        assert got.keys() == want.keys()
+        assert got.keys() == want.keys() and not [t for t in spark.catalog.listTables() if t.name.startswith("packs_")]
         for i, p in want.items():
             assert (got[i].perplexity is None) == (p is None), (change, i)
             assert p is None or math.isclose(got[i].perplexity, p, rel_tol=1e-9), (change, i)
