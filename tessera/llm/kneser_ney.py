@@ -17,7 +17,6 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from functools import reduce
 from itertools import count
 
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import broadcast_if_small, new_folder, saved
 from tessera.operators.ranking import global_rank
+from tessera.operators.work import shuffles_dropped
 
 #: The share of trusted documents that the model is fitted on; the others are held out.
 TRAIN_SHARE = 0.8
@@ -699,18 +699,6 @@ def scores(rows: DataFrame) -> DataFrame:
     return out
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Spark deletes the shuffle files of each query at its end, which else stay until the driver collects its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Rows (doc_id, lang, n_tokens, perplexity, threshold, kept), one per row of ``docs``.
 
@@ -723,7 +711,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     without an id count for none; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    with _shuffles_dropped(docs.sparkSession):
+    with shuffles_dropped(docs.sparkSession):
         scored = scores(trusted(rows, labels))
     held = scored.where((F.col("part") == HELD) & F.col("perplexity").isNotNull())
     per = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n"))
