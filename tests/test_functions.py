@@ -35,6 +35,16 @@ def test_language_and_tokens(spark):
     assert values(spark, ["3andi 7aja 9dima"], text.phonemes) == ["ainandi haja qdima"]
 
 
+def test_translate_long_texts(spark):
+    """Runs of pairs, and the work of a text: words are put into a list once each."""
+    table = {"a a": "2", "b": "1", "a b": "3"}
+    assert values(spark, ["a a a", "a a a a b b", "b a b a", "a"], lambda c: text.translate_tokens(c, table)) == ["2 a", "2 2 1 1", "1 3 a", "a"]
+    df = spark.range(1).select(F.lit("x").alias("t"))
+    for d in (table, {"b": "1"}):
+        assert "array_append" not in df.select(text.translate_tokens(F.col("t"), d))._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_append" not in str(text.translate_tokens(F.col("t"), d))
+
+
 def test_translate(spark):
     table = {"ma kanch": "il n'y a pas", "ma": "ne", "bezzaf": "beaucoup", "kanch rien": "!"}
 
