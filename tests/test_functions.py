@@ -45,6 +45,11 @@ def test_translate_long_texts(spark):
         assert "array_append" not in str(text.translate_tokens(F.col("t"), d))
 
 
+def test_a_text_is_cleaned_once_for_its_language(spark):
+    df = spark.range(1).select(F.lit("x").alias("t")).select(text.normalise_by_language(F.col("t"), {"b": "1"}, {"c": "2"}))
+    assert df._jdf.queryExecution().analyzed().toString().count(r"[^\w\s],") < 10  # each of two uses was written out for each of the others
+
+
 def test_translate(spark):
     table = {"ma kanch": "il n'y a pas", "ma": "ne", "bezzaf": "beaucoup", "kanch rien": "!"}
 
